@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import line_dedup, mixing, quality
 from .common import read
 
 
@@ -15,8 +15,23 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.select(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without repeated chunks of lines."""
+    return line_dedup.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mixing": op3_mixing,
+    "op6_line_dedup": op6_line_dedup,
     "op8_quality": op8_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_mixing": mixing.ORACLE,
+    "op6_line_dedup": line_dedup.ORACLE,
+}
