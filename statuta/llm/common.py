@@ -8,6 +8,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -187,7 +188,7 @@ def block_rows(values: np.ndarray, block: int) -> pa.RecordBatch:
     """The blocks of a vector that aren't all zero, as rows (block, cells)."""
     parts = values.reshape(-1, block, *values.shape[1:])
     keep = [k for k in range(len(parts)) if parts[k].any()]
-    return pa.record_batch([pa.array(keep, pa.int32()), pa.array([parts[k].tobytes() for k in keep], pa.binary())], names=["block", "cells"])
+    return pa.record_batch([pa.array(keep, pa.int32()), pa.array([zlib.compress(parts[k].tobytes(), 1) for k in keep], pa.binary())], names=["block", "cells"])
 
 
 def add_blocks(rows: DataFrame, dtype: str, sum_dtype: str) -> DataFrame:
@@ -197,7 +198,7 @@ def add_blocks(rows: DataFrame, dtype: str, sum_dtype: str) -> DataFrame:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for k, cells in zip(b.column(0).to_pylist(), b.column(1)):
-                v = np.frombuffer(cells.as_buffer(), dtype=dtype)
+                v = np.frombuffer(zlib.decompress(cells.as_buffer()), dtype=dtype)
                 if k in sums:
                     sums[k] += v
                 else:

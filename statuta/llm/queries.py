@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, quality
+from . import line_dedup, mixing, ngram_join, quality
 from .common import read
 
 
@@ -25,10 +25,16 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle set size and near-duplicate component of every document."""
+    return ngram_join.join(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op6_line_dedup": op6_line_dedup,
     "op8_quality": op8_quality,
+    "op9_ngram_join": op9_ngram_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
