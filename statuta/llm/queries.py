@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, ngram_join, quality
+from . import decontaminate, line_dedup, mixing, ngram_join, quality, span_dedup
 from .common import read
 
 
@@ -30,14 +30,27 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(read(spark, sf_dir, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items that they hold."""
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op10_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without repeated spans of sentences."""
+    return span_dedup.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
     "op3_mixing": op3_mixing,
     "op6_line_dedup": op6_line_dedup,
     "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
+    "op10_span_dedup": op10_span_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": mixing.ORACLE,
     "op6_line_dedup": line_dedup.ORACLE,
+    "op10_span_dedup": span_dedup.ORACLE,
 }
