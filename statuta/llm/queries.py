@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, line_dedup, mixing, ngram_join, quality, span_dedup
+from . import audio, decontaminate, html_text, line_dedup, mixing, ngram_join, quality, span_dedup, token_count
 from .common import read
 
 
@@ -30,6 +30,23 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(read(spark, sf_dir, "documents"))
 
 
+def op1_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    import public_tokenizers
+
+    return token_count.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
+def op5_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests and features of every document's bytes, stored and read back as sound."""
+    return audio.describe(read(spark, sf_dir, "documents"), keep=False)
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the benchmark items that they hold."""
     return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -41,8 +58,11 @@ def op10_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_count": op1_token_count,
     "op2_decontaminate": op2_decontaminate,
     "op3_mixing": op3_mixing,
+    "op4_html_text": op4_html_text,
+    "op5_audio": op5_audio,
     "op6_line_dedup": op6_line_dedup,
     "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
