@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, decontaminate, html_text, line_dedup, mixing, ngram_join, quality, span_dedup, token_count
+from . import audio, chat, decontaminate, html_text, line_dedup, mixing, ngram_join, quality, span_dedup, token_count
 from .common import read
 
 
@@ -47,6 +47,13 @@ def op5_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio.describe(read(spark, sf_dir, "documents"), keep=False)
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of the conversations as linked, validated and ordered tool use."""
+    param = "array<struct<name string, type string, required boolean>>"
+    tools = spark.createDataFrame([("reply", [("text", "string", True)])], f"name string, params {param}")
+    return chat.link(chat.as_tool_use(read(spark, sf_dir, "conversations")), tools)
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the benchmark items that they hold."""
     return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -64,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_html_text": op4_html_text,
     "op5_audio": op5_audio,
     "op6_line_dedup": op6_line_dedup,
+    "op7_chat": op7_chat,
     "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
     "op10_span_dedup": op10_span_dedup,
@@ -72,5 +80,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": mixing.ORACLE,
     "op6_line_dedup": line_dedup.ORACLE,
+    "op7_chat": chat.ORACLE,
     "op10_span_dedup": span_dedup.ORACLE,
 }
