@@ -6,5 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import citations, integrity
+
+_PARTS = (citations, integrity)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: f for part in _PARTS for k, f in part.QUERIES.items()}
+ORACLE_SQL: dict[str, str] = {k: sql for part in _PARTS for k, sql in part.ORACLE_SQL.items()}
