@@ -92,7 +92,7 @@ def reference_type(clause: Column) -> Column:
 def clause_around(text: Column, ref: Column) -> Column:
     """The clause that holds the first occurrence of ref: between line breaks, semicolons and sentence ends; at most CONTEXT long."""
     at = F.instr(text, ref)
-    left = F.regexp_extract(F.substring(text, F.lit(1), at - 1), r"(?s)(?:^|.*[\n;]|.*\.(?=[ \t\n]))(.*)$", 1)
+    left = F.regexp_replace(F.substring(text, F.lit(1), at - 1), r"(?s)^.*(?:[\n;]|\.(?=[ \t\n]))", "")
     right = F.regexp_extract(F.substring(text, at + F.char_length(ref), F.char_length(text)), r"(?s)^((?:(?!\.(?:[ \t\n]|$))[^\n;])*)", 1)
     return F.when(at > 0, F.substring(F.trim(F.concat(left, ref, right)), 1, CONTEXT))
 

@@ -28,13 +28,19 @@ def note_kind(text: Column) -> Column:
 
 def note(text: Column) -> Column:
     """(kind, date, act) of an amendment note; null if the text has none, empty date and act if the note names none."""
-    months = F.create_map(*(F.lit(x) for names in (MONTHS, SHORT_MONTHS) for k, n in enumerate(dict.fromkeys(names), 1) if names is MONTHS or n != "mai" for x in (n, k)))
-    day, name, year, number = (F.regexp_extract(text, NOTE_DATE, k) for k in range(1, 5))
-    month = F.try_element_at(months, F.lower(name))
-    fine = (day != "") & F.when(day != "", day).otherwise("0").cast("int").between(1, 31)
-    date = F.when(fine, F.format_string("%s-%02d-%02d", year, month, F.when(day != "", day).otherwise("0").cast("int"))).otherwise("")
-    act = F.when(fine, F.concat(F.lit("lov/"), date, F.lit("-"), number)).otherwise("")
-    return F.when(note_kind(text).isNotNull(), F.struct(note_kind(text).alias("kind"), date.alias("date"), act.alias("act")))
+    names = {n: k for table in (MONTHS, SHORT_MONTHS) for k, n in enumerate(table, 1)}
+    months = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
+
+    def parts(t: Column) -> Column:
+        day, name, year, number = (F.regexp_extract(t, NOTE_DATE, k) for k in range(1, 5))
+        return F.struct(note_kind(t).alias("kind"), F.lpad(day, 2, "0").alias("day"), F.try_element_at(months, F.lower(name)).alias("month"), year.alias("year"), number.alias("number"))
+
+    def whole(p: Column) -> Column:
+        date = F.when(p["day"].between("01", "31"), F.concat_ws("-", p["year"], F.lpad(p["month"].cast("string"), 2, "0"), p["day"])).otherwise("")
+        return F.when(p["kind"].isNotNull(), F.struct(p["kind"].alias("kind"), date.alias("date"), F.when(date != "", F.concat(F.lit("lov/"), date, F.lit("-"), p["number"])).otherwise("").alias("act")))
+
+    # Bound step by step: written out, the generated code would grow with each use of a part.
+    return F.get(F.transform(F.transform(F.array(text), parts), whole), F.lit(0))
 
 
 def note_text(text: Column) -> Column:
