@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statuta.functions import refs
@@ -44,11 +44,16 @@ def resolve_whole_act(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cite.targets(wanted, corpus.paragraphs(spark, sf_dir))
 
 
+def _printed() -> Column:
+    """An act's key as prose prints it: numbers have four digits at most."""
+    return F.concat(F.substring("key", 1, 14), F.lit("-"), (F.col("ord") % 9973).cast("string"))
+
+
 def attribute_cross_act(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The act that a section reference after another act's name belongs to, by the distance between them."""
     a = corpus.acts(spark, sf_dir)
     gap = F.expr("repeat('x', cast(ord % 7 as int) * 20)")
-    line = F.concat(F.lit("Jf. "), "key", F.lit(" "), gap, F.lit(" § 4-3 og § 5 a."))
+    line = F.concat(F.lit("Jf. "), _printed(), F.lit(" "), gap, F.lit(" § 4-3 og § 5 a."))
     rows = a.select(F.concat(F.lit("eier-"), F.col("ord").cast("string")).alias("key"), line.alias("content"))
     return cite.section_citations(rows).select("key", "ref_no", "act", "token")
 
@@ -56,8 +61,8 @@ def attribute_cross_act(spark: SparkSession, sf_dir: str) -> DataFrame:
 def explicit_act_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Acts named by key in amendment lines, and whether they exist."""
     a = corpus.acts(spark, sf_dir)
-    rows = a.select("key", F.concat(F.lit("# lov/1900-01-01-1\nEndret ved "), "key", F.lit(", jf. forskrift/2001-06-15-599.")).alias("content"))
-    known = a.select(F.col("key").alias("__k"))
+    rows = a.select("key", F.concat(F.lit("# lov/1900-01-01-1\nEndret ved "), _printed(), F.lit(", jf. forskrift/2001-06-15-599.")).alias("content"))
+    known = a.select(_printed().alias("__k")).distinct()
     found = cite.act_citations(rows).join(known, F.col("act") == F.col("__k"), "left")
     return found.groupBy(F.substring_index("act", "/", 1).alias("kind")).agg(F.count("*").alias("found"), F.count("__k").alias("resolved"))
 
@@ -105,7 +110,7 @@ ORACLE_SQL = {
       join (select distinct key, law_ref_id, position from paragraphs) p on p.position = x.n where a.ord % 50 = 0 and p.law_ref_id = a.key""",
     "resolve_whole_act": f"with {corpus.SQL} select distinct a.key as ref, p.key as paragraph from acts a join paragraphs p on p.law_ref_id = a.key where a.status = 'P'",
     "attribute_cross_act": f"""with {corpus.SQL}
-      select 'eier-' || ord as key, 0 as ref_no, case when (ord % 7) * 20 + 2 <= 80 then key else 'eier-' || ord end as act, '4-3' as token from acts
+      select 'eier-' || ord as key, 0 as ref_no, case when (ord % 7) * 20 + 2 <= 80 then substr(key, 1, 14) || '-' || (ord % 9973) else 'eier-' || ord end as act, '4-3' as token from acts
       union all select 'eier-' || ord, 1, 'eier-' || ord, '5' from acts""",
     "explicit_act_refs": f"with {corpus.SQL} select 'lov' as kind, count(*) as found, count(*) as resolved from acts union all select 'forskrift', count(*), 0 from acts",
     "verify_quote": r"""with q as (select item_id as quote_id, trim(regexp_replace(text, '\s+', ' ', 'g')) as q from benchmark),
