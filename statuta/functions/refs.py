@@ -33,7 +33,7 @@ def paragraph_number(c: Column) -> Column:
 def attributed(line: Column, owner: Column) -> Column:
     """(token, act) of each section reference of a line: the first act reference that ends at most WINDOW bytes before it with
     no other section reference between, else the owner."""
-    pieces = F.split(line, r"(?<!§)(?=§\s*\d)")
+    pieces = F.split(F.concat(F.lit(" "), line), r"(?<!§)(?=§\s*\d)")
     # A piece starts at a section reference; only the piece before it can hold an act reference without one between.
     numbered = F.zip_with(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(0))), lambda piece, before: F.struct(piece.alias("piece"), before.alias("before")))
 

@@ -7,7 +7,7 @@ import tarfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -79,12 +79,9 @@ def declared_types(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", "\n")).alias("n", "line"))
     head = F.regexp_extract("line", r"^([A-Za-z]+):\s*$", 1)
     name = F.regexp_extract("line", r"^\s+-\s+name:\s*[\"']?([A-Za-z_]+)", 1)
-    marks = lines.agg(F.array_sort(F.collect_list(F.struct("n", F.when(head != "", head).alias("head"), F.when(name != "", name).alias("name")))).alias("m"))
-    folded = F.aggregate(
-        "m", F.struct(F.lit("").alias("section"), F.array().cast("array<struct<section string, name string>>").alias("found")),
-        lambda a, x: F.struct(F.coalesce(x["head"], a["section"]).alias("section"), F.when(x["name"].isNotNull(), F.concat(a["found"], F.array(F.struct(F.coalesce(x["head"], a["section"]).alias("section"), x["name"].alias("name"))))).otherwise(a["found"]).alias("found")),
-    )
-    return marks.select(F.explode(folded["found"]).alias("f")).select("f.section", "f.name")
+    below = Window.partitionBy(F.lit(0)).orderBy("n").rowsBetween(Window.unboundedPreceding, 0)  # a pack is one small file
+    marked = lines.select("n", F.last(F.when(head != "", head), ignorenulls=True).over(below).alias("section"), name.alias("name"))
+    return marked.where("name <> ''").select("section", "name")
 
 
 def bindings(rows: DataFrame, column: str = "value") -> DataFrame:
