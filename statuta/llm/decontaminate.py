@@ -19,7 +19,7 @@ like any other and reported with null. Repeated rows are reported alike. ``clean
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +31,8 @@ from . import common as C
 
 BITS = 15
 PASSAGE, STEP = 64, 8
-WIDE, RANK = 112, 96
-COSINE = 0.45
+WIDE, RANK = 96, 80
+COSINE = 0.35
 COPY, PARAPHRASE, ANSWER, SHORT = 0.8, 0.6, 0.8, 8
 ITEMS = 4096
 SEED = 11
@@ -49,6 +49,24 @@ def _cuts(at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(at[:-1], n) + (np.arange(to[-1]) - np.repeat(to[:-1], n)) * width, to
 
 
+def _grid(f: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features in pieces of width words, the last of each row filled up with the feature 1 << BITS; the offsets of the rows."""
+    begins, to = _cuts(at, width)
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    grid = np.full(to[-1] * width, 1 << BITS, dtype=np.int64)
+    grid[np.arange(len(f)) - at[row] + to[row] * width] = f
+    return grid.reshape(-1, width), to
+
+
+def _gather(vectors: np.ndarray, grid: np.ndarray) -> np.ndarray:
+    """Sums of the vectors of each piece; vectors end with a row of zeros."""
+    out = vectors.take(grid[:, 0], axis=0)
+    more = np.empty_like(out)
+    for k in range(1, grid.shape[1]):
+        out += vectors.take(grid[:, k], axis=0, out=more, mode="clip")
+    return out
+
+
 def _frequencies(documents: DataFrame) -> tuple[np.ndarray, int]:
     """In how many passages each feature occurs, and the number of passages."""
 
@@ -72,18 +90,17 @@ def _frequencies(documents: DataFrame) -> tuple[np.ndarray, int]:
 def _directions(documents: DataFrame) -> np.ndarray:
     """Latent coordinates of each feature, times its inverse document frequency."""
     seen, passages = _frequencies(documents)
-    idf = np.log((passages + 1.0) / (seen + 1.0)).astype(np.float32)
+    idf = (np.log((passages + 1.0) / (seen + 1.0)) + 1).astype(np.float32)
     omega = np.random.default_rng(SEED).standard_normal((1 << BITS, WIDE), dtype=np.float32) * idf[:, None]
+    omega, squared = np.vstack([omega, np.zeros((1, WIDE), np.float32)]), np.append(idf**2, np.float32(0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram = np.zeros((WIDE, WIDE))
         for b in batches:
             for _, _, h, at in C.hashed(b.column(0)):
-                begins, _ = _cuts(at, PASSAGE)
-                if len(begins):
-                    f = _features(h)
-                    size = np.sqrt(np.add.reduceat(idf[f] ** 2, begins)) + 1e-6
-                    y = np.add.reduceat(omega[f], begins, axis=0) / size[:, None]
+                grid, _ = _grid(_features(h), at, PASSAGE)
+                if len(grid):
+                    y = _gather(omega, grid) / (np.sqrt(squared[grid].sum(axis=1)) + 1e-6)[:, None]
                     gram += y.T @ y
         yield C.block_rows(gram, WIDE)
 
@@ -91,7 +108,7 @@ def _directions(documents: DataFrame) -> np.ndarray:
     gram = C.collect_blocks(C.add_blocks(rows, "float64", "float64"), (WIDE, WIDE), WIDE, "float64")
     squares, vectors = np.linalg.eigh(gram)
     squares, vectors = squares[-RANK:], vectors[:, -RANK:]
-    return (omega @ (vectors / np.sqrt(np.maximum(squares, squares[-1] * 1e-9 + 1e-30))).astype(np.float32)).astype(np.float32)
+    return omega @ (vectors / np.sqrt(np.maximum(squares, squares[-1] * 1e-9 + 1e-30))).astype(np.float32)
 
 
 def _lcs(a: list[int], b: list[int]) -> int:
@@ -117,24 +134,24 @@ class _Items:
     """A block of benchmark items: word hashes, answers, and unit vectors by the steps that a window for them has."""
 
     def __init__(self, rows: list[tuple], directions: np.ndarray):
-        self.ids, self.words, self.answers, by = [], [], [], defaultdict(list)
+        self.ids, self.words, self.counts, self.answers, by = [], [], [], [], defaultdict(list)
         for item, text in rows:
             for _, _, h, _ in C.hashed(pa.array([text or ""], pa.string())):
                 if len(h):
                     n = -(-(len(h) - 1) // STEP) + 1
-                    grain = max(1, 1 << max(0, n.bit_length() - 4))  # long items share window lengths
+                    grain = max(2, 1 << max(0, n.bit_length() - 3))  # items of like length share windows
                     by[-(-n // grain) * grain].append((len(self.ids), directions[_features(h)].sum(axis=0)))
                     self.ids.append(item)
                     self.words.append(h.tolist())
+                    self.counts.append(Counter(self.words[-1]))
                     self.answers.append(_answer(text, len(h)))
         self.by = {n: (np.array([k for k, _ in x]), np.array([v / (np.linalg.norm(v) + 1e-12) for _, v in x], dtype=np.float32)) for n, x in by.items()}
 
     def leak(self, k: int, window: list[int]) -> tuple[int, float] | None:
         """LCS and share of the answer if the window holds item k."""
-        a = self.words[k]
+        a, counts = self.words[k], self.counts[k]
         need = len(a) if len(a) < SHORT else PARAPHRASE * len(a)
-        have = set(window)
-        if sum(x in have for x in a) < need or (n := _lcs(a, window)) < need:
+        if sum(map(counts.__getitem__, counts.keys() & set(window))) < need or (n := _lcs(a, window)) < need:
             return None
         if len(a) < SHORT and not any(window[i : i + len(a)] == a for i in range(len(window))):
             return None
@@ -146,26 +163,33 @@ class _Items:
 def _search(column: pa.Array, items: _Items, directions: np.ndarray) -> Iterator[tuple[int, int, float, int, float]]:
     """(row, item, cosine, LCS, share of the answer) of the best window of each row and item that leak."""
     for row, _, h, at in C.hashed(column):
-        begins, to = _cuts(at, STEP)
-        if not len(begins):
+        grid, to = _grid(_features(h), at, STEP)
+        if not len(grid):
             continue
-        steps = np.add.reduceat(directions[_features(h)], begins, axis=0)
-        owner, ends = np.repeat(np.arange(len(to) - 1), np.diff(to)), np.append(begins[1:], len(h))
-        total = np.zeros((len(steps) + 1, RANK))
-        np.cumsum(steps, axis=0, out=total[1:])
+        owner = np.repeat(np.arange(len(to) - 1), np.diff(to))
+        total = np.zeros((len(grid) + 1, RANK), dtype=np.float32)
+        np.cumsum(_gather(directions, grid), axis=0, out=total[1:])
         best: dict[tuple[int, int], tuple] = {}
-        for n, (which, vectors) in items.by.items():
-            last = np.minimum(np.arange(len(steps)) + n, to[owner + 1])
-            starts = np.flatnonzero((last - np.arange(len(steps)) == n) | (np.arange(len(steps)) == to[owner]))
-            v = (total[last[starts]] - total[starts]).astype(np.float32)
-            size = np.sqrt(np.einsum("ij,ij->i", v, v)) + 1e-12
-            near = v @ vectors.T
-            for w, k in zip(*np.nonzero(near >= COSINE * size[:, None]), strict=True):
-                at_ = starts[w]
-                window = h[begins[at_] : ends[last[at_] - 1]].tolist()
+
+        def look(v: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: np.ndarray, vectors: np.ndarray) -> None:
+            near = (v / (np.sqrt(np.einsum("ij,ij->i", v, v)) + 1e-12)[:, None]) @ vectors.T
+            for w, k in zip(*(x.tolist() for x in np.nonzero(near >= COSINE)), strict=True):
+                r = int(owner[starts[w]])
+                first = int(at[r] + (starts[w] - to[r]) * STEP)
+                window = h[first : min(int(at[r + 1]), first + int(ends[w] - starts[w]) * STEP)].tolist()
                 if found := items.leak(which[k], window):
-                    key, value = (int(owner[at_]), int(which[k])), (found[0], float(near[w, k] / size[w]), found[1])
-                    best[key] = max(best.get(key, value), value)
+                    value = (found[0], float(near[w, k]), found[1])
+                    best[r, int(which[k])] = max(best.get((r, int(which[k])), value), value)
+
+        for n, (which, vectors) in items.by.items():
+            if len(grid) >= n:
+                whole = np.flatnonzero(owner[: len(grid) - n + 1] == owner[n - 1 :])
+                for lo in range(0, len(whole), 1 << 14):
+                    part = whole[lo : lo + (1 << 14)]
+                    look(total[part + n] - total[part], part, part + n, which, vectors)
+            short = np.flatnonzero((np.diff(to) < n) & (np.diff(to) > 0))
+            if len(short):
+                look(total[to[short + 1]] - total[to[short]], to[short], to[short + 1], which, vectors)
         for (r, k), (n, cosine, share) in sorted(best.items()):
             yield row + r, k, cosine, n, share
 
