@@ -29,20 +29,38 @@ def celex(kind: Column, year: Column, number: Column) -> Column:
     return F.format_string("3%04d%s%04d", year, kind, number)
 
 
-def celex_ids(text: Column) -> Column:
-    """Identifiers of the acts that prose names, distinct, in order of first mention; implausible years and numbers are none."""
-    groups = [F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(k)) for k in range(1, 5)]
-
+def mentions(text: Column) -> Column:
+    """(celex, raw) of the acts that prose names, in order, each act's first mention; implausible years and numbers are none."""
+    groups = F.arrays_zip(*(F.regexp_extract_all(text, F.lit(f"({REFERENCE})" if k == 0 else REFERENCE), F.lit(k if k else 0)) for k in range(5)))
 
     def one(x: Column) -> Column:
-        kind, a, b = F.lower(x["0"]), x["2"].cast("int"), x["3"].cast("int")
-        number_first = (x["1"] != "") & (kind != "direktiv")
+        kind, a, b = F.lower(x["1"]), x["3"].cast("int"), x["4"].cast("int")
+        number_first = (x["2"] != "") & (kind != "direktiv")
         year, number = full_year(F.when(number_first, b).otherwise(a)), F.when(number_first, a).otherwise(b)
         letter = F.when(kind == "direktiv", "L").when(kind == "forordning", "R").otherwise("D")
-        return F.when(year.between(1950, 2100) & number.between(1, 9999), celex(letter, year, number))
+        return F.when(year.between(1950, 2100) & number.between(1, 9999), F.struct(celex(letter, year, number).alias("celex"), x["0"].alias("raw")))
+
+    found = F.filter(F.transform(groups, one), lambda x: x.isNotNull())
+    first = F.aggregate(
+        found, F.array().cast("array<struct<celex string, raw string>>"),
+        lambda acc, x: F.when(F.exists(acc, lambda y: y["celex"] == x["celex"]), acc).otherwise(F.concat(acc, F.array(x))),
+    )
+    return F.coalesce(first, F.array().cast("array<struct<celex string, raw string>>"))
+
+
+def celex_ids(text: Column) -> Column:
+    """Identifiers of the acts that prose names, distinct, in order of first mention."""
+    return F.transform(mentions(text), lambda m: m["celex"])
+
+
+def reference_meta(text: Column) -> Column:
+    """Context, keyword and articles of each act that prose names, by identifier."""
+
+    def one(m: Column) -> Column:
+        clause = F.coalesce(clause_around(text, m["raw"]), F.lit(""))
+        return F.struct(m["celex"], F.struct(clause.alias("context"), reference_type(clause)["keyword"].alias("keyword"), articles(clause).alias("articles")))
 
-    named = F.arrays_zip(*groups)
-    return F.array_distinct(F.filter(F.transform(named, one), lambda x: x.isNotNull()))
+    return F.map_from_entries(F.transform(mentions(text), one))
 
 
 def celex_of(ref: Column) -> Column:
