@@ -43,10 +43,17 @@ def _clear() -> None:
         _delete(*_made.pop())
 
 
-def table(df: DataFrame, name: str, *parts: str) -> DataFrame:
-    """df, computed once, as a table in the shared folder: its lineage is cut and any executor can be lost."""
+ROWS_A_FILE = 200_000
+
+
+def table(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """df, computed once, as a table in the shared folder: its lineage is cut and any executor can be lost.
+
+    rows: at most so many, which are cheap to make; they go to as many tasks and files as they fill.
+    """
+    df = df if rows is None else df.coalesce(max(1, -(-rows // ROWS_A_FILE)))
     spark, path = df.sparkSession, f"{shared_dir(df.sparkSession)}/statuta-{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*parts).parquet(path)
+    df.write.parquet(path)
     _made.append((spark, path))
     back = spark.read.schema(df.schema).parquet(path)
     back._statuta_path = path

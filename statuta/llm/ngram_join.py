@@ -4,14 +4,16 @@
    collisions in the sketch touch the speed only. Two linked sets share a shingle among the first n - ceil(0.8 n) + 1 of either.
 2. Those prefix shingles are dealt out by shingle and sorted; a stream over them gives each document the smallest document of
    like size with that shingle as its leader, and holds one run's leader at a time, however many documents share the shingle.
-3. Candidates of a leader, in blocks of ``BLOCK``, are stored in a prefix tree of their ordered sets. The leader's set walks the
-   tree: what sets share at their start is compared once, and a subtree is left as soon as its overlap so far and what
-   remains of either side can't reach the bound.
-4. Links give components. Pairs that share a prefix shingle but lie in different components are then all checked in the same
-   way, but for those that sizes and places in the order exclude. Pairs inside a component can't change the result.
+3. A leader's set walks a prefix tree of its candidates' ordered sets, in blocks of ``BLOCK``: what sets share at their start
+   is compared once, and a subtree is left as soon as its overlap so far and what remains of either side can't reach the bound.
+   Each document goes to the one leader that most of its shingles name, so a round costs one check each document.
+4. Links give components. Only shingles whose documents lie in different components matter further: ``ROUNDS`` more rounds
+   give each of them another leader, which joins what one leader's set was too far from.
+5. What is still apart is checked in full: components that share a prefix shingle and that sizes, places in the order and
+   counts of shared shingles don't exclude. The larger one's sets fill trees, in blocks; the smaller one's walk all of them.
 
-So no link between different components is lost, exact and near copies of one text cost a check each rather than one each
-pair, and there is no cap on partners or candidates.
+So no link between different components is lost, exact and near copies of one text cost a few checks each rather than one
+each pair, pairs exist in a tree walk only, and there is no cap on partners or candidates.
 
 Defined results: a document without words has 0 shingles and is its own component; with fewer words than ``WIDTH`` its whole
 sequence is its one shingle. Rows with equal doc_id share a component. A row without doc_id has no component and no links.
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -33,6 +35,7 @@ WIDTH, PERCENT = 5, 80
 SKETCH = 22
 SKETCH_BLOCK = 1 << 16
 BLOCK = 64
+ROUNDS = 2
 MARKS = 21
 
 
@@ -203,64 +206,114 @@ class PrefixTree:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links among rows sorted by leader, block and kind: the leader's set, then its block's candidates."""
+    """Links (probe, stored) among rows sorted by unit and block: stored texts fill a tree that the block's probes walk."""
     key, probes, docs, sets = None, [], [], []
 
     def flush() -> Iterator[pa.RecordBatch]:
         if probes and sets:
             tree = PrefixTree(sets)
-            hits = {docs[k] for p in probes for k in tree.walk(p)}
+            hits = sorted({(doc, docs[k]) for doc, s in probes for k in tree.walk(s) if docs[k] != doc})
             if hits:
-                yield pa.record_batch([pa.array([key[0]] * len(hits), pa.int64()), pa.array(sorted(hits), pa.int64())], names=["a", "b"])
+                yield pa.record_batch([pa.array([h[0] for h in hits], pa.int64()), pa.array([h[1] for h in hits], pa.int64())], names=["a", "b"])
 
     for b in batches:
-        leaders, blocks, doc = (b.column(k).to_pylist() for k in range(3))
-        for k, here in enumerate(zip(leaders, blocks, strict=True)):
-            if here != key:
+        units, blocks, probe, doc = (b.column(k).to_pylist() for k in range(4))
+        for k, s in shingle_sets(b.column(4)):
+            if (here := (units[k], blocks[k])) != key:
                 yield from flush()
                 key, probes, docs, sets = here, [], [], []
-            s = np.frombuffer(b.column(3)[k].as_buffer(), dtype=np.uint64)
-            if doc[k] == here[0]:
-                probes.append(s)
+            if probe[k]:
+                probes.append((doc[k], s))
             else:
                 docs.append(doc[k])
                 sets.append(s)
     yield from flush()
 
 
-def _sets_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc, shingles of the documents wanted (doc): a bit map of fixed size spares most of the others the work, a semi join the rest."""
-    marked = {r[0] for r in wanted.select(F.shiftrightunsigned(F.xxhash64("doc"), 64 - MARKS).alias("m")).distinct().collect()}
+def _texts_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc, text of the documents wanted (doc) and of few others: a bit map of fixed size holds back most that aren't wanted."""
+    marked = [r[0] for r in wanted.select(F.shiftrightunsigned(F.xxhash64("doc"), 64 - MARKS).alias("m")).distinct().collect()]
     marks = np.zeros(1 << MARKS, dtype=bool)
-    marks[list(marked)] = True
-    marks = np.packbits(marks)
+    marks[marked] = True
+    packed = np.packbits(marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine = np.unpackbits(marks).astype(bool)
+        mine = np.unpackbits(packed).astype(bool)
         for b in batches:
             b = b.filter(pa.array(mine[b.column(2).to_numpy(zero_copy_only=False)]))
-            found = [(b.column(0)[row].as_py(), s.tobytes()) for row, s in shingle_sets(b.column(1))]
-            yield pa.record_batch([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.binary())], names=["doc", "shingles"])
+            yield pa.record_batch([b.column(0), b.column(1)], names=["doc", "text"])
 
     hashed = documents.withColumn("mark", F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - MARKS))
-    return hashed.mapInArrow(run, "doc long, shingles binary").join(wanted, "doc", "left_semi")
-
-
-def _links(pairs: DataFrame, documents: DataFrame, name: str) -> DataFrame:
-    """The pairs (leader, doc) that are linked, as a table (a, b)."""
-    pairs = C.table(pairs, f"{name}-pairs")
-    wanted = pairs.select("doc").union(pairs.select(F.col("leader").alias("doc"))).distinct()
-    sets = C.table(_sets_of(documents, wanted), f"{name}-sets")
-    blocks = pairs.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = pairs.join(blocks, "leader").select("leader", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int").alias("block"), "doc")
-    heads = blocks.select("leader", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("leader").alias("doc"))
-    rows = dealt.union(heads).join(sets, "doc").select("leader", "block", "doc", "shingles")
-    found = rows.repartition("leader", "block").sortWithinPartitions("leader", "block").mapInArrow(_verify, "a long, b long")
-    links = C.table(found, f"{name}-links")
-    C.drop(pairs, sets)
+    return hashed.mapInArrow(run, "doc long, text string")
+
+
+def _walk(stored: DataFrame, probes: DataFrame, documents: DataFrame, name: str) -> DataFrame:
+    """The links, as a table (a, b), of probes (unit, doc) with what is stored (unit, doc). Texts are shuffled, as sets are larger."""
+    texts = _texts_of(documents, stored.select("doc").union(probes.select("doc")))
+    blocks = stored.groupBy("unit").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
+    rows = stored.join(blocks, "unit").select("unit", block.alias("block"), F.lit(False).alias("probe"), "doc")
+    sent = probes.join(blocks, "unit").select("unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("probe"), "doc")
+    rows = rows.union(sent).join(texts, "doc").select("unit", "block", "probe", "doc", "text")
+    found = rows.repartition("unit", "block").sortWithinPartitions("unit", "block").mapInArrow(_verify, "a long, b long")
+    return C.table(found, f"{name}-links")
+
+
+def _by_leader(pairs: DataFrame, documents: DataFrame, name: str, rows: int) -> DataFrame:
+    """The links among at most so many pairs (leader, doc): a leader walks its candidates."""
+    pairs = C.table(pairs, f"{name}-pairs", rows)
+    leaders = pairs.select(F.col("leader").alias("unit"), F.col("leader").alias("doc")).distinct()
+    links = _walk(pairs.select(F.col("leader").alias("unit"), "doc"), leaders, documents, name)
+    C.drop(pairs)
     return links
 
 
+def _one_leader(rows: DataFrame) -> DataFrame:
+    """leader, doc: of each document's leaders the one that most of its shingles name."""
+    counts = rows.groupBy("doc", "leader").agg(F.count("*").alias("times"))
+    return counts.groupBy("doc").agg(F.max_by("leader", F.struct("times", "leader")).alias("leader")).select("leader", "doc")
+
+
+def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (node, label) after more links (a, b)."""
+    of = labels.select(F.col("node").alias("x"), F.col("label").alias("lx"))
+    over = links.join(of, F.col("a") == F.col("x"), "left").select("a", F.coalesce("lx", "a").alias("la"), "b")
+    n, m = labels.count(), links.count()
+    over = C.table(over.join(of, F.col("b") == F.col("x"), "left").select("a", "la", "b", F.coalesce("lx", "b").alias("lb")), "over", m)
+    joined = components(over.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()).withColumnsRenamed({"node": "old", "label": "new"})
+    nodes = labels.union(over.select("a", "la")).union(over.select("b", "lb")).distinct()
+    out = nodes.join(joined, F.col("label") == F.col("old"), "left").select("node", F.coalesce("new", "label").alias("label"))
+    return C.table(out.groupBy("node").agg(F.min("label").alias("label")), "labels", n + 2 * m)
+
+
+def _mixed(own: DataFrame, rows: int) -> DataFrame:
+    """Rows, of at most so many, of shingles that different components share."""
+    both = own.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("token")
+    return C.table(own.join(both, "token", "left_semi"), "mixed", rows)
+
+
+def _regroup(own: DataFrame, labels: DataFrame) -> DataFrame:
+    new = labels.withColumnsRenamed({"node": "doc", "label": "new"})
+    return own.join(new, "doc", "left").withColumn("group", F.coalesce("new", "group")).select("token", "doc", "n", "at", "before", "central", "group")
+
+
+def _may_link(a: str, b: str):
+    """Whether rows a and b of one shingle can belong to linked sets: shingles shared before it, itself, and what comes after.
+
+    Columns n_, before_, after_ (a group's largest or least of them) end in a and b.
+    """
+    c = lambda name, x: F.col(f"{name}_{x}")
+    most = F.least(c("before", a), c("before", b)) + F.least(c("after", a), c("after", b)) + 1
+    sizes = (c("hi", a) * 100 >= c("lo", b) * PERCENT) & (c("hi", b) * 100 >= c("lo", a) * PERCENT)
+    return (most * (100 + PERCENT) >= (c("lo", a) + c("lo", b)) * PERCENT) & sizes
+
+
+def _shape(x: str) -> list:
+    """n, shared shingles before and shingles after, in the names of _may_link."""
+    after = F.col("n") - F.col("at") - 1
+    return [F.col("n").alias(f"lo_{x}"), F.col("n").alias(f"hi_{x}"), F.col("before").alias(f"before_{x}"), after.alias(f"after_{x}")]
+
+
 def join(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     documents = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -268,29 +321,50 @@ def join(documents: DataFrame) -> DataFrame:
     named = documents.where("doc_id is not null")
     runs = _prefixes(named, rarity).repartition("token").sortWithinPartitions("token", F.shiftright("sized", 32), "doc")
     shared = C.table(runs.mapInArrow(_lead, "token long, doc long, sized long, leader long"), "shared")
-    links = _links(shared.where("leader is not null").select("leader", "doc").distinct(), named, "first")
-    labels = components(links)
-
-    own = shared.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("token", "doc", "sized", F.coalesce("label", "doc").alias("group"))
-    own = C.table(own, "grouped")
-    mixed = own.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("token")
-    own = C.table(own.join(mixed, "token", "left_semi"), "mixed")
-    x, y = own.toDF("token", "doc", "sized", "group"), own.toDF("token", "doc2", "sized2", "group2")
-    (n, at), (m, to) = ((F.shiftright(c, 32).cast("long"), F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))) for c in ("sized", "sized2"))
-    most = F.least(at, to) + F.least(n - at, m - to)
-    fit = (most * (100 + PERCENT) >= (n + m) * PERCENT) & (n * 100 >= m * PERCENT) & (m * 100 >= n * PERCENT)
-    across = x.join(y, (x.token == y.token) & (F.col("group") < F.col("group2")) & fit)
-    across = across.select(F.least("doc", "doc2").alias("leader"), F.greatest("doc", "doc2").alias("doc")).distinct()
-    more = _links(across, named, "second")
-
+    n = shared.count()
+    labels = components(_by_leader(_one_leader(shared.where("leader is not null")), named, "first", n))
+
+    own = shared.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
+        "token", "doc", F.shiftright("sized", 32).cast("long").alias("n"), F.col("sized").bitwiseAND(F.lit(0xFFFFFFFF)).alias("at"), F.coalesce("label", "doc").alias("group")
+    )
+    before = F.row_number().over(Window.partitionBy("doc").orderBy("at")) - 1
+    central = F.count("*").over(Window.partitionBy("doc")) / (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
+    own = _mixed(C.table(own.select("token", "doc", "n", "at", before.cast("long").alias("before"), central.alias("central"), "group"), "own"), n)
+    C.drop(shared)
+    for k in range(ROUNDS):
+        n = own.count()
+        # First the document with most shared shingles leads, as it is nearest to the others; then any.
+        rank = F.struct(-F.col("central") if k == 0 else F.lit(0.0), F.xxhash64(F.lit(k), "doc"))
+        first = own.groupBy("token").agg(F.min_by(F.struct(F.col("doc").alias("leader"), *_shape("b"), F.col("group").alias("of")), rank).alias("l")).select("token", "l.*")
+        near = own.select("token", "doc", "group", *_shape("a")).join(first, "token").where((F.col("group") != F.col("of")) & _may_link("a", "b"))
+        links = _by_leader(_one_leader(near), named, f"round{k}", n)
+        if not links.limit(1).count():
+            break
+        labels = _merge(labels, links)
+        new = _mixed(_regroup(own, labels), n)
+        C.drop(own, links)
+        own = new
+
+    within = own.groupBy("token", "group").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("before").alias("before"), F.max(F.col("n") - F.col("at") - 1).alias("after")
+    )
+    # Shingles shared by the same components stand for one: their hash sums are equal, and the widest bounds of them hold.
+    twice = [F.sum(F.xxhash64(F.lit(k), "group").cast("decimal(20,0)")).alias(f"sum{k}") for k in range(2)]
+    alike = within.groupBy("token").agg(*twice).select("token", F.xxhash64("sum0", "sum1").alias("set0"), F.xxhash64("sum1", "sum0").alias("set1"))
+    within = within.join(alike, "token").groupBy("set0", "set1", "group").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("before").alias("before"), F.max("after").alias("after"))
+    sides = [within.select("set0", "set1", F.col("group").alias(f"group_{x}"), *(F.col(c).alias(f"{c}_{x}") for c in ("lo", "hi", "before", "after"))) for x in "ab"]
+    across = sides[0].join(sides[1], ["set0", "set1"]).where((F.col("group_a") < F.col("group_b")) & _may_link("a", "b")).select("group_a", "group_b").distinct()
+    n = own.count()
+    members = C.table(own.select("group", "doc").distinct(), "members", n)
+    counts = members.groupBy("group").agg(F.count("*").alias("size"))
+    across = across.join(counts.toDF("group_a", "size_a"), "group_a").join(counts.toDF("group_b", "size_b"), "group_b")
+    large = F.when(F.col("size_a") >= F.col("size_b"), F.col("group_a")).otherwise(F.col("group_b"))
+    across = C.table(across.select(large.alias("unit"), F.when(large == F.col("group_a"), F.col("group_b")).otherwise(F.col("group_a")).alias("small")), "across")
+    stored = members.withColumnRenamed("group", "unit").join(across.select("unit").distinct(), "unit", "left_semi").select("unit", "doc")
+    probes = across.join(members, F.col("small") == F.col("group")).select("unit", "doc").distinct()
+    more = _walk(stored, probes, named, "last")
     if more.limit(1).count():
-        label = labels.withColumnsRenamed({"node": "x", "label": "lx"})
-        over = more.join(label, F.col("a") == F.col("x"), "left").select(F.coalesce("lx", "a").alias("a"), "b")
-        over = over.join(label, F.col("b") == F.col("x"), "left").select("a", F.coalesce("lx", "b").alias("b"))
-        joined = components(over).withColumnsRenamed({"node": "old", "label": "new"})
-        nodes = labels.select("node", "label").union(over.select(F.col("a").alias("node"), F.col("a").alias("label"))).union(over.select(F.col("b").alias("node"), F.col("b").alias("label"))).distinct()
-        labels = nodes.join(joined, F.col("label") == F.col("old"), "left").select("node", F.coalesce("new", "label").alias("label"))
-        labels = labels.groupBy("node").agg(F.min("label").alias("label"))
+        labels = _merge(labels, more)
     out = sizes.join(labels, F.col("doc_id") == F.col("node"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id"))
 
