@@ -44,7 +44,7 @@ def dedup(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     pieces = pieces.where(F.instr("__chunk", "\n") > 0).withColumns({"__h": F.xxhash64("__chunk"), "__g": F.xxhash64(F.lit("again"), "__chunk")})
     place = F.struct("__id", "__row", "__at")
     first = pieces.groupBy("__h", "__g").agg(F.min(place).alias("__first"), F.max(place).alias("__last"))
-    first = first.where(~F.col("__first").eqNullSafe(F.col("__last"))).drop("__last")
+    first = table(first.where(~F.col("__first").eqNullSafe(F.col("__last"))).drop("__last"), "first")  # apart, so that the join can split hot chunks
     again = table(pieces.join(first, ["__h", "__g"]), "chunks")
     is_first = place.eqNullSafe(F.col("__first"))
     kept = again.where(is_first).select("__h", "__g", F.col("__chunk").alias("__same")).distinct()
