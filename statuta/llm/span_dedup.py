@@ -45,7 +45,7 @@ def dedup(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     again = table(runs.join(many, "__h", "left_semi"), "spans")
     place = F.struct("__id", "__row", "__at")
     first = again.groupBy("__h", "__g").agg(F.min(place).alias("__first"), F.max(place).alias("__last"))
-    first = first.where(~F.col("__first").eqNullSafe(F.col("__last"))).drop("__last")
+    first = table(first.where(~F.col("__first").eqNullSafe(F.col("__last"))).drop("__last"), "first")  # apart, so that the join can split hot spans
     cut = again.join(first, ["__h", "__g"]).where(~place.eqNullSafe(F.col("__first")))
     cut = cut.groupBy(F.col("__id").alias("__of"), F.col("__row").alias("__of_row")).agg(F.collect_set("__at").alias("__starts"))
 
