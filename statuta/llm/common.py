@@ -210,14 +210,22 @@ def add_blocks(rows: DataFrame, dtype: str, sum_dtype: str) -> DataFrame:
                     sums[k] += v
                 else:
                     sums[k] = v.astype(sum_dtype)
-        yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["block", "cells"])
+        yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([zlib.compress(v.tobytes(), 1) for v in sums.values()], pa.binary())], names=["block", "cells"])
 
     return rows.repartition("block").mapInArrow(add, "block int, cells binary")
 
 
+def blocks(summed: DataFrame, dtype: str) -> Iterator[tuple[int, np.ndarray]]:
+    """(block, cells) of the summed vector, one block at a time on the driver; packed, they are small whatever the input."""
+    rows = summed.collect()
+    while rows:
+        k, cells = rows.pop()
+        yield k, np.frombuffer(zlib.decompress(cells), dtype=dtype)
+
+
 def collect_blocks(summed: DataFrame, shape: tuple[int, ...], block: int, dtype: str) -> np.ndarray:
     """The summed vector on the driver: its size is fixed by shape, whatever the input."""
     out = np.zeros(shape, dtype=dtype)
-    for k, cells in summed.collect():
-        out[k * block : (k + 1) * block] = np.frombuffer(bytes(cells), dtype=dtype).reshape(block, *shape[1:])
+    for k, cells in blocks(summed, dtype):
+        out[k * block : (k + 1) * block] = cells.reshape(block, *shape[1:])
     return out

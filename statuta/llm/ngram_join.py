@@ -85,8 +85,10 @@ def _count(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
         yield pa.RecordBatch.from_arrays([*found.columns, pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.int64())], schema=schema)
 
     both = C.table(documents.mapInArrow(run, "block int, cells binary, doc_id long, n long"), "sizes")
-    total = C.collect_blocks(C.add_blocks(both.where("block is not null").select("block", "cells"), "uint32", "int64"), (1 << SKETCH,), SKETCH_BLOCK, "int64")
-    return both.where("block is null").select("doc_id", "n"), np.floor(256 * np.log2(total + 1.0)).astype(np.uint16)
+    rarity = np.zeros(1 << SKETCH, dtype=np.uint16)
+    for k, total in C.blocks(C.add_blocks(both.where("block is not null").select("block", "cells"), "uint32", "int64"), "int64"):
+        rarity[k * SKETCH_BLOCK : (k + 1) * SKETCH_BLOCK] = np.floor(256 * np.log2(total + 1.0))
+    return both.where("block is null").select("doc_id", "n"), rarity
 
 
 def _prefixes(documents: DataFrame, rarity: np.ndarray) -> DataFrame:

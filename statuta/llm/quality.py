@@ -118,9 +118,10 @@ def weigh(documents: DataFrame, labelled: dict[int, bool]) -> np.ndarray:
         add()
         yield C.block_rows(cells, BLOCK)
 
-    shape, cells = (1 << BITS, 2), documents.select("doc_id", "text").mapInArrow(count, "block int, cells binary")
-    cells = C.collect_blocks(C.add_blocks(cells, "uint16", "int64"), shape, BLOCK, "int64")
-    raw, wanted = cells[:, 0].astype(np.float64), cells[:, 1].astype(np.float64)
+    rows = documents.select("doc_id", "text").mapInArrow(count, "block int, cells binary")
+    raw, wanted = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for k, cells in C.blocks(C.add_blocks(rows, "uint16", "int64"), "int64"):
+        raw[k * BLOCK : (k + 1) * BLOCK], wanted[k * BLOCK : (k + 1) * BLOCK] = cells[0::2], cells[1::2]
     if not wanted.sum():
         return np.zeros(1 << BITS, np.float32)
     ratio = np.log((wanted + 1) / (raw * (wanted.sum() / raw.sum()) + 1))
