@@ -1,0 +1,144 @@
+"""Substring dedup by sentences and by words: op10's runs of sentences, and spans of words wherever a sentence is long or cut.
+
+Two kinds of spans are hashed to 128 bits, counted globally, and cut wherever they aren't the first, by (doc_id, place):
+
+1. ``span_dedup.RUN`` consecutive sentences, trimmed; a text of fewer is one span. As there, but of ``span_dedup.LEAST`` characters.
+2. ``WORDS`` words that begin at an anchor. Anchors are the smallest hashes of neighbouring words, the last of equal ones, in each
+   window of ``WORDS`` words. A window has its anchor wherever it stands, so a passage of ``2 * WORDS - 2`` words or more that
+   occurs twice holds a span that occurs twice, whatever its sentences are and wherever it begins and ends.
+
+So no passage of 50 words of an earlier text stays whole. At the edges of one fewer than ``WORDS`` words can stay. Words are those
+of ``common``: equal but for blanks and the case of A-Z.
+
+Defined results: every row is returned; a null text stays null, a text that only repeats becomes empty. A text that repeats over
+itself keeps its beginning. Rows with equal doc_id and text are one document and stay alike; a null doc_id comes first. Other
+columns pass untouched. ``removed_sentences`` counts the sentences cut, whole or in part.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import common as C
+from .span_dedup import LEAST, RUN, SENTENCE
+
+WORDS = 25
+_SENTENCE = re.compile(SENTENCE.encode())
+
+
+def _sentence_spans(raw: bytes) -> Iterator[tuple[int, int, int, int]]:
+    """(begin, end, two hashes) of each run of sentences, in bytes."""
+    units = [(m.start(), m.end()) for m in _SENTENCE.finditer(raw)]
+    trimmed = [raw[b:e].strip(b" \t\r\n") for b, e in units]
+    width = min(RUN, len(units))
+    for k in range(len(units) - width + 1 if units else 0):
+        run = b"\n".join(trimmed[k : k + width])
+        if len(run.decode()) >= LEAST:
+            d = hashlib.blake2b(run, digest_size=16).digest()
+            yield units[k][0], units[k + width - 1][1], int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+
+
+def _words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and begins of words; a long text in pieces cut at white space."""
+    whole, found, lo = np.frombuffer(raw, dtype=np.uint8), [], 0
+    while lo < len(raw):
+        hi = min(len(raw), lo + C.PIECE)
+        while hi < len(raw) and not C._SPACE[raw[hi]]:
+            hi += 1
+        h, starts = C.hash_words(whole[lo:hi], np.zeros(1, np.int64))
+        found.append((h, starts + lo))
+        lo = hi
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def _word_spans(raw: bytes) -> tuple[np.ndarray, ...]:
+    """Begins, ends and two hashes of the spans at anchors."""
+    h, starts = _words(raw)
+    if len(h) < WORDS:
+        return (np.zeros(0, np.int64),) * 4
+    pairs = C.mix(h[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + h[1:])
+    n = len(pairs) - WORDS + 2
+    last = np.lib.stride_tricks.sliding_window_view(pairs[::-1], WORDS - 1).argmin(axis=1)[::-1]
+    p = np.unique(np.arange(n) + WORDS - 2 - last)
+    p = p[p + WORDS <= len(h)]
+    one, two = np.zeros(len(p), np.uint64), np.zeros(len(p), np.uint64)
+    for k in range(WORDS):
+        one, two = one * np.uint64(0xC2B2AE3D27D4EB4F) + h[p + k], C.mix(two + h[p + k])
+    return starts[p], np.append(starts, len(raw))[p + WORDS], C.mix(one).view(np.int64), two.view(np.int64)
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, row, begin, end, two hashes) of (id, row, text)."""
+    for b in batches:
+        at, parts = [], []
+        for k, text in enumerate(b.column(2)):
+            raw = text.as_py().encode()
+            s = list(zip(*_sentence_spans(raw))) or [()] * 4
+            w = _word_spans(raw)
+            parts.append([np.concatenate([np.array(x, dtype=np.int64), y]) for x, y in zip(s, w, strict=True)])
+            at.append(np.full(len(parts[-1][0]), k))
+        if at:
+            at, parts = np.concatenate(at), [np.concatenate(x) for x in zip(*parts)]
+            for lo in range(0, len(at), 1 << 16):
+                part = slice(lo, lo + (1 << 16))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at[part])), b.column(1).take(pa.array(at[part])), *(pa.array(x[part]) for x in parts)], names=["__id", "__row", "__at", "__to", "__h", "__g"])
+
+
+def _without(raw: bytes, cuts: list[tuple[int, int]]) -> tuple[str, int]:
+    """The text left, and how many sentences were cut."""
+    merged: list[list[int]] = []
+    for b, e in sorted(cuts):
+        if merged and b <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], e)
+        else:
+            merged.append([b, e])
+    kept, last = [], 0
+    for b, e in merged:
+        kept.append(raw[last:b])
+        last = e
+    units = np.array([(m.start(), m.end()) for m in _SENTENCE.finditer(raw)])
+    begins, ends = np.array(merged).T
+    touched = np.searchsorted(ends, units[:, 0], side="right") < np.searchsorted(begins, units[:, 1], side="left")
+    return b"".join([*kept, raw[last:]]).decode(), int(touched.sum())
+
+
+def dedup(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """All rows and columns, with repeated spans cut out of the text, and the number of sentences cut as removed_sentences."""
+    row, kind = F.xxhash64(F.col(text)).alias("__row"), documents.schema[doc_id].dataType.simpleString()
+    rows = documents.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("__id"), row, F.col(text).alias("__text"))
+    runs = rows.mapInArrow(_spans, f"__id {kind}, __row long, __at long, __to long, __h long, __g long")
+    many = runs.groupBy("__h").count().where("count > 1").select("__h")
+    again = C.table(runs.join(many, "__h", "left_semi"), "passages")
+    place = F.struct("__id", "__row", "__at", "__to")
+    first = again.groupBy("__h", "__g").agg(F.min(place).alias("__first"), F.max(place).alias("__last"))
+    first = C.table(first.where(~F.col("__first").eqNullSafe(F.col("__last"))).drop("__last"), "first")  # apart, so that the join can split hot spans
+    cut = again.join(first, ["__h", "__g"]).where(~place.eqNullSafe(F.col("__first")))
+    cut = cut.groupBy(F.col("__id").alias("__of"), F.col("__row").alias("__of_row")).agg(F.collect_set(F.struct("__at", "__to")).alias("__cuts"))
+
+    names = documents.columns
+    plain = documents.toDF(*(own := [f"c{k}" for k in range(len(names))]))
+    t, i = (f"c{names.index(c)}" for c in (text, doc_id))
+    joined = plain.withColumn("__row", F.xxhash64(t)).join(cut, F.col(i).eqNullSafe(F.col("__of")) & (F.col("__row") == F.col("__of_row")), "left")
+    joined = joined.select(*own, F.transform("__cuts", lambda x: x["__at"]).alias("__begins"), F.transform("__cuts", lambda x: x["__to"]).alias("__ends"))
+    where = names.index(text)
+
+    def cutting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            columns, old = b.columns, b.column(where)
+            new, removed = [], []
+            for x, begins, ends in zip(old, b.column(len(names)), b.column(len(names) + 1)):
+                value, n = (x.as_py(), 0) if not begins.is_valid else _without(x.as_py().encode(), list(zip(begins.as_py(), ends.as_py())))
+                new.append(value)
+                removed.append(n)
+            columns[where] = pa.array(new, old.type)
+            yield pa.RecordBatch.from_arrays([*columns[: len(names)], pa.array(removed, pa.int64())], names=[*own, "removed"])
+
+    schema = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(documents.schema)) + ", removed long"
+    return joined.mapInArrow(cutting, schema).toDF(*names, "removed_sentences")

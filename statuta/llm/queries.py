@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, chat, decontaminate, html_text, line_dedup, mixing, ngram_join, quality, span_dedup, token_count
+from . import audio, chat, decontaminate, html_text, line_dedup, mixing, ngram_join, passage_dedup, quality, span_dedup, token_count
 from .common import read
 
 
@@ -64,6 +64,11 @@ def op10_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_dedup.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without repeated spans of sentences or of words."""
+    return passage_dedup.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_count": op1_token_count,
     "op2_decontaminate": op2_decontaminate,
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
     "op10_span_dedup": op10_span_dedup,
+    "op10_passage_dedup": op10_passage_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -1,0 +1,52 @@
+import random
+
+from statuta.llm import passage_dedup as P
+from statuta.llm import queries
+
+from .data import AWKWARD, WORDS, documents, text
+
+
+def held(texts, width=50):
+    """Words' windows of each text that an earlier one holds too, by brute force."""
+    seen, out = set(), []
+    for t in texts:
+        w = t.lower().split()
+        own = {tuple(w[k : k + width]) for k in range(len(w) - width + 1)}
+        out.append(len(own & seen))
+        seen |= own
+    return out
+
+
+def long_sentences():
+    """Passages of 50 words or more inside one or two sentences, whose edges are cut in mid-sentence."""
+    rng = random.Random(3)
+    words = [f"{a}{b}" for a in WORDS for b in WORDS]
+    made = []
+    for k in range(40):
+        passage = " ".join(rng.choice(words) for _ in range(rng.randint(50, 90)))
+        for _ in range(2):
+            body = passage.replace(" ", ". ", 1) if k % 4 == 0 else passage
+            before, after = (" ".join(rng.choice(words) for _ in range(rng.randint(0, 30))) for _ in range(2))
+            made.append((len(made), f"{text(rng, 3)} {before} {body} {after}. {text(rng, 3)}"))
+    return made
+
+
+def test_no_passage_of_50_words_stays(spark):
+    made = long_sentences()
+    assert sum(x > 0 for x in held([t for _, t in made])) == 40
+    got = sorted(P.dedup(documents(spark, made)).collect(), key=lambda r: r.doc_id)
+    assert not any(held([r.text for r in got]))
+    assert all(r.text == t and r.removed_sentences == 0 for r, (_, t) in list(zip(got, made))[::2])
+    assert all(r.removed_sentences > 0 for r in got[1::2])
+
+
+def test_columns_awkward_and_empty(spark):
+    docs = documents(spark, [*long_sentences()[:4], *AWKWARD, (900, "日本 " * 60), (901, "日本 " * 60)]).selectExpr("*", "1 as __at", "2 as count")
+    out = P.dedup(docs)
+    assert out.columns == [*docs.columns, "removed_sentences"] and out.count() == docs.count()
+    assert {r.doc_id: r.text for r in out.collect()}[901] == ""
+    assert P.dedup(docs.where("false")).count() == 0
+
+
+def test_registered():
+    assert "op10_passage_dedup" in queries.QUERIES
