@@ -2,7 +2,7 @@
 
 Two kinds of spans are hashed to 128 bits, counted globally, and cut wherever they aren't the first, by (doc_id, place):
 
-1. ``span_dedup.RUN`` consecutive sentences, trimmed; a text of fewer is one span. As there, but of ``span_dedup.LEAST`` characters.
+1. ``span_dedup.RUN`` consecutive sentences, trimmed, however short; a text of fewer is one span.
 2. ``WORDS`` words that begin at an anchor. Anchors are the smallest hashes of neighbouring words, the last of equal ones, in each
    window of ``WORDS`` words. A window has its anchor wherever it stands, so a passage of ``2 * WORDS - 2`` words or more that
    occurs twice holds a span that occurs twice, whatever its sentences are and wherever it begins and ends.
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
-from .span_dedup import LEAST, RUN, SENTENCE
+from .span_dedup import RUN, SENTENCE
 
 WORDS = 25
 _SENTENCE = re.compile(SENTENCE.encode())
@@ -40,9 +40,8 @@ def _sentence_spans(raw: bytes) -> Iterator[tuple[int, int, int, int]]:
     width = min(RUN, len(units))
     for k in range(len(units) - width + 1 if units else 0):
         run = b"\n".join(trimmed[k : k + width])
-        if len(run.decode()) >= LEAST:
-            d = hashlib.blake2b(run, digest_size=16).digest()
-            yield units[k][0], units[k + width - 1][1], int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+        d = hashlib.blake2b(run, digest_size=16).digest()
+        yield units[k][0], units[k + width - 1][1], int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
 def _words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:

@@ -40,6 +40,13 @@ def test_no_passage_of_50_words_stays(spark):
     assert all(r.removed_sentences > 0 for r in got[1::2])
 
 
+def test_short_runs_are_spans(spark):
+    lines = "Wh the.\nIn so.\nOf it.\nNo.\n"
+    made = [(1, lines), (2, lines), (3, "Er. Na."), (4, "Er. Na."), (5, "Alone."), (6, "Not the same. " + "In so.\nOf it."), (7, "Wh the.")]
+    got = {r.doc_id: (r.text, r.removed_sentences) for r in P.dedup(documents(spark, made)).collect()}
+    assert got == {1: (lines, 0), 2: ("", 4), 3: ("Er. Na.", 0), 4: ("", 2), 5: ("Alone.", 0), 6: ("Not the same. ", 2), 7: ("Wh the.", 0)}
+
+
 def test_columns_awkward_and_empty(spark):
     docs = documents(spark, [*long_sentences()[:4], *AWKWARD, (900, "日本 " * 60), (901, "日本 " * 60)]).selectExpr("*", "1 as __at", "2 as count")
     out = P.dedup(docs)
