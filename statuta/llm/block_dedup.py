@@ -1,0 +1,48 @@
+"""Line dedup without chunks: every two neighbouring lines that occur again, anywhere, are removed but for their first occurrence.
+
+``line_dedup`` finds a repeated block only where whole chunks of two lines or more fall inside it, and no run of equal lines. Here
+each line and the line after it are hashed at every place, so every repeated block of two lines or more is found, wherever its
+edges are. Pairs are matched by two 64-bit hashes, then compared byte by byte with the first occurrence, by (doc_id, place); only
+repeated pairs' texts are shuffled.
+
+Defined results: every row is returned; a null text stays null, a text that only repeats becomes empty; a line that repeats without
+its neighbours stays. Of a run of one equal line that occurs for the first time, the first line stays if the run has three lines or
+more. Rows with equal doc_id and text are one document and stay alike; a null doc_id comes first. Other columns pass untouched.
+Only DataFrame functions are used.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import table
+
+
+def pairs(text: Column) -> Column:
+    """Each line with the one after it; none for a text of one line."""
+    lines = F.split(text, "\n")
+    after = F.slice(lines, F.lit(2), F.size(lines))
+    return F.filter(F.zip_with(lines, after, lambda a, b: F.concat(a, F.lit("\n"), b)), lambda x: x.isNotNull())
+
+
+def dedup(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """All rows and columns, with repeated blocks of lines cut out of the text, and the number of lines cut as removed_lines."""
+    row, id_ = F.xxhash64(F.col(text)).alias("__row"), F.col(doc_id).alias("__id")
+    pieces = documents.where(F.col(text).isNotNull()).select(id_, row, F.posexplode(pairs(F.col(text))).alias("__at", "__pair"))
+    pieces = pieces.withColumns({"__h": F.xxhash64("__pair"), "__g": F.xxhash64(F.lit("again"), "__pair")})
+    place = F.struct("__id", "__row", "__at")
+    first = pieces.groupBy("__h", "__g").agg(F.min(place).alias("__first"), F.max(place).alias("__last"))
+    first = table(first.where(~F.col("__first").eqNullSafe(F.col("__last"))).drop("__last"), "first")  # apart, so that the join can split hot pairs
+    again = table(pieces.join(first, ["__h", "__g"]), "pairs")
+    is_first = place.eqNullSafe(F.col("__first"))
+    kept = again.where(is_first).select("__h", "__g", F.col("__pair").alias("__same")).distinct()
+    cut = again.where(~is_first).join(kept, ["__h", "__g"]).where(F.col("__pair") == F.col("__same"))
+    cut = cut.groupBy(F.col("__id").alias("__of"), F.col("__row").alias("__of_row")).agg(F.collect_set("__at").alias("__cut"))
+    cut = cut.select("__of", "__of_row", F.array_union("__cut", F.transform("__cut", lambda i: i + 1)).alias("__gone"))
+
+    joined = documents.withColumn("__row", row).join(cut, F.col(doc_id).eqNullSafe(F.col("__of")) & (F.col("__row") == F.col("__of_row")), "left")
+    rest = F.filter(F.split(F.col(text), "\n"), lambda _, i: ~F.array_contains("__gone", i))
+    new = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(rest, "\n"))
+    out = {c: new if c == text else F.col(c) for c in documents.columns}
+    return joined.select(*(v.alias(k) for k, v in out.items()), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("removed_lines"))

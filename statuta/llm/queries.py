@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, chat, decontaminate, html_text, line_dedup, mixing, ngram_join, passage_dedup, quality, span_dedup, token_count
+from . import audio, block_dedup, chat, decontaminate, html_text, line_dedup, mixing, ngram_join, passage_dedup, quality, span_dedup, token_count
 from .common import read
 
 
@@ -54,6 +54,11 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.link(chat.as_tool_use(read(spark, sf_dir, "conversations")), tools)
 
 
+def op6_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without repeated blocks of two lines or more."""
+    return block_dedup.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the benchmark items that they hold."""
     return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_html_text": op4_html_text,
     "op5_audio": op5_audio,
     "op6_line_dedup": op6_line_dedup,
+    "op6_block_dedup": op6_block_dedup,
     "op7_chat": op7_chat,
     "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,

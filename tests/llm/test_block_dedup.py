@@ -1,0 +1,47 @@
+import random
+
+from statuta.llm import block_dedup as B
+
+from .data import AWKWARD, documents, sentence
+
+
+def brute(rows):
+    seen, out = {}, []
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        if t is None:
+            out.append((i, None, 0))
+            continue
+        lines, gone = t.split("\n"), set()
+        for k in range(len(lines) - 1):
+            if seen.setdefault((lines[k], lines[k + 1]), (i, k)) != (i, k):
+                gone |= {k, k + 1}
+        out.append((i, "\n".join(x for k, x in enumerate(lines) if k not in gone), len(gone)))
+    return sorted(out, key=str)
+
+
+def rows():
+    rng = random.Random(9)
+    lines = [sentence(rng, 4) for _ in range(60)]
+    made = []
+    for k in range(60):
+        at = rng.randrange(50)
+        made.append((100 + k, "\n".join([sentence(rng, 5) for _ in range(rng.randint(0, 4))] + lines[at : at + rng.randint(2, 8)] + [sentence(rng, 5)] * rng.randint(0, 3))))
+    return [*made, (200, made[0][1]), (202, "\n\n\n\n"), (203, "one line"), (204, "one line"), *dict(AWKWARD).items()]
+
+
+def test_equals_brute_force(spark):
+    got = sorted(((r.doc_id, r.text, r.removed_lines) for r in B.dedup(documents(spark, rows())).collect()), key=str)
+    assert got == brute(rows()) and sum(r[2] > 0 for r in got) > 20
+
+
+def test_runs_of_one_line(spark):
+    made = [(1, "a\n" + "same\n" * 6 + "b"), (2, "c\n" + "same\n" * 6 + "d"), (3, "same\nx")]
+    got = {r.doc_id: r.text for r in B.dedup(documents(spark, made)).collect()}
+    assert got == {1: "a\nsame\nb", 2: "c\nd", 3: "same\nx"}
+
+
+def test_columns_and_empty_table(spark):
+    docs = documents(spark, rows()).selectExpr("*", "1 as __at", "'x' as `__pair`", "2 as __first")
+    out = B.dedup(docs)
+    assert out.columns == [*docs.columns, "removed_lines"] and out.count() == docs.count()
+    assert B.dedup(docs.where("false")).count() == 0
