@@ -40,6 +40,14 @@ def test_runs_of_one_line(spark):
     assert got == {1: "a\nsame\nb", 2: "c\nd", 3: "same\nx"}
 
 
+def test_every_repeated_block_is_found(spark):
+    rng = random.Random(10)
+    blocks = [[sentence(rng, 6) for _ in range(n)] for n in (2, 2, 3, 3, 4, 6, 9) for _ in range(8)]
+    made = [(2 * k + j, "\n".join([sentence(rng, 6), *b, sentence(rng, 6)])) for k, b in enumerate(blocks) for j in (0, 1)]
+    got = {r.doc_id: r for r in B.dedup(documents(spark, made)).collect()}
+    assert all(got[2 * k].removed_lines == 0 and got[2 * k + 1].removed_lines == len(b) for k, b in enumerate(blocks))
+
+
 def test_columns_and_empty_table(spark):
     docs = documents(spark, rows()).selectExpr("*", "1 as __at", "'x' as `__pair`", "2 as __first")
     out = B.dedup(docs)
