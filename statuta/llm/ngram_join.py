@@ -1,22 +1,28 @@
 """N-gram Jaccard join: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, by a prefix-tree join.
 
-1. One pass counts all shingles in a sketch of fixed size. Sketch count and hash give one global order, rare shingles first;
-   collisions in the sketch touch the speed only. Two linked sets share a shingle among the first n - ceil(0.8 n) + 1 of either.
-2. Those prefix shingles are dealt out by shingle and sorted; a stream over them gives each document the smallest document of
-   like size with that shingle as its leader, and holds one run's leader at a time, however many documents share the shingle.
+A node is a distinct set, named by a 64-bit hash of it, as shingles are by 60 bits; exact copies are one node from the start.
+
+1. One pass counts all shingles in a sketch of fixed size. Cells that stand out from chance are common; the global order is
+   rarity level, then hash, so common shingles come last. What the sketch can't tell apart touches the speed only.
+   Two linked sets share a shingle among the first n - ceil(0.8 n) + 1 of either.
+2. Those prefix shingles are dealt out by shingle and sorted; a stream over them gives each node the smallest node of
+   like size with that shingle as its leader, and holds one run's leader at a time, however many nodes share the shingle.
 3. A leader's set walks a prefix tree of its candidates' ordered sets, in blocks of ``BLOCK``: what sets share at their start
    is compared once, and a subtree is left as soon as its overlap so far and what remains of either side can't reach the bound.
-   Each document goes to the one leader that most of its shingles name, so a round costs one check each document.
-4. Links give components. Only shingles whose documents lie in different components matter further: ``ROUNDS`` more rounds
+   Each node goes to the one leader that most of its shingles name, so a round costs one check each node.
+4. Links give components. Only shingles whose nodes lie in different components matter further: ``ROUNDS`` more rounds
    give each of them another leader, which joins what one leader's set was too far from.
 5. What is still apart is checked in full: components that share a prefix shingle and that sizes, places in the order and
-   counts of shared shingles don't exclude. The larger one's sets fill trees, in blocks; the smaller one's walk all of them.
+   counts of shared shingles don't exclude. The larger one's sets fill trees, in blocks; the smaller one's walk all of them,
+   one at a time.
 
 So no link between different components is lost, exact and near copies of one text cost a few checks each rather than one
-each pair, pairs exist in a tree walk only, and there is no cap on partners or candidates.
+each pair, pairs exist in a tree walk only, and there is no cap on partners or candidates. Texts are fetched once, one for each
+node that shares a prefix shingle.
 
 Defined results: a document without words has 0 shingles and is its own component; with fewer words than ``WIDTH`` its whole
-sequence is its one shingle. Rows with equal doc_id share a component. A row without doc_id has no component and no links.
+sequence is its one shingle. doc_id may be of any type that has an order. Each row counts as a document by its own text, so
+rows of equal doc_id and different texts may differ in component. A row without doc_id has no component and no links.
 """
 
 from __future__ import annotations
@@ -32,11 +38,12 @@ from . import common as C
 from .components import components
 
 WIDTH, PERCENT = 5, 80
+TOKEN_BITS, LEVELS = 60, 8
 SKETCH = 22
 SKETCH_BLOCK = 1 << 16
 BLOCK = 64
 ROUNDS = 2
-MARKS = 21
+MARKS = 24
 
 
 def prefix_length(n: np.ndarray | int):
@@ -50,92 +57,133 @@ def linked(overlap: int, a: int, b: int) -> bool:
 
 def shingle_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     """(row, its sorted distinct shingles) of every row with words."""
+    spare = np.uint64(64 - TOKEN_BITS)
     for row, to, h, at in C.hashed(column):
         s, o = C.runs(h, at, WIDTH)
+        s = s >> spare
         for k in range(to - row):
             if o[k + 1] > o[k]:
-                yield row + k, np.unique(s[o[k] : o[k + 1]])
+                one = np.sort(s[o[k] : o[k + 1]])
+                fresh = np.empty(len(one), dtype=bool)
+                fresh[0] = True
+                np.not_equal(one[1:], one[:-1], out=fresh[1:])
+                yield row + k, one[fresh]
             elif at[k + 1] > at[k]:
                 one = np.array([at[k + 1] - at[k]], dtype=np.uint64)
                 for x in h[at[k] : at[k + 1]]:
                     one = C.mix(one * np.uint64(0xC2B2AE3D27D4EB4F) + x)
-                yield row + k, one
+                yield row + k, one >> spare
+
+
+def name_of(s: np.ndarray) -> int:
+    """The node of a set: a hash that doesn't depend on any order."""
+    total = np.array([C.mix(s).sum(dtype=np.uint64) + np.uint64(len(s))], dtype=np.uint64)
+    return int(C.mix(total).view(np.int64)[0])
+
+
+def _cells(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(TOKEN_BITS - SKETCH)).astype(np.int64)
+
+
+def ordered(s: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """A set in the global order, each shingle with its level above it."""
+    return np.sort((level[_cells(s)].astype(np.uint64) << np.uint64(TOKEN_BITS)) | s)
+
+
+def levels(cells: np.ndarray) -> np.ndarray:
+    """0 for cells that hold no more than chance explains, then one level for each fourfold of that."""
+    mean = float(cells.mean())
+    chance = mean + 6 * mean**0.5 + 8
+    return np.where(cells > chance, np.minimum(1 + np.log2(np.maximum(cells, 1) / chance) // 2, LEVELS - 1), 0).astype(np.uint8)
 
 
 def _count(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """Size of every document's set, and the sketch as ranks of rarity."""
+    """Size and node of every document's set, and the levels of the sketch's cells."""
+    id_type = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, waiting, size = np.zeros(1 << SKETCH, dtype=np.uint32), [], 0
-        shift = np.uint64(64 - SKETCH)
-        schema = pa.schema([("block", pa.int32()), ("cells", pa.binary()), ("doc_id", pa.int64()), ("n", pa.int64())])
+        cells, waiting, size, kind = np.zeros(1 << SKETCH, dtype=np.uint32), [], 0, None
+
+        def add() -> None:
+            at, times = np.unique(np.concatenate(waiting), return_counts=True)
+            cells[at] += times.astype(np.uint32)
+            waiting.clear()
+
+        names = ["block", "cells", "doc_id", "n", "node"]
         for b in batches:
-            n = np.zeros(b.num_rows, dtype=np.int64)
+            kind = b.column(0).type
+            n, node = np.zeros(b.num_rows, dtype=np.int64), np.zeros(b.num_rows, dtype=np.int64)
             for row, s in shingle_sets(b.column(1)):
-                n[row] = len(s)
-                waiting.append(s >> shift)
+                n[row], node[row] = len(s), name_of(s)
+                waiting.append(_cells(s).astype(np.int32))
                 size += len(s)
-                if size >= 1 << 21:
-                    cells += np.bincount(np.concatenate(waiting).astype(np.int64), minlength=1 << SKETCH).astype(np.uint32)
-                    waiting, size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary()), b.column(0), pa.array(n)], schema=schema)
+                if size >= 1 << 20:
+                    add()
+                    size = 0
+            yield pa.record_batch([pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary()), b.column(0), pa.array(n), pa.array(node, mask=n == 0)], names=names)
         if waiting:
-            cells += np.bincount(np.concatenate(waiting).astype(np.int64), minlength=1 << SKETCH).astype(np.uint32)
-        found = C.block_rows(cells, SKETCH_BLOCK)
-        yield pa.RecordBatch.from_arrays([*found.columns, pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.int64())], schema=schema)
+            add()
+        if kind is not None:
+            found = C.block_rows(cells, SKETCH_BLOCK)
+            yield pa.record_batch([*found.columns, pa.nulls(len(found), kind), pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.int64())], names=names)
 
-    both = C.table(documents.mapInArrow(run, "block int, cells binary, doc_id long, n long"), "sizes")
-    rarity = np.zeros(1 << SKETCH, dtype=np.uint16)
+    both = C.table(documents.mapInArrow(run, f"block int, cells binary, doc_id {id_type}, n long, node long"), "sizes")
+    cells = np.zeros(1 << SKETCH, dtype=np.float32)
     for k, total in C.blocks(C.add_blocks(both.where("block is not null").select("block", "cells"), "uint32", "int64"), "int64"):
-        rarity[k * SKETCH_BLOCK : (k + 1) * SKETCH_BLOCK] = np.floor(256 * np.log2(total + 1.0))
-    return both.where("block is null").select("doc_id", "n"), rarity
+        cells[k * SKETCH_BLOCK : (k + 1) * SKETCH_BLOCK] = total
+    sizes = both.where("block is null").select("doc_id", "n", "node")
+    sizes._statuta_path = both._statuta_path
+    return sizes, levels(cells)
 
 
-def _prefixes(documents: DataFrame, rarity: np.ndarray) -> DataFrame:
-    """token, doc, size and place (in one long) of every prefix shingle."""
+def _prefixes(documents: DataFrame, level: np.ndarray) -> DataFrame:
+    """token, node, size and place (in one long) of every prefix shingle; copies that meet in a task are given once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shift = np.uint64(64 - SKETCH)
-        for b in batches:
-            ids, found, size = b.column(0).to_numpy(zero_copy_only=False), ([], [], []), 0
+        seen: set[int] = set()
+        found, size = ([], [], []), 0
 
-            def out() -> pa.RecordBatch:
-                made = pa.record_batch([pa.array(np.concatenate(x)) for x in found], names=["token", "doc", "sized"])
-                for x in found:
-                    x.clear()
-                return made
+        def out() -> pa.RecordBatch:
+            made = pa.record_batch([pa.array(np.concatenate(x)) for x in found], names=["token", "node", "sized"])
+            for x in found:
+                x.clear()
+            return made
 
-            for row, s in shingle_sets(b.column(1)):
+        for b in batches:
+            for _, s in shingle_sets(b.column(0)):
+                if (node := name_of(s)) in seen:
+                    continue
+                seen.add(node)
                 p = prefix_length(len(s))
-                order = np.argsort(rarity[(s >> shift).astype(np.int64)], kind="stable")[:p]
-                found[0].append(s[order].view(np.int64))
-                found[1].append(np.full(p, ids[row], dtype=np.int64))
+                found[0].append(ordered(s, level)[:p].view(np.int64))
+                found[1].append(np.full(p, node, dtype=np.int64))
                 found[2].append((np.int64(len(s)) << 32) | np.arange(p, dtype=np.int64))
                 size += p
-                if size >= 200_000:
+                if size >= 50_000:
                     yield out()
                     size = 0
-            if size:
-                yield out()
+        if size:
+            yield out()
 
-    return documents.mapInArrow(run, "token long, doc long, sized long")
+    return documents.select("text").mapInArrow(run, "token long, node long, sized long")
 
 
 def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by token and size, those with another document of like size beside them, each with its leader.
+    """Of rows sorted by token and size, those with another node of like size beside them, each with its leader.
 
     The leader is the first row of its token that is large enough; null where places in the order exclude a link.
     """
-    held: tuple | None = None  # the last row, not yet given out: token, doc, sized, whether it has company
+    held: tuple | None = None  # the last row, not yet given out: token, node, sized, whether it has company
     leader = (0, 0)
 
-    def place(doc: int, sized: int) -> int | None:
+    def place(node: int, sized: int) -> int | None:
         n, at, m, to = sized >> 32, sized & 0xFFFFFFFF, leader[1] >> 32, leader[1] & 0xFFFFFFFF
-        return leader[0] if doc != leader[0] and linked(min(at, to) + 1 + min(n - at, m - to) - 1, n, m) else None
+        return leader[0] if node != leader[0] and linked(min(at, to) + 1 + min(n - at, m - to) - 1, n, m) else None
 
     def close(a: int, b: int) -> bool:
         return 100 * (a >> 32) >= PERCENT * (b >> 32)
 
+    names = ["token", "node", "sized", "leader"]
     for batch in batches:
         t, d, z = (batch.column(k).to_numpy() for k in range(3))
         if not len(t):
@@ -148,17 +196,19 @@ def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         busy[-1] = True
         at = np.flatnonzero(busy)
         out: tuple[list, ...] = ([], [], [], [])
-        for token, doc, sized in zip(t[at].tolist(), d[at].tolist(), z[at].tolist(), strict=True):
+        for token, node, sized in zip(t[at].tolist(), d[at].tolist(), z[at].tolist(), strict=True):
+            if held is not None and held[0] == token and held[1] == node:
+                continue  # a copy
             beside = held is not None and held[0] == token and close(held[2], sized)
             if held is not None and (held[3] or beside):
                 for x, y in zip(out, (*held[:3], held[4]), strict=True):
                     x.append(y)
             if held is None or held[0] != token or not close(leader[1], sized):
-                leader = (doc, sized)
-            held = (token, doc, sized, beside, place(doc, sized))
-        yield pa.record_batch([pa.array(x, pa.int64()) for x in out], names=["token", "doc", "sized", "leader"])
+                leader = (node, sized)
+            held = (token, node, sized, beside, place(node, sized))
+        yield pa.record_batch([pa.array(x, pa.int64()) for x in out], names=names)
     if held is not None and held[3]:
-        yield pa.record_batch([pa.array([x], pa.int64()) for x in (*held[:3], held[4])], names=["token", "doc", "sized", "leader"])
+        yield pa.record_batch([pa.array([x], pa.int64()) for x in (*held[:3], held[4])], names=names)
 
 
 class PrefixTree:
@@ -207,73 +257,91 @@ class PrefixTree:
             todo += [(c, overlap) for c in children]
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links (probe, stored) among rows sorted by unit and block: stored texts fill a tree that the block's probes walk."""
-    key, probes, docs, sets = None, [], [], []
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        if probes and sets:
-            tree = PrefixTree(sets)
-            hits = sorted({(doc, docs[k]) for doc, s in probes for k in tree.walk(s) if docs[k] != doc})
-            if hits:
-                yield pa.record_batch([pa.array([h[0] for h in hits], pa.int64()), pa.array([h[1] for h in hits], pa.int64())], names=["a", "b"])
-
-    for b in batches:
-        units, blocks, probe, doc = (b.column(k).to_pylist() for k in range(4))
-        for k, s in shingle_sets(b.column(4)):
-            if (here := (units[k], blocks[k])) != key:
-                yield from flush()
-                key, probes, docs, sets = here, [], [], []
-            if probe[k]:
-                probes.append((doc[k], s))
-            else:
-                docs.append(doc[k])
-                sets.append(s)
-    yield from flush()
-
-
-def _texts_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc, text of the documents wanted (doc) and of few others: a bit map of fixed size holds back most that aren't wanted."""
-    marked = [r[0] for r in wanted.select(F.shiftrightunsigned(F.xxhash64("doc"), 64 - MARKS).alias("m")).distinct().collect()]
-    marks = np.zeros(1 << MARKS, dtype=bool)
-    marks[marked] = True
-    packed = np.packbits(marks)
+def _verify(level: np.ndarray):
+    """Links (probe, stored) among rows sorted by unit, block and kind: a block's stored texts fill a tree, then its probes walk it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, nodes, sets, tree = None, [], [], None
+        a: list[int] = []
+        z: list[int] = []
+
+        def out() -> pa.RecordBatch:
+            made = pa.record_batch([pa.array(a, pa.int64()), pa.array(z, pa.int64())], names=["a", "b"])
+            a.clear()
+            z.clear()
+            return made
+
+        for b in batches:
+            units, blocks, probe, node = (b.column(k).to_pylist() for k in range(4))
+            for k, s in shingle_sets(b.column(4)):
+                s = ordered(s, level)
+                if (here := (units[k], blocks[k])) != key:
+                    key, nodes, sets, tree = here, [], [], None
+                if not probe[k]:
+                    nodes.append(node[k])
+                    sets.append(s)
+                elif sets:
+                    tree = tree or PrefixTree(sets)
+                    for x in sorted({nodes[j] for j in tree.walk(s)} - {node[k]}):
+                        a.append(node[k])
+                        z.append(x)
+                    if len(a) >= 50_000:
+                        yield out()
+        yield out()
+
+    return run
+
+
+def _texts_of(documents: DataFrame, sizes: DataFrame, shared: DataFrame) -> DataFrame:
+    """node, text of the nodes that share something: of each, the document of smallest doc_id, so no copies are fetched.
+
+    A bit map of fixed size, made on executors, holds back nearly all other documents before the shuffle.
+    """
+    nodes = shared.select("node").distinct()
+    mark = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - MARKS)
+    first = sizes.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(nodes, "node", "left_semi")
+    words = first.select(mark.alias("m")).groupBy(F.shiftright("m", 6).cast("int").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, int(m & 63))")).alias("bits"))
+    found = words.toArrow()
+    marks = np.zeros(1 << (MARKS - 6), dtype=np.uint64)
+    marks[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine = np.unpackbits(packed).astype(bool)
         for b in batches:
-            b = b.filter(pa.array(mine[b.column(2).to_numpy(zero_copy_only=False)]))
-            yield pa.record_batch([b.column(0), b.column(1)], names=["doc", "text"])
+            m = b.column(0).to_numpy(zero_copy_only=False)
+            texts = b.column(1).filter(pa.array((marks[m >> 6] >> (m & 63).astype(np.uint64)) & np.uint64(1) == 1))
+            rows, named = [], []
+            for k, s in shingle_sets(texts):
+                rows.append(k)
+                named.append(name_of(s))
+            yield pa.record_batch([pa.array(named, pa.int64()), texts.take(pa.array(rows, pa.int64()))], names=["node", "text"])
 
-    hashed = documents.withColumn("mark", F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - MARKS))
-    return hashed.mapInArrow(run, "doc long, text string")
+    return C.table(documents.select(mark.alias("m"), "text").mapInArrow(run, "node long, text string").join(nodes, "node", "left_semi"), "texts")
 
 
-def _walk(stored: DataFrame, probes: DataFrame, documents: DataFrame, name: str) -> DataFrame:
-    """The links, as a table (a, b), of probes (unit, doc) with what is stored (unit, doc). Texts are shuffled, as sets are larger."""
-    texts = _texts_of(documents, stored.select("doc").union(probes.select("doc")))
+def _walk(stored: DataFrame, probes: DataFrame, texts: DataFrame, level: np.ndarray, name: str) -> DataFrame:
+    """The links, as a table (a, b), of probes (unit, node) with what is stored (unit, node). Texts are shuffled, as sets are larger."""
     blocks = stored.groupBy("unit").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
-    rows = stored.join(blocks, "unit").select("unit", block.alias("block"), F.lit(False).alias("probe"), "doc")
-    sent = probes.join(blocks, "unit").select("unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("probe"), "doc")
-    rows = rows.union(sent).join(texts, "doc").select("unit", "block", "probe", "doc", "text")
-    found = rows.repartition("unit", "block").sortWithinPartitions("unit", "block").mapInArrow(_verify, "a long, b long")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    rows = stored.join(blocks, "unit").select("unit", block.alias("block"), F.lit(False).alias("probe"), "node")
+    sent = probes.join(blocks, "unit").select("unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("probe"), "node")
+    rows = rows.union(sent).join(texts, "node").select("unit", "block", "probe", "node", "text")
+    found = rows.repartition("unit", "block").sortWithinPartitions("unit", "block", "probe").mapInArrow(_verify(level), "a long, b long")
     return C.table(found, f"{name}-links")
 
 
-def _by_leader(pairs: DataFrame, documents: DataFrame, name: str, rows: int) -> DataFrame:
-    """The links among at most so many pairs (leader, doc): a leader walks its candidates."""
+def _by_leader(pairs: DataFrame, texts: DataFrame, level: np.ndarray, name: str, rows: int) -> DataFrame:
+    """The links among at most so many pairs (leader, node): a leader walks its candidates."""
     pairs = C.table(pairs, f"{name}-pairs", rows)
-    leaders = pairs.select(F.col("leader").alias("unit"), F.col("leader").alias("doc")).distinct()
-    links = _walk(pairs.select(F.col("leader").alias("unit"), "doc"), leaders, documents, name)
+    leaders = pairs.select(F.col("leader").alias("unit"), F.col("leader").alias("node")).distinct()
+    links = _walk(pairs.select(F.col("leader").alias("unit"), "node"), leaders, texts, level, name)
     C.drop(pairs)
     return links
 
 
 def _one_leader(rows: DataFrame) -> DataFrame:
-    """leader, doc: of each document's leaders the one that most of its shingles name."""
-    counts = rows.groupBy("doc", "leader").agg(F.count("*").alias("times"))
-    return counts.groupBy("doc").agg(F.max_by("leader", F.struct("times", "leader")).alias("leader")).select("leader", "doc")
+    """leader, node: of each node's leaders the one that most of its shingles name."""
+    counts = rows.groupBy("node", "leader").agg(F.count("*").alias("times"))
+    return counts.groupBy("node").agg(F.max_by("leader", F.struct("times", "leader")).alias("leader")).select("leader", "node")
 
 
 def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -285,7 +353,9 @@ def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
     joined = components(over.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()).withColumnsRenamed({"node": "old", "label": "new"})
     nodes = labels.union(over.select("a", "la")).union(over.select("b", "lb")).distinct()
     out = nodes.join(joined, F.col("label") == F.col("old"), "left").select("node", F.coalesce("new", "label").alias("label"))
-    return C.table(out.groupBy("node").agg(F.min("label").alias("label")), "labels", n + 2 * m)
+    out = C.table(out.groupBy("node").agg(F.min("label").alias("label")), "labels", n + 2 * m)
+    C.drop(over, labels)
+    return out
 
 
 def _mixed(own: DataFrame, rows: int) -> DataFrame:
@@ -295,8 +365,8 @@ def _mixed(own: DataFrame, rows: int) -> DataFrame:
 
 
 def _regroup(own: DataFrame, labels: DataFrame) -> DataFrame:
-    new = labels.withColumnsRenamed({"node": "doc", "label": "new"})
-    return own.join(new, "doc", "left").withColumn("group", F.coalesce("new", "group")).select("token", "doc", "n", "at", "before", "central", "group")
+    new = labels.withColumnRenamed("label", "new")
+    return own.join(new, "node", "left").withColumn("group", F.coalesce("new", "group")).select("token", "node", "n", "at", "before", "central", "group")
 
 
 def _may_link(a: str, b: str):
@@ -316,37 +386,8 @@ def _shape(x: str) -> list:
     return [F.col("n").alias(f"lo_{x}"), F.col("n").alias(f"hi_{x}"), F.col("before").alias(f"before_{x}"), after.alias(f"after_{x}")]
 
 
-def join(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
-    documents = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sizes, rarity = _count(documents)
-    named = documents.where("doc_id is not null")
-    runs = _prefixes(named, rarity).repartition("token").sortWithinPartitions("token", F.shiftright("sized", 32), "doc")
-    shared = C.table(runs.mapInArrow(_lead, "token long, doc long, sized long, leader long"), "shared")
-    n = shared.count()
-    labels = components(_by_leader(_one_leader(shared.where("leader is not null")), named, "first", n))
-
-    own = shared.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "token", "doc", F.shiftright("sized", 32).cast("long").alias("n"), F.col("sized").bitwiseAND(F.lit(0xFFFFFFFF)).alias("at"), F.coalesce("label", "doc").alias("group")
-    )
-    before = F.row_number().over(Window.partitionBy("doc").orderBy("at")) - 1
-    central = F.count("*").over(Window.partitionBy("doc")) / (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
-    own = _mixed(C.table(own.select("token", "doc", "n", "at", before.cast("long").alias("before"), central.alias("central"), "group"), "own"), n)
-    C.drop(shared)
-    for k in range(ROUNDS):
-        n = own.count()
-        # First the document with most shared shingles leads, as it is nearest to the others; then any.
-        rank = F.struct(-F.col("central") if k == 0 else F.lit(0.0), F.xxhash64(F.lit(k), "doc"))
-        first = own.groupBy("token").agg(F.min_by(F.struct(F.col("doc").alias("leader"), *_shape("b"), F.col("group").alias("of")), rank).alias("l")).select("token", "l.*")
-        near = own.select("token", "doc", "group", *_shape("a")).join(first, "token").where((F.col("group") != F.col("of")) & _may_link("a", "b"))
-        links = _by_leader(_one_leader(near), named, f"round{k}", n)
-        if not links.limit(1).count():
-            break
-        labels = _merge(labels, links)
-        new = _mixed(_regroup(own, labels), n)
-        C.drop(own, links)
-        own = new
-
+def _apart(own: DataFrame) -> DataFrame:
+    """unit, small: pairs of components, the larger one first, that share a prefix shingle and that no bound excludes."""
     within = own.groupBy("token", "group").agg(
         F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("before").alias("before"), F.max(F.col("n") - F.col("at") - 1).alias("after")
     )
@@ -356,22 +397,71 @@ def join(documents: DataFrame) -> DataFrame:
     within = within.join(alike, "token").groupBy("set0", "set1", "group").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("before").alias("before"), F.max("after").alias("after"))
     sides = [within.select("set0", "set1", F.col("group").alias(f"group_{x}"), *(F.col(c).alias(f"{c}_{x}") for c in ("lo", "hi", "before", "after"))) for x in "ab"]
     across = sides[0].join(sides[1], ["set0", "set1"]).where((F.col("group_a") < F.col("group_b")) & _may_link("a", "b")).select("group_a", "group_b").distinct()
-    n = own.count()
-    members = C.table(own.select("group", "doc").distinct(), "members", n)
-    counts = members.groupBy("group").agg(F.count("*").alias("size"))
+    counts = own.select("group", "node").distinct().groupBy("group").agg(F.count("*").alias("size"))
     across = across.join(counts.toDF("group_a", "size_a"), "group_a").join(counts.toDF("group_b", "size_b"), "group_b")
     large = F.when(F.col("size_a") >= F.col("size_b"), F.col("group_a")).otherwise(F.col("group_b"))
-    across = C.table(across.select(large.alias("unit"), F.when(large == F.col("group_a"), F.col("group_b")).otherwise(F.col("group_a")).alias("small")), "across")
-    stored = members.withColumnRenamed("group", "unit").join(across.select("unit").distinct(), "unit", "left_semi").select("unit", "doc")
-    probes = across.join(members, F.col("small") == F.col("group")).select("unit", "doc").distinct()
-    more = _walk(stored, probes, named, "last")
+    return C.table(across.select(large.alias("unit"), F.when(large == F.col("group_a"), F.col("group_b")).otherwise(F.col("group_a")).alias("small")), "across")
+
+
+def _labels(documents: DataFrame, sizes: DataFrame, level: np.ndarray) -> DataFrame:
+    """node, label of every node that is linked with another."""
+    runs = _prefixes(documents.where("doc_id is not null"), level).repartition("token").sortWithinPartitions("token", F.shiftright("sized", 32), "node")
+    shared = C.table(runs.mapInArrow(_lead, "token long, node long, sized long, leader long"), "shared")
+    n = shared.count()
+    texts = _texts_of(documents, sizes, shared)
+    links = _by_leader(_one_leader(shared.where("leader is not null")), texts, level, "first", n)
+    labels = components(links)
+    own = shared.join(labels, "node", "left").select(
+        "token", "node", F.shiftright("sized", 32).cast("long").alias("n"), F.col("sized").bitwiseAND(F.lit(0xFFFFFFFF)).alias("at"), F.coalesce("label", "node").alias("group")
+    )
+    before = F.row_number().over(Window.partitionBy("node").orderBy("at")) - 1
+    central = F.count("*").over(Window.partitionBy("node")) / (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
+    whole = C.table(own.select("token", "node", "n", "at", before.cast("long").alias("before"), central.alias("central"), "group"), "own")
+    own = _mixed(whole, n)
+    C.drop(shared, links, whole)
+    for k in range(ROUNDS):
+        n = own.count()
+        # First the node with most shared shingles leads, as it is nearest to the others; then any.
+        rank = F.struct(-F.col("central") if k == 0 else F.lit(0.0), F.xxhash64(F.lit(k), "node"))
+        first = own.groupBy("token").agg(F.min_by(F.struct(F.col("node").alias("leader"), *_shape("b"), F.col("group").alias("of")), rank).alias("l")).select("token", "l.*")
+        near = own.select("token", "node", "group", *_shape("a")).join(first, "token").where((F.col("group") != F.col("of")) & _may_link("a", "b"))
+        links = _by_leader(_one_leader(near), texts, level, f"round{k}", n)
+        if not links.limit(1).count():
+            C.drop(links)
+            break
+        labels = _merge(labels, links)
+        new = _mixed(_regroup(own, labels), n)
+        C.drop(own, links)
+        own = new
+    across = _apart(own)
+    members = C.table(own.select("group", "node").distinct(), "members", own.count())
+    stored = members.withColumnRenamed("group", "unit").join(across.select("unit").distinct(), "unit", "left_semi").select("unit", "node")
+    probes = across.join(members, F.col("small") == F.col("group")).select("unit", "node").distinct()
+    more = _walk(stored, probes, texts, level, "last")
     if more.limit(1).count():
         labels = _merge(labels, more)
-    out = sizes.join(labels, F.col("doc_id") == F.col("node"), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id"))
+    C.drop(own, members, across, more, texts)
+    return labels
+
+
+def join(documents: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row."""
+    documents = documents.select("doc_id", F.col("text").cast("string").alias("text"))
+    sizes, level = _count(documents)
+    labels = _labels(documents, sizes, level)
+    first = sizes.where("doc_id is not null and node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
+    first = first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    least = first.groupBy("label").agg(F.min("first").alias("least"))
+    found = first.join(least, "label").select(F.col("node").alias("of"), "least")
+    out = sizes.join(found, F.col("node") == F.col("of"), "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"))
 
 
 def keep_first(documents: DataFrame) -> DataFrame:
-    """The documents that are the smallest doc_id of their component, with all their columns; those without doc_id stay."""
-    gone = C.table(join(documents).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    """The documents that are the smallest doc_id of their component, with all their columns; those without doc_id stay.
+
+    Of rows of equal doc_id all go or all stay; they go if each of them does.
+    """
+    rows = join(documents).groupBy(F.col("doc_id").alias("__gone")).agg(F.min(F.col("component_id") != F.col("doc_id")).alias("__all"))
+    gone = C.table(rows.where("__all").select("__gone"), "gone")
     return documents.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
