@@ -72,6 +72,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def plain(df: DataFrame, without: list[str] = []) -> tuple[DataFrame, dict[str, str]]:  # noqa: B006
+    """df with columns c0, c1, ... and their names: no column of a caller can clash with an operator's own. without: left out."""
+    df = df.drop(*without)
+    names = {c: f"c{k}" for k, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def words_count(text: Column) -> Column:
     """Number of words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
