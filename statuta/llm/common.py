@@ -6,6 +6,7 @@ Words are maximal runs of bytes outside ``\\x20`` and ``\\x09-\\x0D``; A-Z are l
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 import zlib
@@ -16,6 +17,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+    _libc.malloc_trim
+except (OSError, AttributeError):  # another C library
+    _libc = None
+
 _made: list[tuple[SparkSession, str]] = []
 _local: list[str] = []
 
@@ -68,6 +75,13 @@ def drop(*tables: DataFrame) -> None:
             _made[:] = [x for x in _made if x[1] != path]
 
 
+def trim() -> None:
+    """Gives memory that is free back to the system, so that workers that wait for their next task hold little."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

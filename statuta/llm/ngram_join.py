@@ -7,9 +7,12 @@ A node is a distinct set, named by a 64-bit hash of it, as shingles are by 60 bi
    Two linked sets share a shingle among the first n - ceil(0.8 n) + 1 of either.
 2. Those prefix shingles are dealt out by shingle and sorted; a stream over them gives each node the smallest node of
    like size with that shingle as its leader, and holds one run's leader at a time, however many nodes share the shingle.
-3. A leader's set walks a prefix tree of its candidates' ordered sets, in blocks of ``BLOCK``: what sets share at their start
-   is compared once, and a subtree is left as soon as its overlap so far and what remains of either side can't reach the bound.
    Each node goes to the one leader that most of its shingles name, so a round costs one check each node.
+3. A node's sign is the parity of its shingles in a few hundred bits. Where the signs of two nodes differ in d bits, their sets
+   differ in d shingles at least, which excludes most candidates without a look at their texts and no pair that is linked.
+   The texts of what is left are fetched, and a leader's set walks a prefix tree of its candidates' ordered sets, in blocks of
+   ``BLOCK``: what sets share at their start is compared once, and a subtree is left as soon as its overlap so far and what
+   remains of either side can't reach the bound.
 4. Links give components. Only shingles whose nodes lie in different components matter further: ``ROUNDS`` more rounds
    give each of them another leader, which joins what one leader's set was too far from.
 5. What is still apart is checked in full: components that share a prefix shingle and that sizes, places in the order and
@@ -17,8 +20,7 @@ A node is a distinct set, named by a 64-bit hash of it, as shingles are by 60 bi
    one at a time.
 
 So no link between different components is lost, exact and near copies of one text cost a few checks each rather than one
-each pair, pairs exist in a tree walk only, and there is no cap on partners or candidates. Texts are fetched once, one for each
-node that shares a prefix shingle.
+each pair, and there is no cap on partners or candidates. Of a node's documents only the one of smallest doc_id is fetched.
 
 Defined results: a document without words has 0 shingles and is its own component; with fewer words than ``WIDTH`` its whole
 sequence is its one shingle. doc_id may be of any type that has an order. Each row counts as a document by its own text, so
@@ -28,6 +30,7 @@ rows of equal doc_id and different texts may differ in component. A row without
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +44,8 @@ WIDTH, PERCENT = 5, 80
 TOKEN_BITS, LEVELS = 60, 8
 SKETCH = 22
 SKETCH_BLOCK = 1 << 16
-BLOCK = 64
+BLOCK, SIGNS = 64, 512
+BITS = 4
 ROUNDS = 2
 MARKS = 24
 
@@ -51,7 +55,7 @@ def prefix_length(n: np.ndarray | int):
     return n - (PERCENT * n + 99) // 100 + 1
 
 
-def linked(overlap: int, a: int, b: int) -> bool:
+def linked(overlap, a, b):
     return (100 + PERCENT) * overlap >= PERCENT * (a + b)
 
 
@@ -81,6 +85,22 @@ def name_of(s: np.ndarray) -> int:
     return int(C.mix(total).view(np.int64)[0])
 
 
+def sign_of(s: np.ndarray) -> bytes:
+    """The parity of a set's shingles in ``BITS`` bits for each, rounded up to a power of two, 64 at least."""
+    bits = max(64, 1 << (BITS * len(s) - 1).bit_length())
+    return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(bool), bitorder="little").tobytes()
+
+
+def folded(signs: np.ndarray, words: int) -> np.ndarray:
+    """Rows of signs (64-bit words) as signs of fewer words."""
+    return np.bitwise_xor.reduce(signs.reshape(len(signs), -1, words), axis=1)
+
+
+def may_link(difference: np.ndarray, a: int, b: np.ndarray) -> np.ndarray:
+    """Whether sets of a and b shingles that differ in so many at least can be linked."""
+    return linked((a + b - difference) // 2, a, b)
+
+
 def _cells(s: np.ndarray) -> np.ndarray:
     return (s >> np.uint64(TOKEN_BITS - SKETCH)).astype(np.int64)
 
@@ -98,7 +118,7 @@ def levels(cells: np.ndarray) -> np.ndarray:
 
 
 def _count(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """Size and node of every document's set, and the levels of the sketch's cells."""
+    """Size, node and sign of every document's set, and the levels of the sketch's cells."""
     id_type = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,31 +129,30 @@ def _count(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
             cells[at] += times.astype(np.uint32)
             waiting.clear()
 
-        names = ["block", "cells", "doc_id", "n", "node"]
+        names = ["block", "cells", "doc_id", "n", "node", "sign"]
         for b in batches:
             kind = b.column(0).type
-            n, node = np.zeros(b.num_rows, dtype=np.int64), np.zeros(b.num_rows, dtype=np.int64)
+            n, node, sign = np.zeros(b.num_rows, dtype=np.int64), np.zeros(b.num_rows, dtype=np.int64), [None] * b.num_rows
             for row, s in shingle_sets(b.column(1)):
-                n[row], node[row] = len(s), name_of(s)
+                n[row], node[row], sign[row] = len(s), name_of(s), sign_of(s)
                 waiting.append(_cells(s).astype(np.int32))
                 size += len(s)
                 if size >= 1 << 20:
                     add()
                     size = 0
-            yield pa.record_batch([pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary()), b.column(0), pa.array(n), pa.array(node, mask=n == 0)], names=names)
+            yield pa.record_batch([pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary()), b.column(0), pa.array(n), pa.array(node, mask=n == 0), pa.array(sign, pa.binary())], names=names)
         if waiting:
             add()
         if kind is not None:
             found = C.block_rows(cells, SKETCH_BLOCK)
-            yield pa.record_batch([*found.columns, pa.nulls(len(found), kind), pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.int64())], names=names)
+            yield pa.record_batch([*found.columns, pa.nulls(len(found), kind), pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.binary())], names=names)
+        C.trim()
 
-    both = C.table(documents.mapInArrow(run, f"block int, cells binary, doc_id {id_type}, n long, node long"), "sizes")
+    both = C.table(documents.mapInArrow(run, f"block int, cells binary, doc_id {id_type}, n long, node long, sign binary"), "sizes")
     cells = np.zeros(1 << SKETCH, dtype=np.float32)
     for k, total in C.blocks(C.add_blocks(both.where("block is not null").select("block", "cells"), "uint32", "int64"), "int64"):
         cells[k * SKETCH_BLOCK : (k + 1) * SKETCH_BLOCK] = total
-    sizes = both.where("block is null").select("doc_id", "n", "node")
-    sizes._statuta_path = both._statuta_path
-    return sizes, levels(cells)
+    return both.where("block is null").select("doc_id", "n", "node", "sign"), levels(cells)
 
 
 def _prefixes(documents: DataFrame, level: np.ndarray) -> DataFrame:
@@ -164,6 +183,7 @@ def _prefixes(documents: DataFrame, level: np.ndarray) -> DataFrame:
                     size = 0
         if size:
             yield out()
+        C.trim()
 
     return documents.select("text").mapInArrow(run, "token long, node long, sized long")
 
@@ -261,16 +281,7 @@ def _verify(level: np.ndarray):
     """Links (probe, stored) among rows sorted by unit, block and kind: a block's stored texts fill a tree, then its probes walk it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, nodes, sets, tree = None, [], [], None
-        a: list[int] = []
-        z: list[int] = []
-
-        def out() -> pa.RecordBatch:
-            made = pa.record_batch([pa.array(a, pa.int64()), pa.array(z, pa.int64())], names=["a", "b"])
-            a.clear()
-            z.clear()
-            return made
-
+        key, nodes, sets, tree, hits = None, [], [], None, []
         for b in batches:
             units, blocks, probe, node = (b.column(k).to_pylist() for k in range(4))
             for k, s in shingle_sets(b.column(4)):
@@ -282,60 +293,112 @@ def _verify(level: np.ndarray):
                     sets.append(s)
                 elif sets:
                     tree = tree or PrefixTree(sets)
-                    for x in sorted({nodes[j] for j in tree.walk(s)} - {node[k]}):
-                        a.append(node[k])
-                        z.append(x)
-                    if len(a) >= 50_000:
-                        yield out()
-        yield out()
+                    hits += [(node[k], x) for x in sorted({nodes[j] for j in tree.walk(s)} - {node[k]})]
+                    if len(hits) >= 50_000:
+                        yield _pairs(hits)
+        yield _pairs(hits)
+        C.trim()
 
     return run
 
 
-def _texts_of(documents: DataFrame, sizes: DataFrame, shared: DataFrame) -> DataFrame:
-    """node, text of the nodes that share something: of each, the document of smallest doc_id, so no copies are fetched.
-
-    A bit map of fixed size, made on executors, holds back nearly all other documents before the shuffle.
-    """
-    nodes = shared.select("node").distinct()
-    mark = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - MARKS)
-    first = sizes.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(nodes, "node", "left_semi")
-    words = first.select(mark.alias("m")).groupBy(F.shiftright("m", 6).cast("int").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, int(m & 63))")).alias("bits"))
-    found = words.toArrow()
-    marks = np.zeros(1 << (MARKS - 6), dtype=np.uint64)
-    marks[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            m = b.column(0).to_numpy(zero_copy_only=False)
-            texts = b.column(1).filter(pa.array((marks[m >> 6] >> (m & 63).astype(np.uint64)) & np.uint64(1) == 1))
-            rows, named = [], []
-            for k, s in shingle_sets(texts):
-                rows.append(k)
-                named.append(name_of(s))
-            yield pa.record_batch([pa.array(named, pa.int64()), texts.take(pa.array(rows, pa.int64()))], names=["node", "text"])
-
-    return C.table(documents.select(mark.alias("m"), "text").mapInArrow(run, "node long, text string").join(nodes, "node", "left_semi"), "texts")
+def _pairs(hits: list[tuple[int, int]]) -> pa.RecordBatch:
+    made = pa.record_batch([pa.array([h[k] for h in hits], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    hits.clear()
+    return made
 
 
-def _walk(stored: DataFrame, probes: DataFrame, texts: DataFrame, level: np.ndarray, name: str) -> DataFrame:
-    """The links, as a table (a, b), of probes (unit, node) with what is stored (unit, node). Texts are shuffled, as sets are larger."""
-    blocks = stored.groupBy("unit").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rows = stored.join(blocks, "unit").select("unit", block.alias("block"), F.lit(False).alias("probe"), "node")
-    sent = probes.join(blocks, "unit").select("unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("probe"), "node")
-    rows = rows.union(sent).join(texts, "node").select("unit", "block", "probe", "node", "text")
-    found = rows.repartition("unit", "block").sortWithinPartitions("unit", "block", "probe").mapInArrow(_verify(level), "a long, b long")
-    return C.table(found, f"{name}-links")
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (probe, stored) whose signs don't exclude a link, among rows sorted by unit, block and kind."""
+    key, stored, by, hits = None, [], {}, []
 
+    def look(node: int, n: int, sign: np.ndarray) -> None:
+        for words, (nodes, sizes, signs) in by.items():
+            few = min(words, len(sign))
+            one = folded(sign[None], few)[0]
+            apart = np.bitwise_count(folded(signs, few) ^ one).sum(axis=1, dtype=np.int64)
+            hits.extend((node, x) for x in nodes[may_link(apart, n, sizes)].tolist() if x != node)
 
-def _by_leader(pairs: DataFrame, texts: DataFrame, level: np.ndarray, name: str, rows: int) -> DataFrame:
-    """The links among at most so many pairs (leader, node): a leader walks its candidates."""
-    pairs = C.table(pairs, f"{name}-pairs", rows)
-    leaders = pairs.select(F.col("leader").alias("unit"), F.col("leader").alias("node")).distinct()
-    links = _walk(pairs.select(F.col("leader").alias("unit"), "node"), leaders, texts, level, name)
-    C.drop(pairs)
-    return links
+    for b in batches:
+        units, blocks, probe, node, n = (b.column(k).to_pylist() for k in range(5))
+        for k, raw in enumerate(b.column(5)):
+            sign = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
+            if (here := (units[k], blocks[k])) != key:
+                key, stored, by = here, [], {}
+            if not probe[k]:
+                stored.append((len(sign), node[k], n[k], sign))
+                continue
+            if stored:
+                for words in {x[0] for x in stored}:
+                    mine = [x for x in stored if x[0] == words]
+                    by[words] = (np.array([x[1] for x in mine]), np.array([x[2] for x in mine]), np.stack([x[3] for x in mine]))
+                stored = []
+            look(node[k], n[k], sign)
+            if len(hits) >= 50_000:
+                yield _pairs(hits)
+    yield _pairs(hits)
+    C.trim()
+
+
+@dataclass
+class _Sets:
+    """What checks read: documents, the nodes that share a prefix shingle (node, doc_id, n, sign), the levels of the order."""
+
+    documents: DataFrame
+    signs: DataFrame
+    level: np.ndarray
+
+    def texts(self, nodes: DataFrame) -> DataFrame:
+        """node, text of nodes and of few others: a bit map of fixed size, made on executors, holds back nearly all other documents."""
+        mark = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - MARKS)
+        wanted = self.signs.join(nodes, "node", "left_semi").select(mark.alias("m"))
+        found = wanted.groupBy(F.shiftright("m", 6).cast("int").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, int(m & 63))")).alias("bits")).toArrow()
+        marks = np.zeros(1 << (MARKS - 6), dtype=np.uint64)
+        marks[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                m = b.column(0).to_numpy(zero_copy_only=False)
+                texts = b.column(1).filter(pa.array((marks[m >> 6] >> (m & 63).astype(np.uint64)) & np.uint64(1) == 1))
+                rows, named = [], []
+                for k, s in shingle_sets(texts):
+                    rows.append(k)
+                    named.append(name_of(s))
+                yield pa.record_batch([pa.array(named, pa.int64()), texts.take(pa.array(rows, pa.int64()))], names=["node", "text"])
+            C.trim()
+
+        return self.documents.select(mark.alias("m"), "text").mapInArrow(run, "node long, text string")
+
+    def links(self, stored: DataFrame, probes: DataFrame, name: str) -> DataFrame:
+        """The links, as a table (a, b), of probes (unit, node) with what is stored (unit, node)."""
+        rows = _dealt(stored, probes, SIGNS).join(self.signs.drop("doc_id"), "node").select("unit", "block", "probe", "node", "n", "sign")
+        near = C.table(_met(rows).mapInArrow(_compare, "a long, b long"), f"{name}-near")
+        rows = _dealt(near.select(F.col("a").alias("unit"), F.col("b").alias("node")), near.select(F.col("a").alias("unit"), F.col("a").alias("node")).distinct(), BLOCK)
+        texts = self.texts(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        rows = rows.join(texts, "node").select("unit", "block", "probe", "node", "text")
+        found = C.table(_met(rows).mapInArrow(_verify(self.level), "a long, b long"), f"{name}-links")
+        C.drop(near)
+        return found
+
+    def by_leader(self, pairs: DataFrame, name: str, rows: int) -> DataFrame:
+        """The links among at most so many pairs (leader, node): a leader walks its candidates."""
+        pairs = C.table(pairs, f"{name}-pairs", rows)
+        leaders = pairs.select(F.col("leader").alias("unit"), F.col("leader").alias("node")).distinct()
+        links = self.links(pairs.select(F.col("leader").alias("unit"), "node"), leaders, name)
+        C.drop(pairs)
+        return links
+
+
+def _dealt(stored: DataFrame, probes: DataFrame, block: int) -> DataFrame:
+    """unit, block, probe, node: what is stored by unit in blocks of about so many, and each probe in all blocks of its unit."""
+    blocks = stored.groupBy("unit").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
+    rows = stored.join(blocks, "unit").select("unit", mine, F.lit(False).alias("probe"), "node")
+    return rows.union(probes.join(blocks, "unit").select("unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("probe"), "node"))
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    return rows.repartition("unit", "block").sortWithinPartitions("unit", "block", "probe")
 
 
 def _one_leader(rows: DataFrame) -> DataFrame:
@@ -408,8 +471,9 @@ def _labels(documents: DataFrame, sizes: DataFrame, level: np.ndarray) -> DataFr
     runs = _prefixes(documents.where("doc_id is not null"), level).repartition("token").sortWithinPartitions("token", F.shiftright("sized", 32), "node")
     shared = C.table(runs.mapInArrow(_lead, "token long, node long, sized long, leader long"), "shared")
     n = shared.count()
-    texts = _texts_of(documents, sizes, shared)
-    links = _by_leader(_one_leader(shared.where("leader is not null")), texts, level, "first", n)
+    first = sizes.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(shared.select("node").distinct(), "node", "left_semi")
+    sets = _Sets(documents, C.table(sizes.join(first, ["node", "doc_id"]).select("node", "doc_id", "n", "sign"), "signs"), level)
+    links = sets.by_leader(_one_leader(shared.where("leader is not null")), "first", n)
     labels = components(links)
     own = shared.join(labels, "node", "left").select(
         "token", "node", F.shiftright("sized", 32).cast("long").alias("n"), F.col("sized").bitwiseAND(F.lit(0xFFFFFFFF)).alias("at"), F.coalesce("label", "node").alias("group")
@@ -425,7 +489,7 @@ def _labels(documents: DataFrame, sizes: DataFrame, level: np.ndarray) -> DataFr
         rank = F.struct(-F.col("central") if k == 0 else F.lit(0.0), F.xxhash64(F.lit(k), "node"))
         first = own.groupBy("token").agg(F.min_by(F.struct(F.col("node").alias("leader"), *_shape("b"), F.col("group").alias("of")), rank).alias("l")).select("token", "l.*")
         near = own.select("token", "node", "group", *_shape("a")).join(first, "token").where((F.col("group") != F.col("of")) & _may_link("a", "b"))
-        links = _by_leader(_one_leader(near), texts, level, f"round{k}", n)
+        links = sets.by_leader(_one_leader(near), f"round{k}", n)
         if not links.limit(1).count():
             C.drop(links)
             break
@@ -437,10 +501,10 @@ def _labels(documents: DataFrame, sizes: DataFrame, level: np.ndarray) -> DataFr
     members = C.table(own.select("group", "node").distinct(), "members", own.count())
     stored = members.withColumnRenamed("group", "unit").join(across.select("unit").distinct(), "unit", "left_semi").select("unit", "node")
     probes = across.join(members, F.col("small") == F.col("group")).select("unit", "node").distinct()
-    more = _walk(stored, probes, texts, level, "last")
+    more = sets.links(stored, probes, "last")
     if more.limit(1).count():
         labels = _merge(labels, more)
-    C.drop(own, members, across, more, texts)
+    C.drop(own, members, across, more, sets.signs)
     return labels
 
 

@@ -83,6 +83,37 @@ def test_prefix_tree():
         assert sorted(J.PrefixTree(sets).walk(probe)) == want
 
 
+def test_signs_exclude_no_linked_pair():
+    rng = np.random.default_rng(2)
+    excluded = 0
+    for _ in range(400):
+        n = int(rng.integers(1, 400))
+        a = np.unique(rng.integers(0, 1 << 60, n, dtype=np.uint64))
+        keep = a[rng.random(len(a)) < rng.uniform(0.3, 1)]
+        b = np.unique(np.concatenate([keep, rng.integers(0, 1 << 60, int(rng.integers(0, max(1, n // 3) + 1)), dtype=np.uint64)]))
+        if len(b):
+            x, y = (np.frombuffer(J.sign_of(s), dtype=np.uint64) for s in (a, b))
+            few = min(len(x), len(y))
+            apart = np.bitwise_count(J.folded(x[None], few) ^ J.folded(y[None], few)).sum(axis=1, dtype=np.int64)
+            true = J.linked(len(np.intersect1d(a, b)), len(a), len(b))
+            may = bool(J.may_link(apart, len(a), np.array([len(b)]))[0])
+            assert may or not true
+            excluded += not may
+    assert excluded > 100
+
+
+def test_one_large_group_and_a_common_shingle(spark):
+    """A group of hundreds of near copies, and hundreds of other documents that share its first passage."""
+    rng = random.Random(8)
+    passage, base, made = text(rng, 2).split(), text(rng, 14).split(), []
+    for k in range(700):
+        w = passage + (list(base) if k % 2 else text(rng, 6).split())
+        for _ in range(3):
+            w[rng.randrange(len(passage), len(w))] = rng.choice(WORDS)
+        made.append((k, " ".join(w)))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in J.join(documents(spark, made)).collect()} == brute(made)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 50), (50, 60), (70, 70)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
