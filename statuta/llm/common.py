@@ -104,6 +104,7 @@ _LOWER = np.arange(256, dtype=np.uint64) + np.uint64(1)
 _LOWER[65:91] += np.uint64(32)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+_PUNCTUATION = np.array([33 <= c < 127 and not chr(c).isalnum() for c in range(256)])
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 PIECE = 1 << 19
@@ -129,10 +130,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def hash_words(raw: np.ndarray, begins: np.ndarray, head: int = 0) -> tuple[np.ndarray, ...]:
+def hash_words(raw: np.ndarray, begins: np.ndarray, head: int = 0, split: bool = False) -> tuple[np.ndarray, ...]:
     """Hashes of the words of raw (bytes), and where each begins. begins: offsets at which a text begins, so a word too.
 
-    head: also hashes of the words' first so many bytes.
+    head: also hashes of the words' first so many bytes. split: words are also cut between punctuation and anything else.
     """
     n = len(raw)
     if not n:
@@ -142,10 +143,16 @@ def hash_words(raw: np.ndarray, begins: np.ndarray, head: int = 0) -> tuple[np.n
     edge = np.ones(n + 1, dtype=bool)
     edge[1:n] = ~ink[:-1]
     edge[begins[begins < n]] = True
+    turn = np.zeros(n, dtype=bool)
+    if split:
+        marks = _PUNCTUATION[raw]
+        turn[1:] = marks[1:] != marks[:-1]
+        edge[:n] |= turn
     starts = np.flatnonzero(ink & edge[:n])
     last = edge.copy()
     last[1:n] = ~ink[1:]
     last[begins[begins < n]] = True
+    last[:n] |= turn
     last[n] = True
     ends = np.flatnonzero(ink & last[1:]) + 1
     total = np.zeros(n + 1, dtype=np.uint64)
@@ -166,10 +173,10 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)), at
 
 
-def hashed(column: pa.Array, head: int = 0) -> Iterator[tuple]:
+def hashed(column: pa.Array, head: int = 0, split: bool = False) -> Iterator[tuple]:
     """(first row, row after the last, word hashes, offsets of the rows in them), in pieces of some 0.5 MB of text.
 
-    head: at the end, hashes of the words' first so many bytes too.
+    head, split: as in hash_words; hashes of heads come last.
     """
     raw, at = text_buffer(column)
     row, rows = 0, len(at) - 1
@@ -177,7 +184,7 @@ def hashed(column: pa.Array, head: int = 0) -> Iterator[tuple]:
         to = max(row + 1, int(np.searchsorted(at, at[row] + PIECE, side="right")) - 1)
         lo, hi = int(at[row]), int(at[to])
         if hi - lo <= PIECE:
-            h, starts, *heads = hash_words(raw[lo:hi], at[row:to] - lo, head)
+            h, starts, *heads = hash_words(raw[lo:hi], at[row:to] - lo, head, split)
             yield row, to, h, np.searchsorted(starts, at[row : to + 1] - lo), *heads
         else:  # one long text, cut where white space is
             found, cut = [], lo
@@ -189,7 +196,7 @@ def hashed(column: pa.Array, head: int = 0) -> Iterator[tuple]:
                         end += int(gap[0])
                         break
                     end = min(hi, end + 4096)
-                found.append(hash_words(raw[cut:end], np.zeros(1, np.int64), head))
+                found.append(hash_words(raw[cut:end], np.zeros(1, np.int64), head, split))
                 cut = end
             h, _, *heads = (np.concatenate(x) for x in zip(*found, strict=True))
             yield row, to, h, np.array([0, len(h)]), *heads

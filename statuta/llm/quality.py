@@ -1,13 +1,16 @@
 """Quality classifier: importance resampling with hashed n-gram models of target and raw text, sampled by Gumbel top-k.
 
-A document's features are its distinct words, the distinct first five bytes of its words, and how often a word repeats the one
-before it (in tenths); all are hashed. Two generative models count the documents that show a feature: all documents (raw), and
-those that half of the labelled rows call good and not toxic (target). A feature's log weight is log p_target / p_raw, moved to
-zero as far as chance may explain (``SIGMAS`` standard errors), so that rare words of clean text weigh nothing; both models
-are scaled alike by their middle feature. A document's log weight is the sum over its n features, over sqrt(1 + n / ``LONG``) as what chance
-leaves adds up in long texts. The other half of the labelled
-rows says at which log weight good and bad part best; as many documents as lie above it are then drawn without replacement by
-Gumbel top-k: the k largest of ``log_weight / temperature + Gumbel(doc_id)``, found by an exact radix selection.
+A text's tokens are its words, cut between punctuation and anything else; a token that repeats the one before it is written as
+one sign. Its features are its distinct n-grams of 1 to ``ORDER`` tokens and the first ``PREFIX`` bytes of its tokens, hashed
+into two tables. Two generative models count the documents that show a feature: all documents (raw), and those that half of the
+labelled rows call good and not toxic (target). A cell's log weight is log p_target / p_raw, moved to zero as far as chance may
+explain (``SIGMAS`` standard errors); a feature's is the nearer to zero of its two cells', and zero if they differ in sign, so
+that a feature doesn't suffer from another one in its cell. A document's log weight is the sum over its n features, over
+sqrt(1 + n / ``LONG``) as what chance leaves adds up in long texts.
+
+The other half of the labelled rows says at which log weight good and bad part best. k, the size of the draw, is the number of
+documents with that log weight or more; k documents are drawn without replacement by Gumbel top-k: the k largest of
+``log_weight / TEMPERATURE + Gumbel(doc_id)``, found by an exact radix selection. Another seed draws other documents near the cut.
 
 Defined results: a text without words (null, empty) is rejected; documents with equal keys at the cut are all kept; without
 good labelled rows, or without bad ones, every text with words is kept. Repeated rows are kept or rejected together. Extra
@@ -27,20 +30,21 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-BITS = 21
+BITS = 20
 BLOCK = 1 << 15
 MAX_LABELLED = 100_000
-SIGMAS = 4.0
-PREFIX = 5
-TEMPERATURE = 1e-4
+ORDER, PREFIX = 3, 5
+SIGMAS = 3.0
+TEMPERATURE = 0.2
 LONG = 1000
 UNIT = 1 << 20
 FLUSH = 60_000
+_REPEAT = np.uint64(0x5851F42D4C957F2D)
 
 
 @dataclass
 class Model:
-    """Log weight of each feature, the log weight that parts good from bad, the least key kept (None: all)."""
+    """Log weight of each cell, the log weight that parts good from bad, the least key kept (None: all)."""
 
     weights: np.ndarray
     cut: float
@@ -49,30 +53,37 @@ class Model:
     temperature: float
 
 
-def _features(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, row after the last, row of each feature from 0 on, feature): each feature of a row once."""
-    shift = np.uint64(64 - BITS)
-    for row, to, h, at, heads in C.hashed(column, PREFIX):
-        n = to - row
-        owner = np.repeat(np.arange(n), np.diff(at))
-        same = np.zeros(len(h), dtype=bool)
-        same[1:] = (h[1:] == h[:-1]) & (owner[1:] == owner[:-1])
-        words = np.diff(at)
-        level = (10 * np.bincount(owner[same], minlength=n) // np.maximum(words - 1, 1)).astype(np.uint64)
-        some = np.flatnonzero(words)
-        rows = np.concatenate([owner, owner, some]).astype(np.uint64)
-        keys = (rows << np.uint64(BITS)) | (C.mix(np.concatenate([h, heads + np.uint64(77), level[some] + np.uint64(1 << 40)])) >> shift)
-        keys = np.sort(keys.astype(np.uint32) if n < 1 << (32 - BITS) else keys)
-        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
-        yield row, to, (keys >> np.array(BITS, keys.dtype)).astype(np.int64), (keys & np.array((1 << BITS) - 1, keys.dtype)).astype(np.int64)
+def _features(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, row of each feature from 0 on, its cells in both tables): each feature of a row once."""
+    for row, to, h, at, heads in C.hashed(column, PREFIX, split=True):
+        owner = np.repeat(np.arange(to - row, dtype=np.uint64), np.diff(at))
+        token = h.copy()
+        if len(h):
+            token[1:][(h[1:] == h[:-1]) & (owner[1:] == owner[:-1])] = _REPEAT
+        keys, gram = [(owner << np.uint64(2 * BITS)) | (C.mix(heads + np.uint64(77)) >> np.uint64(64 - 2 * BITS))], np.zeros(len(h), np.uint64)
+        for n in range(min(ORDER, len(h))):
+            gram = gram[: len(h) - n] * np.uint64(0xC2B2AE3D27D4EB4F) + token[n:] + np.uint64(n + 1)
+            whole = owner[: len(gram)] == owner[n:]
+            keys.append((owner[: len(gram)][whole] << np.uint64(2 * BITS)) | (C.mix(gram[whole]) >> np.uint64(64 - 2 * BITS)))
+        keys = np.sort(np.concatenate(keys))
+        if len(keys):
+            keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+        low = np.uint64((1 << BITS) - 1)
+        yield row, to, (keys >> np.uint64(2 * BITS)).astype(np.int32), ((keys >> np.uint64(BITS)) & low).astype(np.int32), (keys & low).astype(np.int32) + (1 << BITS)
+
+
+def feature_weights(weights: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Of the weights of a feature's two cells the one nearer to zero; zero if they differ in sign."""
+    a, b = weights[one], weights[two]
+    return np.where(a * b > 0, np.where(np.abs(a) < np.abs(b), a, b), np.float32(0))
 
 
 def _scores(column: pa.Array, weights: np.ndarray) -> np.ndarray:
     """Log weights; not a number where there are no words."""
     out = np.full(len(column), np.nan)
-    for row, to, rows, f in _features(column):
+    for row, to, rows, one, two in _features(column):
         n = np.bincount(rows, minlength=to - row)
-        out[row:to] = np.where(n > 0, np.bincount(rows, weights[f], minlength=to - row) / np.sqrt(1 + n / LONG), np.nan)
+        out[row:to] = np.where(n > 0, np.bincount(rows, feature_weights(weights, one, two), minlength=to - row) / np.sqrt(1 + n / LONG), np.nan)
     return out
 
 
@@ -90,47 +101,59 @@ def _trains(doc_id: int) -> bool:
 
 
 def weigh(documents: DataFrame, labelled: dict[int, bool]) -> np.ndarray:
-    """Log weights of the features from one pass over all documents."""
+    """Log weights of the cells from one pass over all documents."""
     target = {k for k, good in labelled.items() if good and _trains(k)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, seen, waiting, size = np.zeros((1 << BITS, 2), dtype=np.uint16), 0, ([], []), 0
+        cells, seen, waiting, size = np.zeros((2 << BITS, 2), dtype=np.uint16), 0, ([], []), 0
 
         def add() -> None:
             for side in (0, 1):
                 if waiting[side]:
-                    cells[:, side] += np.bincount(np.concatenate(waiting[side]), minlength=1 << BITS).astype(np.uint16)
+                    at, times = np.unique(np.concatenate(waiting[side]), return_counts=True)
+                    cells[at, side] += times.astype(np.uint16)
                     waiting[side].clear()
 
         for b in batches:
             chosen = np.array([x in target for x in b.column(0).to_pylist()], dtype=bool)
-            for row, to, rows, f in _features(b.column(1)):
+            for row, to, rows, one, two in _features(b.column(1)):
                 if seen + to - row > FLUSH:  # no cell can overflow
                     add()
                     yield C.block_rows(cells, BLOCK)
                     cells[:], seen, size = 0, 0, 0
-                seen, size = seen + to - row, size + len(f)
-                waiting[0].append(f)
-                waiting[1].append(f[chosen[row:to][rows]])
-                if size >= 1 << 21:
+                seen, size = seen + to - row, size + len(one)
+                mine = chosen[row:to][rows]
+                waiting[0].extend([one, two])
+                waiting[1].extend([one[mine], two[mine]])
+                if size >= 1 << 20:
                     add()
                     size = 0
         add()
         yield C.block_rows(cells, BLOCK)
+        C.trim()
 
     rows = documents.select("doc_id", "text").mapInArrow(count, "block int, cells binary")
-    raw, wanted = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    raw, wanted = np.zeros(2 << BITS, np.float32), np.zeros(2 << BITS, np.float32)
     for k, cells in C.blocks(C.add_blocks(rows, "uint16", "int64"), "int64"):
         raw[k * BLOCK : (k + 1) * BLOCK], wanted[k * BLOCK : (k + 1) * BLOCK] = cells[0::2], cells[1::2]
-    if not wanted.sum():
-        return np.zeros(1 << BITS, np.float32)
-    ratio = np.log((wanted + 1) / (raw * (wanted.sum() / raw.sum()) + 1))
-    order = np.argsort(ratio, kind="stable")
-    middle = ratio[order][np.searchsorted(np.cumsum(raw[order]), raw.sum() / 2)]
-    expected = np.maximum(raw * (wanted.sum() / raw.sum()) * np.exp(middle), 1e-9)
-    error = SIGMAS * np.sqrt(wanted + 1) + 1
-    most, least = wanted + error, np.maximum(wanted - error, 1e-9)
-    return np.where(most < expected, np.log(most / expected), np.where(least > expected, np.log(least / expected), 0.0)).astype(np.float32)
+    out = log_weights(raw, wanted)
+    C.trim()
+    return out
+
+
+def log_weights(raw: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Log weights of cells from their counts in both models, a block at a time."""
+    out = np.zeros(len(raw), np.float32)
+    if not (total := wanted.sum(dtype=np.float64)):
+        return out
+    share = total / raw.sum(dtype=np.float64)
+    for lo in range(0, len(raw), BLOCK):
+        part = slice(lo, lo + BLOCK)
+        seen, expected = wanted[part].astype(np.float64), np.maximum(raw[part] * share, 1e-9)
+        error = SIGMAS * np.sqrt(seen + 1) + 1
+        most, least = seen + error, np.maximum(seen - error, 1e-9)
+        out[part] = np.where(most < expected, np.log(most / expected), np.where(least > expected, np.log(least / expected), 0.0))
+    return out
 
 
 def score(documents: DataFrame, weights: np.ndarray) -> DataFrame:
@@ -139,6 +162,7 @@ def score(documents: DataFrame, weights: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.record_batch([b.column(0), pa.array(_scores(b.column(1), weights), pa.float64(), from_pandas=True)], names=["doc_id", "log_weight"])
+        C.trim()
 
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, log_weight double")
 
@@ -210,6 +234,7 @@ def filter_documents(documents: DataFrame, labels: DataFrame, **options) -> Data
         for b in batches:
             s = pa.array(_scores(b.column(at), weights), pa.float64(), from_pandas=True)
             yield pa.RecordBatch.from_arrays([*b.columns, s], names=[*(f"c{i}" for i in range(b.num_columns)), "w"])
+        C.trim()
 
     schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(documents.schema))
     out = documents.mapInArrow(run, f"{schema}, w double").where("w is not null")
