@@ -1,10 +1,12 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from statuta.llm import decontaminate as D
 
-from .data import AWKWARD, documents, sentence, text
+from .data import AWKWARD, WORDS, documents, sentence, text
 
 
 def brute(a, b):
@@ -42,6 +44,66 @@ def planted(spark):
     return documents(spark, [*rows, *((i and i + 500, t) for i, t in AWKWARD)]), spark.createDataFrame([*items, (90, None), (91, ""), (92, "zzz yyy xxx")], "item_id long, text string"), truth
 
 
+def test_svd_of_sketch():
+    """Against a full SVD of a matrix with a decaying spectrum."""
+    rng = np.random.default_rng(1)
+    u, _ = np.linalg.qr(rng.standard_normal((300, 60)))
+    v, _ = np.linalg.qr(rng.standard_normal((90, 60)))
+    a = u * 2.0 ** -np.arange(60) @ v.T
+    y = a @ rng.standard_normal((90, 30))
+    values, vectors = D.svd_of_sketch(y.T @ y, a.T @ y, 8)
+    _, true, right = np.linalg.svd(a)
+    assert np.allclose(values, true[:8], rtol=1e-3)
+    assert np.allclose(np.abs(np.sum(vectors * right[:8].T, axis=0)), 1, atol=1e-2)
+
+
+def test_directions_equal_a_dense_svd(spark):
+    """The latent directions of a small corpus span what a dense SVD of its TF-IDF passages spans."""
+    rng = random.Random(6)
+    topics = [[rng.choice(WORDS) for _ in range(12)] for _ in range(3)]
+    docs = documents(spark, [(k, " ".join(rng.choice(topics[k % 3]) for _ in range(90))) for k in range(60)])
+    seen, passages = D._frequencies(docs)
+    idf = np.log((passages + 1.0) / (seen + 1.0)) + 1
+    rows = []
+    for r in docs.collect():
+        for _, _, h, _ in D.C.hashed(pa.array([r.text])):
+            f = D._features(h)
+            for lo in range(0, len(f), D.PASSAGE):
+                x = np.bincount(f[lo : lo + D.PASSAGE], minlength=1 << D.BITS) * idf
+                rows.append(x / np.linalg.norm(np.unique(f[lo : lo + D.PASSAGE], return_counts=True)[1] ** 0.5 * idf[np.unique(f[lo : lo + D.PASSAGE])]))
+    assert len(rows) == passages
+    _, _, right = np.linalg.svd(np.array(rows), full_matrices=False)
+    got = D._directions(docs)[:-1, :2] / idf[:, None]
+    got /= np.linalg.norm(got, axis=0)
+    assert np.linalg.norm(right[:2] @ got, axis=0).min() > 0.98
+
+
+def test_recall_of_the_search_against_all_windows(spark, monkeypatch):
+    """Of planted paraphrases that the checks accept in some window, the cosine search finds 0.98 or more, short items too."""
+    docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
+    directions = D._directions(docs)
+    rows = [(r.item_id, r.text) for r in bench.collect()]
+    items, rng = D._Items(rows, directions), random.Random(1)
+    hosts = [r.text.split() for r in docs.limit(400).collect() if r.text]
+    words = [w for h in hosts for w in h]
+    texts, which = [], []
+    for _ in range(1 + 400 // len(rows)):
+        for item, t in rows:
+            host = rng.choice(hosts)[:200]
+            cut = rng.randint(0, len(host))
+            texts.append(" ".join([*host[:cut], *(x if rng.random() > 0.36 else rng.choice(words) for x in t.split()), *host[cut:]]))
+            which.append(items.ids.index(item))
+    got = {(r, k) for r, k, *_ in D._search(pa.array(texts), items, directions)}
+    monkeypatch.setattr(D, "COSINE", -1.0)
+    truth, every = set(), items.by
+    for row, (t, k) in enumerate(zip(texts, which)):  # each text against its own item, all windows
+        items.by = {n: (x[0][x[0] == k], x[1][x[0] == k]) for n, x in every.items() if (x[0] == k).any()}
+        truth |= {(row, k) for _ in D._search(pa.array([t]), items, directions)}
+    short = {(r, k) for r, k in truth if len(items.words[k]) < 20}
+    print(f"recall {len(got & truth) / len(truth):.3f} of {len(truth)}, of items under 20 words {len(got & short) / max(1, len(short)):.3f} of {len(short)}")
+    assert len(truth) > 50 and len(got & truth) >= 0.98 * len(truth) and len(got & short) >= 0.95 * len(short)
+
+
 def test_finds_planted_and_nothing_else(planted):
     docs, items, truth = planted
     assert {(r.doc_id, r.item_id) for r in D.leaks(docs, items).collect()} == truth
