@@ -1,14 +1,16 @@
 """Chat formatting: tool calls linked with their results, ordered topologically, validated and written as canonical JSON.
 
-``parse`` reads messages whose text is a JSON object: ``{"tool_calls": [{"id", "name", "arguments"}]}`` holds calls,
+``parse`` reads messages whose text is a JSON object, blanks around it or not: ``{"tool_calls": [{"id", "name", "arguments"}]}`` holds calls,
 ``{"tool_call_id", "content"}`` a result; any other text is plain. ``link`` hash-joins calls and results by conversation and
 identifier, checks each call's arguments against the schema of its tool, orders a conversation so that a call precedes its
 result and follows the results that its arguments name (``{"$ref": id}``), and gives one canonical JSON line for each message:
 keys sorted at every depth, no blanks, absent values left out.
 
-Order: a message stands at its turn, but not before what it depends on; ``level`` counts the steps of dependencies, and
-``position`` the messages of the conversation that come before, equal for messages equal in turn and level. It comes from
-counts by turn, so no conversation's messages need to meet in one task.
+Order: a message stands at its turn, but not before what it depends on: a result not before its call, a call not before the results
+that its arguments name, wherever their turns are. Kahn's rounds carry this place and the ``level``, the steps of dependencies,
+from message to message; of messages at one place those of lower level come first. ``position`` counts the messages of the
+conversation that come before, equal for messages equal in place and level. It comes from counts by place, so no conversation's
+messages need to meet in one task. A message on or behind a cycle of references stands at its turn, at level 0.
 
 Status of a call: ``ok``, ``no result``, ``invalid arguments``, ``unknown tool``, ``duplicate id`` (all but the first of an id)
 or ``cycle``; of a result: ``ok`` or ``no call``; null for plain messages. Defined results: null conversation, turn, role and
@@ -21,14 +23,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop, table
+from .common import drop, table, words_count
 
 _MESSAGE = "tool_calls array<struct<id string, name string, arguments variant>>, tool_call_id string, content string"
 
 
 def parse(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, text, calls (array of id, name, arguments as JSON), result_of, content of every message."""
-    found = F.when(F.col("text").startswith("{"), F.from_json("text", _MESSAGE, {"mode": "PERMISSIVE"}))
+    found = F.when(F.ltrim(F.col("text"), F.lit(" \t\r\n")).startswith("{"), F.from_json("text", _MESSAGE, {"mode": "PERMISSIVE"}))
     calls = F.transform(F.col("__m.tool_calls"), lambda c: F.struct(c["id"].alias("id"), c["name"].alias("name"), F.to_json(c["arguments"]).alias("arguments")))
     rows = messages.select("conv_id", "turn", "role", "text", found.alias("__m"))
     return rows.select("conv_id", "turn", "role", "text", F.filter(calls, lambda c: c["id"].isNotNull()).alias("calls"), F.col("__m.tool_call_id").alias("result_of"), F.col("__m.content").alias("content"))
@@ -62,28 +64,44 @@ def validated(calls: DataFrame, tools: DataFrame) -> DataFrame:
     return rows.withColumns({"__known": F.col("__tool").isNotNull(), "__valid": F.coalesce(valid, F.lit(False))}).drop("__tool", "__params", "__given")
 
 
-def _levels(calls: DataFrame) -> DataFrame:
-    """conv_id, id, __level of calls whose arguments name other calls: steps of dependencies, null on or behind a cycle.
+def references(arguments: Column) -> Column:
+    """The identifiers that arguments name as {"$ref": id}, at any depth: found in canonical JSON and decoded as JSON strings."""
+    quoted = F.regexp_extract_all(canonical(arguments), F.lit(r'"\$ref":("(?:[^"\\]|\\.)*")'), F.lit(1))
+    return F.from_json(F.concat(F.lit("["), F.array_join(F.array_distinct(quoted), ","), F.lit("]")), "array<string>")
 
-    Kahn's algorithm: each round gives levels to the calls whose references all have one; it ends when a round gives none.
+
+def _placed(calls: DataFrame, owners: DataFrame, results: DataFrame) -> DataFrame:
+    """conv_id, __n, __level, __at of call messages that refer or are referred to, null on or behind a cycle.
+
+    Kahn's algorithm: what a round resolves is taken off what waits, and only that is met with the edges in the next round.
     """
-    edges = calls.select("conv_id", "id", F.explode(F.array_distinct(F.regexp_extract_all("arguments", F.lit(r'"\$ref"\s*:\s*"([^"]+)"'), F.lit(1)))).alias("ref"))
-    known = calls.select(F.col("conv_id").alias("c"), F.col("id").alias("i")).distinct()
-    edges = table(edges.join(known, (F.col("conv_id") == F.col("c")) & (F.col("ref") == F.col("i")), "left_semi").distinct(), "refs")
-    nodes = edges.select("conv_id", "id").distinct()
-    done = table(edges.select("conv_id", F.col("ref").alias("id")).distinct().join(nodes, ["conv_id", "id"], "left_anti").withColumn("__level", F.lit(0)), "levels")
-    size = done.count()
-    while size:
-        held = done.withColumnsRenamed({"id": "ref"})
-        ready = edges.join(held, ["conv_id", "ref"], "left").groupBy("conv_id", "id").agg(F.max("__level").alias("__top"), F.count_if(F.col("__level").isNull()).alias("__open"))
-        new = table(done.join(ready.select("conv_id", "id"), ["conv_id", "id"], "left_anti").union(ready.where("__open = 0").select("conv_id", "id", F.col("__top") + 1)), "levels")
-        n = new.count()
-        drop(done)
-        done = new
-        if n == size:
-            break
-        size = n
-    return nodes.join(done, ["conv_id", "id"], "left")
+    edges = calls.select("conv_id", "__n", "turn", F.explode(references(F.col("arguments"))).alias("id"))
+    edges = edges.join(owners.select("conv_id", "id", F.col("__first.turn").alias("__ref_turn"), F.col("__first.__n").alias("__ref")), ["conv_id", "id"]).join(results, ["conv_id", "id"], "left")
+    edges = edges.groupBy("conv_id", "__n", "__ref").agg(F.min("turn").alias("turn"), F.min("__ref_turn").alias("__ref_turn"), F.max("__answered").alias("__answered"))
+    edges = table(edges, "refs")
+    waiting = table(edges.groupBy("conv_id", "__n").agg(F.min("turn").alias("__at"), F.count("*").alias("__open"), F.lit(0).alias("__level")), "waiting")
+    names = ["conv_id", "__n", "__level", "__at"]
+    start = edges.select("conv_id", F.col("__ref").alias("__n"), F.col("__ref_turn").alias("__at")).distinct().join(waiting, ["conv_id", "__n"], "left_anti")
+    front = table(start.withColumn("__level", F.lit(0)).select(*names), "placed")
+    done = [front]
+    while front.limit(1).count():
+        of = front.select("conv_id", F.col("__n").alias("__ref"), F.col("__level").alias("__below"), F.col("__at").alias("__from"))
+        met = edges.join(of, ["conv_id", "__ref"]).groupBy("conv_id", "__n").agg(
+            F.count("*").alias("__met"), (F.max("__below") + 1).alias("__up"), F.max(F.greatest("__from", "__answered")).alias("__after")
+        )
+        new = waiting.join(met, ["conv_id", "__n"], "left").select(
+            "conv_id", "__n", F.greatest("__at", "__after").alias("__at"), (F.col("__open") - F.coalesce("__met", F.lit(0))).alias("__open"), F.greatest("__level", "__up").alias("__level")
+        )
+        new = table(new, "waiting")
+        drop(waiting)
+        front = table(new.where("__open = 0").select(*names), "placed")
+        done.append(front)
+        waiting = new.where("__open > 0")
+        waiting._statuta_path = new._statuta_path
+    out = waiting.select("conv_id", "__n", F.lit(None).cast("int").alias("__level"), F.lit(None).cast(edges.schema["turn"].dataType).alias("__at"))
+    for part in done:
+        out = out.union(part)
+    return table(out, "order")
 
 
 def link(parsed: DataFrame, tools: DataFrame) -> DataFrame:
@@ -93,24 +111,23 @@ def link(parsed: DataFrame, tools: DataFrame) -> DataFrame:
     """
     rows = table(parsed.withColumn("__n", F.xxhash64("conv_id", "turn", "role", "text")), "messages")
     calls = rows.where(F.size("calls") > 0).select("conv_id", "turn", "__n", F.posexplode("calls").alias("__k", "__c")).select("conv_id", "turn", "__n", "__k", "__c.*")
-    first = calls.groupBy("conv_id", "id").agg(F.min(F.struct("turn", "__k")).alias("__first"))
+    owners = calls.groupBy("conv_id", "id").agg(F.min(F.struct("turn", "__k", "__n")).alias("__first"))
     results = rows.where(F.col("result_of").isNotNull()).groupBy("conv_id", F.col("result_of").alias("id")).agg(F.min("turn").alias("__answered"))
-    levels = _levels(calls)
-    judged = validated(calls, tools).join(first, ["conv_id", "id"], "left").join(results, ["conv_id", "id"], "left")
-    refers = F.col("arguments").contains('"$ref"')
-    judged = judged.join(levels, ["conv_id", "id"], "left").withColumn("__seen", F.coalesce("__level", F.lit(0)))
-    named = levels.withColumn("__in", F.lit(True)).select("conv_id", "id", "__in")
-    judged = judged.join(named, ["conv_id", "id"], "left")
+    order = _placed(calls, owners, results)
+    judged = validated(calls, tools).join(owners, ["conv_id", "id"], "left").join(results, ["conv_id", "id"], "left")
+    judged = judged.join(order.withColumn("__in", F.lit(True)), ["conv_id", "__n"], "left")
     status = (
-        F.when(F.struct("turn", "__k") != F.col("__first"), "duplicate id").when(refers & F.col("__in") & F.col("__level").isNull(), "cycle")
+        F.when(F.struct("turn", "__k", "__n") != F.col("__first"), "duplicate id").when(F.col("__in") & F.col("__level").isNull(), "cycle")
         .when(~F.col("__known"), "unknown tool").when(~F.col("__valid"), "invalid arguments").when(F.col("__answered").isNull(), "no result").otherwise("ok")
     )
     judged = table(judged.withColumn("__status", status), "calls")
     worst = F.max(F.when(F.col("__status") != "ok", F.col("__status")))
     per = judged.groupBy(F.col("conv_id").alias("__cc"), F.col("turn").alias("__ct"), F.col("__n").alias("__cn")).agg(
-        F.coalesce(worst, F.lit("ok")).alias("__call_status"), F.min_by("id", "__k").alias("__call"), F.min("__answered").alias("__answer"), F.max("__seen").alias("__call_level")
-    )
-    asked = judged.where("__status <> 'duplicate id'").groupBy(F.col("conv_id").alias("__ac"), F.col("id").alias("__ai")).agg(F.min("turn").alias("__asked"), F.max("__seen").alias("__asked_level"))
+        F.coalesce(worst, F.lit("ok")).alias("__call_status"), F.min_by("id", "__k").alias("__call"), F.min("__answered").alias("__answer"),
+        F.coalesce(F.max("__level"), F.lit(0)).alias("__call_level"), F.max("__at").alias("__call_at"),
+    )
+    asked = owners.select("conv_id", "id", F.col("__first.turn").alias("__asked"), F.col("__first.__n").alias("__n")).join(order, ["conv_id", "__n"], "left")
+    asked = asked.select(F.col("conv_id").alias("__ac"), F.col("id").alias("__ai"), "__asked", F.coalesce("__level", F.lit(0)).alias("__asked_level"), F.col("__at").alias("__asked_at"))
     same = F.col("conv_id").eqNullSafe(F.col("__cc")) & F.col("turn").eqNullSafe(F.col("__ct")) & (F.col("__n") == F.col("__cn"))
     out = rows.join(per, same, "left").join(asked, (F.col("conv_id") == F.col("__ac")) & (F.col("result_of") == F.col("__ai")), "left")
     out = out.withColumns({
@@ -118,13 +135,13 @@ def link(parsed: DataFrame, tools: DataFrame) -> DataFrame:
         "linked_turn": F.coalesce("__asked", "__answer"),
         "status": F.coalesce("__call_status", F.when(F.col("result_of").isNotNull(), F.when(F.col("__ai").isNull(), "no call").otherwise("ok"))),
         "level": F.coalesce(F.col("__call_level") * 2, F.col("__asked_level") * 2 + 1, F.lit(0)).cast("long"),
-        "__at": F.greatest(F.col("turn"), F.col("__asked")),
+        "__place": F.greatest("turn", "__asked", "__asked_at", "__call_at"),
     })
-    key = ["conv_id", "__at", "level"]
+    key = ["conv_id", "__place", "level"]
     counts = out.groupBy(*key).agg(F.count("*").alias("__same"))
-    before = F.coalesce(F.sum("__same").over(Window.partitionBy("conv_id").orderBy("__at", "level").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(F.sum("__same").over(Window.partitionBy("conv_id").orderBy("__place", "level").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     places = counts.withColumn("position", before).select(*(F.col(c).alias(f"__p{k}") for k, c in enumerate(key)), "position")
-    out = out.join(places, F.col("conv_id").eqNullSafe(F.col("__p0")) & F.col("__at").eqNullSafe(F.col("__p1")) & F.col("level").eqNullSafe(F.col("__p2")))
+    out = out.join(places, F.col("conv_id").eqNullSafe(F.col("__p0")) & F.col("__place").eqNullSafe(F.col("__p1")) & F.col("level").eqNullSafe(F.col("__p2")))
     listed = F.transform("calls", lambda c: F.concat(F.lit('{"arguments":'), F.coalesce(canonical(c["arguments"]), F.lit("null")), F.lit(',"id":'), F.to_json(c["id"].cast("variant")), F.lit(',"name":'), F.coalesce(F.to_json(c["name"].cast("variant")), F.lit("null")), F.lit("}")))
     said = F.when(F.col("result_of").isNotNull(), F.col("content")).when(F.size("calls") > 0, F.lit(None)).otherwise(F.col("text"))
     fields = [("content", F.to_json(said.cast("variant"))), ("role", F.to_json(F.col("role").cast("variant"))), ("tool_call_id", F.to_json(F.col("result_of").cast("variant"))), ("tool_calls", F.when(F.size("calls") > 0, F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]"))))]
@@ -132,35 +149,100 @@ def link(parsed: DataFrame, tools: DataFrame) -> DataFrame:
     return out.select("conv_id", "turn", "role", "call_id", "linked_turn", "status", "level", "position", json.alias("json"))
 
 
-def as_tool_use(conversations: DataFrame) -> DataFrame:
-    """Plain conversations in the form of parse(): a user's turn calls ``reply`` with its text, the next turn is the result."""
-    name = F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"))
-    asks, answers = F.col("role") == "user", F.col("role") == "assistant"
-    arguments = F.concat(F.lit('{"text":'), F.to_json(F.col("text").cast("variant")), F.lit("}"))
-    call = F.struct(F.concat(name, F.col("turn").cast("string")).alias("id"), F.lit("reply").alias("name"), arguments.alias("arguments"))
-    calls = F.when(asks, F.filter(F.array(call), lambda c: c["id"].isNotNull()))
-    of = F.when(answers, F.concat(name, (F.col("turn") - 1).cast("string")))
-    return conversations.select("conv_id", "turn", "role", "text", calls.alias("calls"), of.alias("result_of"), F.when(answers, F.col("text")).alias("content"))
+PARAMS = "array<struct<name string, type string, required boolean>>"
+TOOLS = [("ask", [("text", "string", True), ("after", "object", False), ("before", "object", False)]), ("tell", [("text", "string", True), ("after", "object", False), ("words", "integer", True)])]
+
+
+def as_messages(conversations: DataFrame) -> DataFrame:
+    """Plain conversations as messages of parse(): a user's turn is a call, the assistant's turn after it is the result.
+
+    What a conversation's calls look like follows from conv_id modulo 7. 0, 5 and 6: each names the result of the call before it,
+    6 also of the one before that. 1: each names the result of the call after it. 2: as 0, but the first names the last's too, a
+    cycle if there are two. 3: as 0, with identifiers that begin again after two calls. 4: calls of an unknown tool, or without
+    text. Texts of even length are told with their words counted, others asked; other turns, and null ones, stay as they are.
+    """
+    conv, turn, kind = F.col("conv_id"), F.col("turn"), F.pmod("conv_id", F.lit(7))
+    users = conversations.where("role = 'user'").groupBy(F.col("conv_id").alias("__c")).agg(F.min("turn").alias("__first"), F.max("turn").alias("__last"))
+    quoted = lambda x: F.to_json(x.cast("variant"))
+    name = lambda t: F.concat(F.lit("c\u00e9\\"), conv.cast("string"), F.lit("-"), F.when(kind == 3, F.pmod(t, F.lit(4))).otherwise(t).cast("string"))
+    ref = lambda t: F.concat(F.lit('{"$ref":'), quoted(name(t)), F.lit("}"))
+    told = F.pmod(F.char_length("text"), F.lit(2)) == 0
+    after = (
+        F.when(kind == 1, F.when(turn < F.col("__last"), ref(turn + 2)))
+        .when((kind == 2) & (turn == F.col("__first")), F.when(turn < F.col("__last"), ref(F.col("__last"))))
+        .when((kind == 6) & (turn - 4 >= F.col("__first")), F.concat(F.lit('{"both":['), ref(turn - 2), F.lit(","), ref(turn - 4), F.lit("]}")))
+        .when((turn - 2 >= F.col("__first")) & (kind != 4), ref(turn - 2))
+    )
+    said = F.when((kind != 4) | told, quoted(F.col("text")))
+    arguments = F.concat_ws(", ", F.concat(F.lit('"text" : '), said), F.concat(F.lit('"after":'), after), F.when(told, F.concat(F.lit('"words":'), words_count(F.col("text")).cast("string"))))
+    tool = F.when((kind == 4) & told, "shout").when(told, "tell").otherwise("ask")
+    call = F.concat(F.lit(' {"tool_calls":[{"name":"'), tool, F.lit('","id":'), quoted(name(turn)), F.lit(',"arguments":{'), arguments, F.lit("}}]}"))
+    result = F.concat(F.lit('{"tool_call_id":'), quoted(name(turn - 1)), F.lit(',"content":'), quoted(F.col("text")), F.lit("}"))
+    out = conversations.join(users, conv == F.col("__c"), "left")
+    text = F.when((F.col("role") == "user") & F.col("text").isNotNull(), call).when((F.col("role") == "assistant") & F.col("text").isNotNull(), result)
+    return out.select("conv_id", "turn", "role", F.coalesce(text, F.col("text")).alias("text"))
 
 
 ORACLE = r"""
-with m as (
-  select conv_id, turn, role, text,
-    case when role = 'user' then 'c' || conv_id || '-' || turn end as call,
-    case when role = 'assistant' then 'c' || conv_id || '-' || (turn - 1) end as result_of from conversations),
-results as (
-  select result_of, min(turn) as answered from m where result_of is not null group by 1),
-calls as (
-  select call, min(turn) as asked from m where call is not null group by 1),
+with recursive spread as (
+  select conv_id, turn, role, text, conv_id % 7 as kind, length(text) % 2 = 0 as told,
+    min(turn) filter (where role = 'user') over (partition by conv_id) as first_turn, max(turn) filter (where role = 'user') over (partition by conv_id) as last_turn
+  from conversations),
+m as (
+  select *, 'cé\' || conv_id || '-' || case when kind = 3 then ((turn % 4) + 4) % 4 else turn end as own,
+    'cé\' || conv_id || '-' || case when kind = 3 then ((turn + 3) % 4) else turn - 1 end as before,
+    role = 'user' and text is not null as calls, role = 'assistant' and text is not null as answers from spread),
+refs as (
+  select conv_id, turn, unnest(case
+      when kind = 1 then case when turn < last_turn then [turn + 2] end
+      when kind = 2 and turn = first_turn then case when turn < last_turn then [last_turn] end
+      when kind = 6 and turn - 4 >= first_turn then [turn - 2, turn - 4]
+      when kind <> 4 and turn - 2 >= first_turn then [turn - 2] end) as to_turn, kind from m where calls),
+owners as (
+  select conv_id, own, min(turn) as turn from m where calls group by 1, 2),
+answered as (
+  select conv_id, before as own, min(turn) as answered from m where answers group by 1, 2),
+edges as (
+  select distinct r.conv_id, r.turn, o.turn as ref, a.answered
+  from refs r join owners o on r.conv_id = o.conv_id and o.own = 'cé\' || r.conv_id || '-' || case when r.kind = 3 then r.to_turn % 4 else r.to_turn end
+  left join answered a on a.conv_id = o.conv_id and a.own = o.own),
+looped as (
+  select distinct conv_id, turn from edges where conv_id % 7 = 2 and conv_id in (select conv_id from edges group by 1 having max(ref) > min(turn))
+  union select e.conv_id, e.turn from edges e where e.conv_id % 7 = 3 and e.turn = e.ref),
+paths as (
+  select conv_id, turn, 0 as level, turn as place from owners o
+  where (conv_id, turn) not in (select conv_id, turn from edges) and (conv_id, turn) not in (select conv_id, turn from looped)
+  union
+  select e.conv_id, e.turn, p.level + 1, greatest(e.turn, p.place, e.answered)
+  from paths p join edges e on p.conv_id = e.conv_id and p.turn = e.ref where (e.conv_id, e.turn) not in (select conv_id, turn from looped)),
+placed as (
+  select conv_id, turn, max(level) as level, max(place) as place from paths group by 1, 2),
 j as (
-  select m.*, r.answered, c.asked, c.call as found, greatest(m.turn, coalesce(c.asked, m.turn)) as place, case when c.call is not null then 1 else 0 end as level
-  from m left join results r on m.call = r.result_of left join calls c on m.result_of = c.call)
-select conv_id, turn, role, coalesce(result_of, call) as call_id, coalesce(asked, answered) as linked_turn,
-  case when call is not null then case when text is null then 'invalid arguments' when answered is null then 'no result' else 'ok' end
-       when result_of is not null then case when found is null then 'no call' else 'ok' end end as status,
+  select m.*, o.turn as owner, n.answered, a.turn as asked,
+    case when m.calls then coalesce(p.level, 0) * 2 when a.turn is not null then coalesce(q.level, 0) * 2 + 1 else 0 end as level,
+    greatest(m.turn, p.place, a.turn, q.place) as place, (m.conv_id, m.turn) in (select conv_id, turn from looped) as cyclic
+  from m left join owners o on m.calls and m.conv_id = o.conv_id and m.own = o.own
+  left join answered n on m.calls and m.conv_id = n.conv_id and m.own = n.own
+  left join owners a on m.answers and m.conv_id = a.conv_id and m.before = a.own
+  left join placed p on m.calls and m.conv_id = p.conv_id and m.turn = p.turn
+  left join placed q on a.conv_id = q.conv_id and a.turn = q.turn),
+ref_json as (
+  select *, '{"$ref":"cé\\' || conv_id || '-' as ref, case when kind = 3 then ((turn - 2) % 4) else turn - 2 end as back from j)
+select conv_id, turn, role, case when calls then own when answers then before end as call_id,
+  case when calls then answered when answers then asked end as linked_turn,
+  case when calls then case when owner <> turn then 'duplicate id' when cyclic then 'cycle' when kind = 4 and told then 'unknown tool'
+      when kind = 4 then 'invalid arguments' when answered is null then 'no result' else 'ok' end
+    when answers then case when asked is null then 'no call' else 'ok' end end as status,
   level::bigint as level, (rank() over (partition by conv_id order by place, level) - 1)::bigint as position,
-  case when call is not null then '{"role":"user","tool_calls":[{"arguments":{"text":' || to_json(text)::varchar || '},"id":' || to_json(call)::varchar || ',"name":"reply"}]}'
-       when result_of is not null then '{"content":' || to_json(text)::varchar || ',"role":"assistant","tool_call_id":' || to_json(result_of)::varchar || '}'
-       else '{"content":' || to_json(text)::varchar || ',"role":' || to_json(role)::varchar || '}' end as json
-from j
+  case when calls then '{"role":"user","tool_calls":[{"arguments":{' || concat_ws(',',
+      '"after":' || case when kind = 1 then case when turn < last_turn then ref || (turn + 2) || '"}' end
+        when kind = 2 and turn = first_turn then case when turn < last_turn then ref || last_turn || '"}' end
+        when kind = 6 and turn - 4 >= first_turn then '{"both":[' || ref || (turn - 2) || '"},' || ref || (turn - 4) || '"}]}'
+        when kind <> 4 and turn - 2 >= first_turn then ref || back || '"}' end,
+      case when kind <> 4 or told then '"text":' || to_json(text)::varchar end,
+      case when told then '"words":' || len(regexp_extract_all(text, '[^ 	-]+')) end)
+      || '},"id":"cé\\' || substr(own, 4) || '","name":"' || case when kind = 4 and told then 'shout' when told then 'tell' else 'ask' end || '"}]}'
+    when answers then '{"content":' || to_json(text)::varchar || ',"role":"assistant","tool_call_id":"cé\\' || substr(before, 4) || '"}'
+    else '{"content":' || to_json(text)::varchar || ',"role":' || to_json(role)::varchar || '}' end as json
+from ref_json
 """

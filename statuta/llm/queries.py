@@ -49,9 +49,8 @@ def op5_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every turn of the conversations as linked, validated and ordered tool use."""
-    param = "array<struct<name string, type string, required boolean>>"
-    tools = spark.createDataFrame([("reply", [("text", "string", True)])], f"name string, params {param}")
-    return chat.link(chat.as_tool_use(read(spark, sf_dir, "conversations")), tools)
+    tools = spark.createDataFrame(chat.TOOLS, f"name string, params {chat.PARAMS}")
+    return chat.link(chat.parse(chat.as_messages(read(spark, sf_dir, "conversations"))), tools)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

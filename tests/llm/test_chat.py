@@ -1,4 +1,5 @@
 import json
+import random
 
 import duckdb
 import pytest
@@ -58,7 +59,76 @@ def test_awkward(spark, tools):
     assert chat.link(chat.parse(spark.createDataFrame([], MESSAGE)), tools).count() == 0
 
 
-def test_plain_conversations_equal_sql(spark):
+def test_positions_with_references_to_later_turns(spark, tools):
+    """A call that names a later call's result comes after that result; so do calls of one message, and chains of such."""
+    ref = lambda x: {"$ref": x}
+    rows = [
+        (1, 1, "assistant", said(call("b", "add", a=1, o=ref("a")))), (1, 2, "tool", result("b")), (1, 3, "assistant", said(call("a", "add", a=1))), (1, 4, "tool", result("a")), (1, 5, "user", "end"),
+        (2, 0, "assistant", said(call("x", "add", a=1, o=ref("z")), call("y", "add", a=1))), (2, 1, "tool", result("y")), (2, 2, "assistant", said(call("z", "add", a=1, o=ref("w")))), (2, 3, "assistant", said(call("w", "add", a=1))),
+        (3, 0, "assistant", said(call("s", "add", a=1, o=ref("s")))), (3, 1, "assistant", said(call("t", "add", a=1, o={"deep": [[ref("s")]]}))),
+    ]
+    got = {(r.conv_id, r.turn): r for r in linked(spark, tools, rows)}
+    at = {k: r.position for k, r in got.items()}
+    assert at[1, 3] < at[1, 4] < at[1, 1] < at[1, 2] and at[1, 2] < at[1, 5]
+    assert at[2, 3] < at[2, 2] < at[2, 0] < at[2, 1]
+    assert got[3, 0].status == got[3, 1].status == "cycle" and got[2, 0].level == 4
+
+
+def brute(messages):
+    """Levels and places of the calls of one conversation by trying again until nothing changes. messages: (turn, [(id, refs)], result_of)."""
+    owner, answered = {}, {}
+    for turn, calls, of in messages:
+        for k, (i, _) in enumerate(calls):
+            owner[i] = min(owner.get(i, (turn, k)), (turn, k))
+        if of is not None:
+            answered[of] = min(answered.get(of, turn), turn)
+    needs = {t: {(owner[r][0], answered.get(r)) for _, refs in calls for r in refs if r in owner} for t, calls, _ in messages if calls}
+    done = {t: (0, t) for t, n in needs.items() if not n}
+    while True:
+        new = {t: (1 + max(done[r][0] for r, _ in n), max([t, *(done[r][1] for r, _ in n), *(a for _, a in n if a is not None)])) for t, n in needs.items() if t not in done and all(r in done for r, _ in n)}
+        if not new:
+            break
+        done |= new
+    keys = {}
+    for turn, calls, of in messages:
+        if calls:
+            level, place = done.get(turn, (0, turn))
+            keys[turn] = (max(place, turn), 2 * level)
+        elif of in owner:
+            level, place = done.get(owner[of][0], (0, owner[of][0]))
+            keys[turn] = (max(place, turn), 2 * level + 1)
+        else:
+            keys[turn] = (turn, 0)
+    return {t: (k[1], sum(o < k for o in keys.values())) for t, k in keys.items()}
+
+
+def test_order_equals_brute_force(spark, tools):
+    rng, rows, want = random.Random(3), [], {}
+    for conv in range(40):
+        names, messages = [f"n{k}\"\u00e9\\" for k in range(rng.randint(1, 6))], []
+        for turn in range(rng.randint(1, 12)):
+            if rng.random() < 0.6:
+                made = [(rng.choice(names), rng.sample(names, rng.choice([0, 0, 1, 2]) if len(names) > 1 else 0)) for _ in range(rng.choice([1, 1, 2]))]
+                messages.append((turn, made, None))
+                rows.append((conv, turn, "assistant", said(*(call(i, "add", a=1, o=[{"$ref": r} for r in refs]) for i, refs in made))))
+            else:
+                messages.append((turn, [], rng.choice(names)))
+                rows.append((conv, turn, "tool", "  " + result(messages[-1][2])))
+        want |= {(conv, t): x for t, x in brute(messages).items()}
+    got = {(r.conv_id, r.turn): (r.level, r.position) for r in linked(spark, tools, rows)}
+    assert got == want and max(x[0] for x in want.values()) > 4
+
+
+def test_references_in_text_are_none(spark, tools):
+    """What looks like a reference inside a string is text; escaped names and keys are names and keys."""
+    rows = [
+        (1, 0, "assistant", said(call('a"b\\', "add", a=1))), (1, 1, "assistant", said(call("k", "add", a=1, o={"t": '{"$ref":"k"}', "$ref": 'a"b\\'}))),
+        (1, 2, "assistant", '{"tool_calls":[{"id":"m","name":"add","arguments":{"a":1,"o":{"\\u0024ref":"k"}}}]}'),
+    ]
+    assert [r.level for r in sorted(linked(spark, tools, rows), key=lambda r: r.turn)] == [0, 2, 4]
+
+
+def test_conversations_equal_sql(spark):
     from statuta.llm.queries import op7_chat
 
     con = duckdb.connect()
@@ -66,3 +136,4 @@ def test_plain_conversations_equal_sql(spark):
     want = con.sql(chat.ORACLE)
     got = op7_chat(spark, "/root/testdata/sf0.001").select(*want.columns).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want.fetchall()))
+    assert {r.status for r in got} >= {None, "ok", "cycle", "duplicate id", "unknown tool", "invalid arguments", "no result"} and max(r.level for r in got) >= 6
