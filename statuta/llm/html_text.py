@@ -4,7 +4,8 @@ A page becomes a flat list of blocks: text between block-level tags, character r
 space. Each block has its words and link density, those of the blocks before and after, whether it lies inside a part that
 pages repeat (navigation, footers, asides, forms, adverts, notices, comments: by tag, role, class or id), and whether it lies
 in the page's article element, outside it, or the page has none. A decision tree, grown by Gini impurity on the small labelled
-table below, says which blocks are main text.
+table below (whole pages, so that a block's neighbours are real ones), says which blocks are main text. Pages that name their
+parts are decided by that; on pages of plain containers word counts and link densities of a block and its neighbours decide.
 
 Defined results: null, empty and tag-only pages give an empty text; unclosed and stray tags are mended as browsers do for
 paragraphs, list items and table cells; an unended comment or script goes to the end of the page; repeated rows give equal
@@ -43,22 +44,29 @@ HINTS = set(
     "subscription signup login popup modal overlay widget widgets pagination pager toolbar skip paywall copyright disclaimer".split()
 )
 
-# The labelled table. words, link density, words before, link density before, words after, link density after,
-# in a repeated part (1) or not (0), in the article (1), outside it (-1) or page without one (0); main text (1) or not (0).
+# The labelled table, one page in each line, its blocks in order. A block: words, link density in hundredths, where it
+# stands (i in the page's article, o outside it, n on a page without one; p in a repeated part, q in one inside the article), + for main text or - for the rest.
 LABELLED = """
-1 1.0 1 1.0 1 1.0 1 -1 0 | 2 1.0 1 1.0 12 0.0 1 -1 0 | 9 0.0 2 1.0 11 0.0 1 -1 0 | 40 0.0 3 1.0 60 0.0 1 -1 0
-12 0.1 80 0.0 0 0.0 1 -1 0 | 30 0.0 9 0.0 0 0.0 1 1 0 | 6 0.0 50 0.0 7 0.0 1 1 0 | 25 0.4 30 0.0 2 1.0 1 1 0
-3 1.0 3 1.0 3 1.0 1 1 0 | 70 0.0 80 0.0 60 0.0 1 1 0 | 1 0.0 1 0.0 1 0.0 1 0 0 | 15 0.2 30 0.0 4 1.0 1 0 0
-50 0.0 60 0.0 40 0.0 1 0 0 | 8 0.0 0 0.0 60 0.0 0 1 1 | 60 0.0 8 0.0 45 0.0 0 1 1 | 1 0.0 60 0.0 70 0.0 0 1 1
-2 0.0 2 0.0 2 0.0 0 1 1 | 3 1.0 40 0.0 50 0.0 0 1 1 | 20 0.5 40 0.0 3 1.0 0 1 1 | 5 0.8 5 0.8 5 0.8 0 1 1
-1 1.0 0 0.0 0 0.0 0 1 1 | 120 0.0 0 0.0 0 0.0 0 1 1 | 4 0.0 9 0.0 2 1.0 0 1 1 | 12 1.0 9 0.2 8 0.0 0 1 1
-6 0.0 1 1.0 30 0.0 0 -1 0 | 30 0.0 2 1.0 8 0.0 0 -1 0 | 60 0.0 50 0.0 9 0.0 0 -1 0 | 2 1.0 2 1.0 2 1.0 0 -1 0
-10 0.3 70 0.0 0 0.0 0 -1 0 | 1 0.0 1 0.0 1 0.0 0 -1 0 | 150 0.1 40 0.0 60 0.0 0 -1 0 | 15 0.0 60 0.0 0 0.0 0 -1 0
-45 0.0 20 0.0 50 0.0 0 0 1 | 60 0.1 6 0.0 2 1.0 0 0 1 | 20 0.0 40 0.0 30 0.0 0 0 1 | 18 0.2 3 1.0 40 0.0 0 0 1
-7 0.0 50 0.0 60 0.0 0 0 1 | 6 0.0 4 1.0 50 0.0 0 0 1 | 3 0.0 45 0.0 45 0.0 0 0 1 | 12 0.0 30 0.0 0 0.0 0 0 1
-5 0.1 2 0.0 25 0.0 0 0 1 | 1 1.0 1 1.0 1 1.0 0 0 0 | 4 0.9 3 1.0 5 1.0 0 0 0 | 2 1.0 0 0.0 2 1.0 0 0 0
-30 0.8 4 1.0 5 1.0 0 0 0 | 10 0.6 50 0.0 4 1.0 0 0 0 | 14 0.5 3 1.0 2 1.0 0 0 0 | 3 0.0 2 1.0 2 1.0 0 0 0
-2 0.0 1 1.0 3 1.0 0 0 0 | 6 0.5 30 0.0 0 0.0 0 0 0 | 40 0.7 60 0.0 60 0.0 0 0 0 | 3 1.0 40 0.0 50 0.0 0 0 0
+1 100 p -, 2 100 p -, 1 100 p -, 6 0 p -, 9 0 i +, 12 10 i +, 60 0 i +, 45 5 i +, 3 0 i +, 70 0 i +, 2 100 i +, 40 20 i +, 30 0 p -, 4 100 p -, 12 0 p -
+3 100 o -, 2 100 o -, 8 0 o -, 30 0 o -, 6 0 i +, 1 0 i +, 120 0 i +, 5 80 i +, 5 100 i +, 12 100 i +, 8 0 i +, 60 0 o -, 15 0 o -, 2 100 p -, 10 30 o -
+40 0 p -, 1 0 i +, 2 0 i +, 2 0 i +, 80 0 p -, 20 50 i +, 6 0 p -, 4 0 i +, 150 10 o -, 1 0 o -
+1 100 n -, 2 100 n -, 1 100 n -, 8 0 n +, 45 0 n +, 60 5 n +, 4 0 n +, 55 0 n +, 30 10 n +, 2 0 n -, 6 100 n -, 8 100 n -, 7 100 n -, 9 0 n -, 2 100 n -, 3 100 n -
+14 10 n -, 1 100 n -, 1 100 n -, 2 100 n -, 6 0 n +, 25 0 n +, 18 0 n +, 7 0 n +, 9 0 n +, 8 0 n +, 40 0 n +, 3 100 n -, 12 0 n -, 2 100 n -
+2 100 n -, 3 100 n -, 8 0 n -, 1 100 n -, 11 0 n +, 50 0 n +, 35 20 n +, 70 0 n +, 20 70 n -, 16 60 n -, 24 55 n -, 10 0 n -, 1 100 n -
+5 0 n +, 90 0 n +, 110 10 n +, 3 0 n +, 65 0 n +, 20 0 n +, 40 0 n +, 1 100 n -, 9 0 n -, 1 100 n -, 12 0 n -, 1 100 n -, 6 0 n -
+1 100 n -, 4 90 n -, 5 100 n -, 30 80 n -, 14 50 n -, 40 70 n -, 10 60 n -, 6 50 n -, 3 0 n -, 2 100 n -, 2 0 n -, 3 100 n -
+3 0 n +, 48 0 n +, 1 0 n +, 52 0 n +, 22 0 n +, 5 10 n +, 28 0 n +, 33 0 n +, 2 100 n -, 13 0 n -
+2 100 n -, 15 0 n -, 3 100 n -, 7 0 n +, 19 0 n +, 60 30 n +, 44 0 n +, 2 100 n -, 4 100 n -, 15 20 n -
+70 0 n +
+20 0 n +, 45 0 n +, 12 0 n +, 38 0 n +
+6 100 n -, 3 100 n -, 44 0 n +, 39 0 n +, 9 0 n +, 41 0 n +, 12 100 n -, 11 100 n -, 10 0 n -
+50 0 p -, 1 100 p -, 30 0 n +, 7 0 n +, 42 0 n +, 55 0 p -, 3 0 p -
+1 0 i +, 30 10 i +, 5 0 i +, 2 0 i +, 12 60 i +, 3 0 i +, 8 100 i +, 6 100 i +, 20 0 i +, 4 10 i +, 36 30 i +, 5 0 i +, 9 10 i +, 1 100 i +, 25 5 i +, 3 100 i +, 2 0 i +
+2 100 i +, 2 100 i +, 14 100 i +, 50 80 i +, 7 40 i +, 1 100 i +, 1 0 i +, 90 5 i +, 18 100 i +, 11 20 i +, 6 0 i +, 1 30 i +, 24 20 i +, 2 10 i +, 3 0 i +, 4 60 i +, 16 0 i +
+5 0 i +, 4 100 o -, 55 0 o -, 90 0 o -, 25 10 o -, 8 0 o -, 7 0 o -, 70 20 o -, 45 0 o -, 18 0 o -, 2 0 o -, 3 0 o -, 120 5 o -, 100 0 o -, 9 0 o -, 38 0 o -
+70 0 p -, 90 0 p -, 25 10 p -, 8 0 p -, 7 0 p -, 70 20 p -, 45 0 p -, 18 0 p -, 2 0 p -, 3 0 p -, 120 5 p -, 100 0 p -, 9 0 p -, 38 0 p -, 1 0 p -, 14 0 p -, 33 30 p -
+30 0 i +, 60 0 q -, 45 0 q -, 4 0 i +, 75 0 q -, 22 0 i +, 9 100 q -, 9 0 i +, 40 0 q -, 40 0 i +, 8 0 q -, 2 0 i +, 11 0 q -, 7 0 q -, 31 0 i +
+6 0 i +, 50 0 i +, 3 0 q -, 1 100 q -, 14 0 q -, 1 100 q -, 33 10 q -, 2 100 q -, 28 0 q -, 90 0 q -, 3 0 q -, 5 60 q -, 17 0 q -, 1 0 q -, 64 0 q -, 70 20 q -, 2 0 q -
 """
 
 
@@ -98,9 +106,28 @@ def classify(tree: Node, row: tuple) -> bool:
     return tree.label
 
 
+FEATURES = ["words", "link density", "words before", "link density before", "words after", "link density after", "part", "article"]
+_WHERE = {"p": (1, 0), "q": (1, 1), "i": (0, 1), "o": (0, -1), "n": (0, 0)}
+
+
+def rows_of(found: list[tuple[int, float, int, int]]) -> list[tuple]:
+    """FEATURES of each block of a page, of (words, link density, part, article): what a block's neighbours are is one of them."""
+    shape = [(0, 0.0), *((n, d) for n, d, _, _ in found), (0, 0.0)]
+    return [(*shape[k + 1], *shape[k], *shape[k + 2], part, article) for k, (_, _, part, article) in enumerate(found)]
+
+
+def labelled() -> tuple[np.ndarray, np.ndarray]:
+    """FEATURES and labels of the table's blocks."""
+    x, y = [], []
+    for page in LABELLED.strip().splitlines():
+        blocks = [b.split() for b in page.split(",")]
+        x += rows_of([(int(n), int(d) / 100, *_WHERE[where]) for n, d, where, _ in blocks])
+        y += [label == "+" for *_, label in blocks]
+    return np.array(x, dtype=float), np.array(y)
+
+
 def trained() -> Node:
-    table = np.array([[float(v) for v in row.split()] for row in re.split(r"[|\n]", LABELLED) if row.strip()])
-    return grow(table[:, :-1], table[:, -1] == 1)
+    return grow(*labelled())
 
 
 def _kind(tag: str, attributes: str) -> tuple[bool, bool]:
@@ -207,13 +234,8 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
 def main_text(page: str, tree: Node) -> str:
     found = blocks(page)
     has = any(b[4] for b in found)
-    shape = [(0, 0.0), *((n, m / n) for _, n, m, _, _ in found), (0, 0.0)]
-    kept = []
-    for k, (text, _, _, part, inside) in enumerate(found):
-        row = (*shape[k + 1], *shape[k], *shape[k + 2], int(part), (1 if inside else -1) if has else 0)
-        if classify(tree, row):
-            kept.append(text)
-    return " ".join(kept)
+    rows = rows_of([(n, m / n, int(part), (1 if inside else -1) if has else 0) for _, n, m, part, inside in found])
+    return " ".join(b[0] for b, row in zip(found, rows, strict=True) if classify(tree, row))
 
 
 def extract(pages: DataFrame) -> DataFrame:
