@@ -7,7 +7,7 @@ energies. A span begins where a frame's energy reaches mean + 0.5 deviations and
 frames, so memory beside the sound itself is bounded.
 
 Defined results: null and empty texts are one payload of 64 zero bytes; equal bytes give equal values, as every sound is
-computed by itself; bins without frames hold 0. Other columns are ignored.
+computed by itself; bins without frames hold 0; a sound of even energy, such as one of a single frame, has no span. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -125,11 +125,12 @@ def _feature(tensor: np.ndarray, spans: list[tuple[float, float]], frames: int)
     return f"logmel{BINS}x{MELS};frames={frames};spans={len(spans)};active={active:.2f}s;{hashlib.sha256(cells).hexdigest()[:16]}"
 
 
-def describe(documents: DataFrame, *, keep: bool = True) -> DataFrame:
-    """doc_id, n_bytes, payload and media digests, feature; if keep also media, tensor (BINS * MELS floats), span_begins, span_ends."""
+def describe(documents: DataFrame, *, media: bool = True) -> DataFrame:
+    """doc_id, n_bytes, payload and media digests, feature, tensor (BINS * MELS floats), span_begins, span_ends; if media also the sound."""
     schema = f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    schema += ", tensor array<float>, span_begins array<double>, span_ends array<double>" + (", media binary" if media else "")
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    more = ["media", "tensor", "span_begins", "span_ends"] if keep else []
+    more = ["tensor", "span_begins", "span_ends", *(["media"] if media else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -137,19 +138,19 @@ def describe(documents: DataFrame, *, keep: bool = True) -> DataFrame:
             for lo in range(0, b.num_rows, 256):
                 made: list[list] = [[] for _ in names[1:] + more]
                 for row in range(lo, min(lo + 256, b.num_rows)):
-                    media = write_wav(padded(raw[at[row] : at[row + 1]].tobytes()))
-                    _, payload = read_wav(media)
+                    sound = write_wav(padded(raw[at[row] : at[row + 1]].tobytes()))
+                    _, payload = read_wav(sound)
                     tensor, spans, frames = features(np.frombuffer(payload, dtype=np.uint8))
                     values = [
                         int(at[row + 1] - at[row]), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]),
-                        len(media), hashlib.sha256(media).hexdigest(), _feature(tensor, spans, frames),
+                        len(sound), hashlib.sha256(sound).hexdigest(), _feature(tensor, spans, frames),
                     ]
-                    for column, value in zip(made, [*values, *([media, tensor.ravel(), [x[0] for x in spans], [x[1] for x in spans]] if keep else [])], strict=True):
+                    for column, value in zip(made, [*values, tensor.ravel(), [x[0] for x in spans], [x[1] for x in spans], *([sound] if media else [])], strict=True):
                         column.append(value)
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.list_(pa.float32()), pa.list_(pa.float64()), pa.list_(pa.float64())]
+                kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.float32()), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.binary()]
                 yield pa.record_batch([b.column(0).slice(lo, 256), *(pa.array(x, k) for x, k in zip(made, kinds))], names=names + more)
 
-    return documents.select("doc_id", documents["text"].cast("string").alias("text")).mapInArrow(run, schema + (", media binary, tensor array<float>, span_begins array<double>, span_ends array<double>" if keep else ""))
+    return documents.select("doc_id", documents["text"].cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def as_tensors(rows: pa.Table) -> pa.Table:

@@ -43,8 +43,8 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digests and features of every document's bytes, stored and read back as sound."""
-    return audio.describe(read(spark, sf_dir, "documents"), keep=False)
+    """Digests, feature tensors and time spans of every document's bytes, stored and read back as sound; not the sounds themselves."""
+    return audio.describe(read(spark, sf_dir, "documents"), media=False)
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
