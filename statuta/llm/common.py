@@ -10,7 +10,7 @@ import ctypes
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +28,12 @@ _local: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one where it is unset (tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one where it is unset on one machine (tests)."""
     if found := spark.conf.get("spark.checkpoint.dir", None):
         return found.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not _local:
         _local.append(tempfile.mkdtemp(prefix="statuta-"))
     return f"file://{_local[0]}"
@@ -75,6 +78,16 @@ def drop(*tables: DataFrame) -> None:
             _made[:] = [x for x in _made if x[1] != path]
 
 
+def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """make()'s rows as a table; the tables made on the way are deleted."""
+    before = len(_made)
+    out = table(make(), name)
+    for t in [x for x in _made[before:] if x[1] != out._statuta_path]:
+        _delete(*t)
+        _made.remove(t)
+    return out
+
+
 def trim() -> None:
     """Gives memory that is free back to the system, so that workers that wait for their next task hold little."""
     pa.default_memory_pool().release_unused()

@@ -2,12 +2,14 @@
 
 Sources in order of code point, null last, weigh 5, 2, 1, repeating. Together they are to give ``SHARE`` times all words; a
 target stops at ``EPOCHS`` times its source's words, and the excess is shared by weight among the rest until none is above.
-Each document gets a key from a hash of its id; keys fall into equal ranges of about ``RANGE`` documents within their source,
+Each document gets a key from a hash of its id and text, so that rows without an id spread too; keys fall into equal ranges of about ``RANGE`` documents within their source,
 so no source's rows need to meet in one task. Range totals give each range's start, a window inside a range the start of each
 document, and a document gives whole epochs and then what is left of the budget at its start, so that a source's taken words
 add up to its target, rounded down.
 
-Defined results: every row is returned; a null text has size 0. Rows that are equal in doc_id and size may trade their taken
+Targets come from a table of one row for each source, which one task orders.
+
+Defined results: every row is returned; a null text has size 0. Rows that are equal in doc_id and text may trade their taken
 words. A corpus without words has targets 0. Only DataFrame functions are used.
 """
 
@@ -44,7 +46,7 @@ def _targets(sizes: DataFrame) -> DataFrame:
 
 def mix(documents: DataFrame, seed: str = SEED) -> DataFrame:
     """doc_id, source, size, source_size, target, taken of every row."""
-    key = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    key = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.md5(F.coalesce("text", F.lit("")))))
     sizes = table(documents.select("doc_id", "source", words_count(F.col("text")).alias("size"), key.alias("__key")), "sizes")
     targets = table(_targets(sizes), "targets")
     mine = targets.withColumnRenamed("source", "__source")
@@ -66,7 +68,7 @@ def mix(documents: DataFrame, seed: str = SEED) -> DataFrame:
 ORACLE = f"""
 with sizes as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size,
-         md5('{SEED}|' || coalesce(doc_id::varchar, '')) as key from documents),
+         md5('{SEED}|' || coalesce(doc_id::varchar, '') || '|' || md5(coalesce(text, ''))) as key from documents),
 by_source as (
   select *, [5, 2, 1][((rank - 1) % 3 + 1)::int] as w from (
     select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as rank from sizes group by source)),

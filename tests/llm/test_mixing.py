@@ -50,3 +50,11 @@ def test_no_words_and_no_rows(spark):
     docs = documents(spark, [(1, ""), (2, None)])
     assert [(r.target, r.taken) for r in mixing.mix(docs).collect()] == [(0.0, 0), (0.0, 0)]
     assert mixing.mix(docs.where("false")).count() == 0
+
+
+def test_rows_without_ids_spread(spark):
+    """Keys of rows without doc_id differ by text, so they fall into many ranges; the sum still meets the target."""
+    rng = random.Random(2)
+    docs = documents(spark, [(None, text(rng, 2), "s") for _ in range(300)])
+    rows = mixing.mix(docs).collect()
+    assert sum(r.taken for r in rows) == int(rows[0].target) and len({r.taken - r["size"] for r in rows}) > 2
