@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statuta.llm import decontaminate, line_dedup, mixing, ngram_join, quality
-from statuta.llm.common import read, table
+from statuta.llm.common import drop, read, settled
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,10 +53,9 @@ ORACLE_SQL: str | None = None  # no SQL for the classifier and the latent search
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another over documents, each but the last written and read again."""
+    """The stages one after another over documents, each but the last written and read again; what isn't read any more is deleted."""
     docs = read(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = table(docs, f"stage{k}")
-    return docs
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        last, docs = docs, settled(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"stage{k}")
+        drop(last)
+    return STAGES[-1][1](spark, docs, sf_dir)
