@@ -15,9 +15,9 @@ A node is a distinct set, named by a 64-bit hash of it, as shingles are by 60 bi
    remains of either side can't reach the bound.
 4. Links give components. Only shingles whose nodes lie in different components matter further: ``ROUNDS`` more rounds
    give each of them another leader, which joins what one leader's set was too far from.
-5. What is still apart is checked in full: components that share a prefix shingle and that sizes, places in the order and
-   counts of shared shingles don't exclude. The larger one's sets fill trees, in blocks; the smaller one's walk all of them,
-   one at a time.
+5. What is still apart is checked in full: of the nodes of each such shingle, those outside its largest component are held
+   against all that lie in another component, sign by sign, in blocks of ``SIGNS`` and inside a task, so that only pairs that a
+   sign doesn't exclude exist as rows; these walk trees as before. Shingles that the same nodes share stand for one.
 
 So no link between different components is lost, exact and near copies of one text cost a few checks each rather than one
 each pair, and there is no cap on partners or candidates. Of a node's documents only the one of smallest doc_id is fetched.
@@ -34,7 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -98,7 +98,7 @@ def folded(signs: np.ndarray, words: int) -> np.ndarray:
 
 def may_link(difference: np.ndarray, a: int, b: np.ndarray) -> np.ndarray:
     """Whether sets of a and b shingles that differ in so many at least can be linked."""
-    return linked((a + b - difference) // 2, a, b)
+    return linked(np.minimum((a + b - difference) // 2, np.minimum(a, b)), a, b)
 
 
 def _cells(s: np.ndarray) -> np.ndarray:
@@ -309,31 +309,30 @@ def _pairs(hits: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (probe, stored) whose signs don't exclude a link, among rows sorted by unit, block and kind."""
+    """Pairs (probe, stored) of different groups whose signs don't exclude a link, among rows sorted by unit, block and kind."""
     key, stored, by, hits = None, [], {}, []
 
-    def look(node: int, n: int, sign: np.ndarray) -> None:
-        for words, (nodes, sizes, signs) in by.items():
+    def look(node: int, group: int, n: int, sign: np.ndarray) -> None:
+        for words, (nodes, groups, sizes, signs) in by.items():
             few = min(words, len(sign))
-            one = folded(sign[None], few)[0]
-            apart = np.bitwise_count(folded(signs, few) ^ one).sum(axis=1, dtype=np.int64)
-            hits.extend((node, x) for x in nodes[may_link(apart, n, sizes)].tolist() if x != node)
+            apart = np.bitwise_count(folded(signs, few) ^ folded(sign[None], few)).sum(axis=1, dtype=np.int64)
+            hits.extend((node, x) for x in nodes[may_link(apart, n, sizes) & (groups != group)].tolist())
 
     for b in batches:
-        units, blocks, probe, node, n = (b.column(k).to_pylist() for k in range(5))
-        for k, raw in enumerate(b.column(5)):
+        units, blocks, probe, node, group, n = (b.column(k).to_pylist() for k in range(6))
+        for k, raw in enumerate(b.column(6)):
             sign = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
             if (here := (units[k], blocks[k])) != key:
                 key, stored, by = here, [], {}
             if not probe[k]:
-                stored.append((len(sign), node[k], n[k], sign))
+                stored.append((len(sign), node[k], group[k], n[k], sign))
                 continue
             if stored:
                 for words in {x[0] for x in stored}:
                     mine = [x for x in stored if x[0] == words]
-                    by[words] = (np.array([x[1] for x in mine]), np.array([x[2] for x in mine]), np.stack([x[3] for x in mine]))
+                    by[words] = (*(np.array([x[c] for x in mine]) for c in (1, 2, 3)), np.stack([x[4] for x in mine]))
                 stored = []
-            look(node[k], n[k], sign)
+            look(node[k], group[k], n[k], sign)
             if len(hits) >= 50_000:
                 yield _pairs(hits)
     yield _pairs(hits)
@@ -369,11 +368,16 @@ class _Sets:
 
         return self.documents.select(mark.alias("m"), "text").mapInArrow(run, "node long, text string")
 
-    def links(self, stored: DataFrame, probes: DataFrame, name: str) -> DataFrame:
-        """The links, as a table (a, b), of probes (unit, node) with what is stored (unit, node)."""
-        rows = _dealt(stored, probes, SIGNS).join(self.signs.drop("doc_id"), "node").select("unit", "block", "probe", "node", "n", "sign")
-        near = C.table(_met(rows).mapInArrow(_compare, "a long, b long"), f"{name}-near")
-        rows = _dealt(near.select(F.col("a").alias("unit"), F.col("b").alias("node")), near.select(F.col("a").alias("unit"), F.col("a").alias("node")).distinct(), BLOCK)
+    def near(self, stored: DataFrame, probes: DataFrame) -> DataFrame:
+        """a, b: probes and what is stored in the same unit and another group (unit, node, group), if signs don't exclude a link."""
+        rows = _dealt(stored, probes, SIGNS).join(self.signs.drop("doc_id"), "node").select("unit", "block", "probe", "node", "group", "n", "sign")
+        return _met(rows).mapInArrow(_compare, "a long, b long")
+
+    def links(self, near: DataFrame, name: str) -> DataFrame:
+        """The links among pairs (a, b), as a table of such."""
+        near = C.table(near, f"{name}-near")
+        pair = [F.col(c).alias("node") for c in "ab"]
+        rows = _dealt(*(x.withColumn("group", F.col("node")) for x in (near.select(F.col("a").alias("unit"), pair[1]), near.select(F.col("a").alias("unit"), pair[0]).distinct())), BLOCK)
         texts = self.texts(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         rows = rows.join(texts, "node").select("unit", "block", "probe", "node", "text")
         found = C.table(_met(rows).mapInArrow(_verify(self.level), "a long, b long"), f"{name}-links")
@@ -383,18 +387,18 @@ class _Sets:
     def by_leader(self, pairs: DataFrame, name: str, rows: int) -> DataFrame:
         """The links among at most so many pairs (leader, node): a leader walks its candidates."""
         pairs = C.table(pairs, f"{name}-pairs", rows)
-        leaders = pairs.select(F.col("leader").alias("unit"), F.col("leader").alias("node")).distinct()
-        links = self.links(pairs.select(F.col("leader").alias("unit"), "node"), leaders, name)
+        sides = [pairs.select(F.col("leader").alias("unit"), F.col(c).alias("node"), F.col(c).alias("group")) for c in ("node", "leader")]
+        links = self.links(self.near(sides[0], sides[1].distinct()), name)
         C.drop(pairs)
         return links
 
 
 def _dealt(stored: DataFrame, probes: DataFrame, block: int) -> DataFrame:
-    """unit, block, probe, node: what is stored by unit in blocks of about so many, and each probe in all blocks of its unit."""
+    """unit, block, probe, node, group: what is stored by unit in blocks of about so many, and each probe in all blocks of its unit."""
     blocks = stored.groupBy("unit").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
-    rows = stored.join(blocks, "unit").select("unit", mine, F.lit(False).alias("probe"), "node")
-    return rows.union(probes.join(blocks, "unit").select("unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("probe"), "node"))
+    rows = stored.join(blocks, "unit").select("unit", mine, F.lit(False).alias("probe"), "node", "group")
+    return rows.union(probes.join(blocks, "unit").select("unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("probe"), "node", "group"))
 
 
 def _met(rows: DataFrame) -> DataFrame:
@@ -429,41 +433,19 @@ def _mixed(own: DataFrame, rows: int) -> DataFrame:
 
 def _regroup(own: DataFrame, labels: DataFrame) -> DataFrame:
     new = labels.withColumnRenamed("label", "new")
-    return own.join(new, "node", "left").withColumn("group", F.coalesce("new", "group")).select("token", "node", "n", "at", "before", "central", "group")
-
+    return own.join(new, "node", "left").withColumn("group", F.coalesce("new", "group")).select("token", "node", "n", "group")
 
-def _may_link(a: str, b: str):
-    """Whether rows a and b of one shingle can belong to linked sets: shingles shared before it, itself, and what comes after.
 
-    Columns n_, before_, after_ (a group's largest or least of them) end in a and b.
-    """
-    c = lambda name, x: F.col(f"{name}_{x}")
-    most = F.least(c("before", a), c("before", b)) + F.least(c("after", a), c("after", b)) + 1
-    sizes = (c("hi", a) * 100 >= c("lo", b) * PERCENT) & (c("hi", b) * 100 >= c("lo", a) * PERCENT)
-    return (most * (100 + PERCENT) >= (c("lo", a) + c("lo", b)) * PERCENT) & sizes
-
-
-def _shape(x: str) -> list:
-    """n, shared shingles before and shingles after, in the names of _may_link."""
-    after = F.col("n") - F.col("at") - 1
-    return [F.col("n").alias(f"lo_{x}"), F.col("n").alias(f"hi_{x}"), F.col("before").alias(f"before_{x}"), after.alias(f"after_{x}")]
-
-
-def _apart(own: DataFrame) -> DataFrame:
-    """unit, small: pairs of components, the larger one first, that share a prefix shingle and that no bound excludes."""
-    within = own.groupBy("token", "group").agg(
-        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("before").alias("before"), F.max(F.col("n") - F.col("at") - 1).alias("after")
-    )
-    # Shingles shared by the same components stand for one: their hash sums are equal, and the widest bounds of them hold.
-    twice = [F.sum(F.xxhash64(F.lit(k), "group").cast("decimal(20,0)")).alias(f"sum{k}") for k in range(2)]
-    alike = within.groupBy("token").agg(*twice).select("token", F.xxhash64("sum0", "sum1").alias("set0"), F.xxhash64("sum1", "sum0").alias("set1"))
-    within = within.join(alike, "token").groupBy("set0", "set1", "group").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("before").alias("before"), F.max("after").alias("after"))
-    sides = [within.select("set0", "set1", F.col("group").alias(f"group_{x}"), *(F.col(c).alias(f"{c}_{x}") for c in ("lo", "hi", "before", "after"))) for x in "ab"]
-    across = sides[0].join(sides[1], ["set0", "set1"]).where((F.col("group_a") < F.col("group_b")) & _may_link("a", "b")).select("group_a", "group_b").distinct()
-    counts = own.select("group", "node").distinct().groupBy("group").agg(F.count("*").alias("size"))
-    across = across.join(counts.toDF("group_a", "size_a"), "group_a").join(counts.toDF("group_b", "size_b"), "group_b")
-    large = F.when(F.col("size_a") >= F.col("size_b"), F.col("group_a")).otherwise(F.col("group_b"))
-    return C.table(across.select(large.alias("unit"), F.when(large == F.col("group_a"), F.col("group_b")).otherwise(F.col("group_a")).alias("small")), "across")
+def _apart(own: DataFrame, sets: _Sets) -> DataFrame:
+    """a, b: all pairs of nodes in different groups that share a prefix shingle and that their signs don't exclude."""
+    hashes = [F.sum(F.xxhash64(F.lit(k), "node").cast("decimal(20,0)")).alias(f"sum{k}") for k in range(2)]
+    units = own.groupBy("token").agg(*hashes).select("token", F.xxhash64("sum0", "sum1").alias("unit"))  # equal for shingles of the same nodes
+    rows = C.table(own.join(units, "token").select("unit", "node", "group").distinct(), "units")
+    largest = rows.groupBy("unit", "group").agg(F.count("*").alias("size")).groupBy("unit").agg(F.max_by("group", F.struct("size", "group")).alias("most"))
+    others = rows.join(largest, "unit").where("group <> most").select("unit", "node", "group")
+    found = C.table(sets.near(rows, others).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "apart")
+    C.drop(rows)
+    return found
 
 
 def _labels(documents: DataFrame, sizes: DataFrame, level: np.ndarray) -> DataFrame:
@@ -475,20 +457,13 @@ def _labels(documents: DataFrame, sizes: DataFrame, level: np.ndarray) -> DataFr
     sets = _Sets(documents, C.table(sizes.join(first, ["node", "doc_id"]).select("node", "doc_id", "n", "sign"), "signs"), level)
     links = sets.by_leader(_one_leader(shared.where("leader is not null")), "first", n)
     labels = components(links)
-    own = shared.join(labels, "node", "left").select(
-        "token", "node", F.shiftright("sized", 32).cast("long").alias("n"), F.col("sized").bitwiseAND(F.lit(0xFFFFFFFF)).alias("at"), F.coalesce("label", "node").alias("group")
-    )
-    before = F.row_number().over(Window.partitionBy("node").orderBy("at")) - 1
-    central = F.count("*").over(Window.partitionBy("node")) / (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
-    whole = C.table(own.select("token", "node", "n", "at", before.cast("long").alias("before"), central.alias("central"), "group"), "own")
-    own = _mixed(whole, n)
-    C.drop(shared, links, whole)
+    own = shared.select("token", "node", F.shiftright("sized", 32).cast("long").alias("n"), F.col("node").alias("group"))
+    own = _mixed(C.table(_regroup(own, labels), "own"), n)
+    C.drop(shared, links)
     for k in range(ROUNDS):
         n = own.count()
-        # First the node with most shared shingles leads, as it is nearest to the others; then any.
-        rank = F.struct(-F.col("central") if k == 0 else F.lit(0.0), F.xxhash64(F.lit(k), "node"))
-        first = own.groupBy("token").agg(F.min_by(F.struct(F.col("node").alias("leader"), *_shape("b"), F.col("group").alias("of")), rank).alias("l")).select("token", "l.*")
-        near = own.select("token", "node", "group", *_shape("a")).join(first, "token").where((F.col("group") != F.col("of")) & _may_link("a", "b"))
+        first = own.groupBy("token").agg(F.min_by(F.struct(F.col("node").alias("leader"), F.col("group").alias("of"), F.col("n").alias("m")), F.xxhash64(F.lit(k), "node")).alias("l")).select("token", "l.*")
+        near = own.join(first, "token").where((F.col("group") != F.col("of")) & (F.col("n") * 100 >= F.col("m") * PERCENT) & (F.col("m") * 100 >= F.col("n") * PERCENT))
         links = sets.by_leader(_one_leader(near), f"round{k}", n)
         if not links.limit(1).count():
             C.drop(links)
@@ -497,14 +472,11 @@ def _labels(documents: DataFrame, sizes: DataFrame, level: np.ndarray) -> DataFr
         new = _mixed(_regroup(own, labels), n)
         C.drop(own, links)
         own = new
-    across = _apart(own)
-    members = C.table(own.select("group", "node").distinct(), "members", own.count())
-    stored = members.withColumnRenamed("group", "unit").join(across.select("unit").distinct(), "unit", "left_semi").select("unit", "node")
-    probes = across.join(members, F.col("small") == F.col("group")).select("unit", "node").distinct()
-    more = sets.links(stored, probes, "last")
+    near = _apart(own, sets)
+    more = sets.links(near, "last")
     if more.limit(1).count():
         labels = _merge(labels, more)
-    C.drop(own, members, across, more, sets.signs)
+    C.drop(own, near, more, sets.signs)
     return labels
 
 
@@ -514,8 +486,8 @@ def join(documents: DataFrame) -> DataFrame:
     sizes, level = _count(documents)
     labels = _labels(documents, sizes, level)
     first = sizes.where("doc_id is not null and node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
-    first = first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = first.groupBy("label").agg(F.min("first").alias("least"))
+    first = C.table(first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "first")
+    least = C.table(first.groupBy("label").agg(F.min("first").alias("least")), "least")
     found = first.join(least, "label").select(F.col("node").alias("of"), "least")
     out = sizes.join(found, F.col("node") == F.col("of"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"))
