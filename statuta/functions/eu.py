@@ -107,12 +107,19 @@ def reference_type(clause: Column) -> Column:
     return F.coalesce(*found, F.struct(F.lit("references").alias("type"), F.lit("").alias("keyword")))
 
 
+def clause_between(left: Column, ref: Column, right: Column) -> Column:
+    """The clause that holds ref, which stands between left and right: between line breaks, semicolons and sentence ends; at most
+    CONTEXT long."""
+    start = F.regexp_replace(left, r"(?s)^.*(?:[\n;]|\.(?=[ \t\n]))", "")
+    end = F.regexp_extract(right, r"(?s)^((?:(?!\.(?:[ \t\n]|$))[^\n;])*)", 1)
+    return F.substring(F.trim(F.concat(start, ref, end)), 1, CONTEXT)
+
+
 def clause_around(text: Column, ref: Column) -> Column:
-    """The clause that holds the first occurrence of ref: between line breaks, semicolons and sentence ends; at most CONTEXT long."""
+    """The clause that holds the first occurrence of ref."""
     at = F.instr(text, ref)
-    left = F.regexp_replace(F.substring(text, F.lit(1), at - 1), r"(?s)^.*(?:[\n;]|\.(?=[ \t\n]))", "")
-    right = F.regexp_extract(F.substring(text, at + F.char_length(ref), F.char_length(text)), r"(?s)^((?:(?!\.(?:[ \t\n]|$))[^\n;])*)", 1)
-    return F.when(at > 0, F.substring(F.trim(F.concat(left, ref, right)), 1, CONTEXT))
+    clause = clause_between(F.substring(text, F.lit(1), at - 1), ref, F.substring(text, at + F.char_length(ref), F.char_length(text)))
+    return F.when(at > 0, clause)
 
 
 _PROSE = r"\d{1,4}\s+(?:nr\.?|nummer)\s+\d{1,4}\s+bokstav(?:en)?\s+[a-zæøå](?:\s*(?:,|og)\s*[a-zæøå](?![a-zæøå]))?"

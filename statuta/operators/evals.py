@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 from statuta.functions import refs, text
 
-# Fixed values.
-GENERIC = ["lov", "loven", "forskrift", "forskriften", "mv", "m.v", "mfl", "m.fl", "jf", "se", "og", "om", "i", "av", "for", "den", "det", "de", "som", "til", "med", "på", "er", "innledning", "formål", "virkeområde"]
+# Words that name no act by themselves.
+GENERIC = [
+    "lov", "loven", "lova", "lovene", "avtale", "avtalen", "avtalene", "forskrift", "forskriften", "forskrifta", "konvensjon", "konvensjonen", "direktiv", "direktivet",
+    "paragraf", "paragrafen", "kapittel", "kapittelet", "ledd", "stk", "nr", "mv", "m.v", "mfl", "m.fl", "jf", "se", "og", "om", "i", "av", "for", "den", "det", "de", "som",
+    "til", "med", "på", "er", "innledning", "formål", "virkeområde",
+]
+# How names of acts begin that only change others.
 AMENDING = ["lov om endring", "lov om endringar", "lov om oppheving", "lov om opphevelse", "lov om ikraftsetting", "midlertidig lov om endring", "lov om gjennomføring av endring"]
 EXACT, FRAGMENT = 2, 1
 
@@ -37,30 +42,76 @@ def abbreviations(laws: DataFrame) -> DataFrame:
     return rows.groupBy("token").agg(F.min_by("key", F.struct(-F.col("rank"), F.col("key"))).alias("key"))
 
 
+SECTION = r"(§\s*\d+(?:\s*[-–—]\s*\d+)?[a-zæøå]*)"
+CHUNKS = r"(\x{E000}[^\x{E001}]*\x{E001}|[^\s\x{E000}\x{E001}]+)"
+PIECES = r"([\p{L}\p{Nd}]+|[^\p{L}\p{Nd}]+)"
+ONE_WORD = r"^[^\p{L}\p{Nd}]*([\p{L}\p{Nd}]+)[^\p{L}\p{Nd}]*$"
+ACT_KEY = r"^(lov|forskrift)/\d{4}-\d{2}-\d{2}-\d+$"
+KEY_WORDS = 5
+
+
+def _names(chunk: Column, words: int) -> Column:
+    """(at, to, name) of what can be an act's name in a text without blanks: up to so many of its words, from piece at to piece to.
+
+    Pieces are words and what lies between. A name that goes on after a point is none.
+    """
+
+    def of(p: Column) -> Column:
+        def name(at: Column, n: Column) -> Column:
+            return F.struct(at.alias("at"), (at + 2 * n).alias("to"), F.array_join(F.slice(p, at + 1, 2 * n + 1), "").alias("name"))
+
+        first = F.when(F.get(p, F.lit(0)).rlike(r"^[\p{L}\p{Nd}]"), 0).otherwise(1)
+        spans = F.flatten(F.transform(F.sequence(first, F.size(p) - 1, F.lit(2)), lambda k: F.transform(F.sequence(F.lit(0), F.least(F.lit(words - 1), F.floor((F.size(p) - 1 - k) / 2).cast("int"))), lambda n: name(k, n))))
+        return F.filter(spans, lambda x: ~F.coalesce((F.get(p, x["to"] + 1) == ".") & F.get(p, x["to"] + 2).isNotNull(), F.lit(False)))
+
+    return F.element_at(F.transform(F.array(F.regexp_extract_all(chunk, F.lit(PIECES), F.lit(1))), of), 1)
+
+
 def exam_refs(documents: DataFrame, abbreviations: DataFrame) -> DataFrame:
     """doc_id, line_no, ref_no, act, token of section references that an act can be found for: the nearest mention before the
     reference, else the line's only act, else the act of a heading line right before (one mention and no reference).
 
-    Mentions are words of a line that equal an abbreviation, found by an equi-join on words.
+    Mentions are names in a line that equal an abbreviation without blanks, the longest of those that begin first, and act keys as
+    written, also inside a link; names are found by an equi-join. Names of several words are not looked for. ref_no counts the
+    references of a line from 0.
     """
-    lines = documents.select("doc_id", F.posexplode(F.split(F.regexp_replace("content", "\r\n", "\n"), "\n")).alias("line_no", "line")).where(F.trim("line") != "")
-    word = r"([\p{L}\p{Nd}/][\p{L}\p{Nd}/-]*|§\s*\d+(?:\s*[-–—]\s*\d+)?[a-zæøå]*)"
-    words = lines.select("doc_id", "line_no", F.posexplode(F.regexp_extract_all("line", F.lit(word), F.lit(1))).alias("at", "w"))
+    texts = F.filter(F.transform(F.split(F.regexp_replace("content", "\r\n", "\n"), "\n"), lambda x, k: F.struct(k.alias("line_no"), x.alias("line"))), lambda x: F.trim(x["line"]) != "")
+    lines = documents.select("doc_id", F.posexplode(texts).alias("k", "l")).select("doc_id", "k", "l.*")
     known = abbreviations.where(~F.contains("token", F.lit(" ")) & (F.char_length("token") >= 2)).select(F.col("token").alias("__t"), F.col("key").alias("__key"))
-    joined = words.join(known, F.lower("w") == F.col("__t"), "left")
-    explicit = F.when(F.lower("w").rlike(r"^(lov|forskrift)/\d{4}-\d{2}-\d{2}-\d+$"), F.lower("w"))
-    joined = joined.withColumn("act", F.coalesce("__key", explicit)).withColumn("is_ref", F.startswith("w", F.lit("§")))
-    line = Window.partitionBy("doc_id", "line_no")
-    marked = joined.where("act is not null or is_ref").withColumns({
-        "before": F.last("act", ignorenulls=True).over(line.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)),
-        "acts": F.size(F.collect_set("act").over(line)), "only": F.min("act").over(line),
-    })
-    per = marked.groupBy("doc_id", "line_no").agg(F.count("act").alias("mentions"), F.count_if("is_ref").alias("refs"), F.min("act").alias("one"))
-    heads = lines.select("doc_id", "line_no").join(per, ["doc_id", "line_no"], "left").withColumn("heading", F.when((F.col("mentions") == 1) & (F.col("refs") == 0), F.col("one")))
-    carried = heads.withColumn("carried", F.lag("heading").over(Window.partitionBy("doc_id").orderBy("line_no"))).select("doc_id", "line_no", "carried")
-    found = marked.where("is_ref").join(carried, ["doc_id", "line_no"]).withColumn("owner", F.coalesce("before", F.when(F.col("acts") == 1, F.col("only")), "carried"))
-    token = refs.section_token(F.regexp_replace("w", r"^§\s*", ""))
-    return found.where("owner is not null").select("doc_id", "line_no", F.col("at").alias("ref_no"), F.col("owner").alias("act"), token.alias("token"))
+    most = known.agg(F.max(F.size(F.regexp_extract_all("__t", F.lit(r"([\p{L}\p{Nd}]+)"), F.lit(1))))).first()[0] or 1
+    marked = F.regexp_replace("line", SECTION, "\ue000$1\ue001")
+    chunks = lines.select("doc_id", "k", "line_no", F.posexplode(F.regexp_extract_all(marked, F.lit(CHUNKS), F.lit(1))).alias("c", "chunk"))
+    is_ref, alone, at = F.startswith("chunk", F.lit("\ue000")), F.regexp_extract("chunk", ONE_WORD, 1), F.shiftleft(F.col("c").cast("long"), 20)
+    simple = chunks.select("doc_id", "k", "line_no", is_ref.alias("is_ref"), at.alias("at"), at.alias("to"), F.when(is_ref, F.btrim("chunk", F.lit("\ue000\ue001"))).otherwise(alone).alias("name")).where("name <> ''")
+    spread = chunks.where(~is_ref & (alone == "") & F.col("chunk").rlike(r"[\p{L}\p{Nd}]")).select("doc_id", "k", "line_no", at.alias("base"), F.inline(_names(F.col("chunk"), max(most, KEY_WORDS))))
+    words = simple.union(spread.select("doc_id", "k", "line_no", F.lit(False), F.col("base") + F.col("at"), F.col("base") + F.col("to"), "name"))
+    joined = words.join(known, ~F.col("is_ref") & (F.lower("name") == F.col("__t")), "left")
+    joined = joined.withColumn("explicit", F.when(F.lower("name").rlike(ACT_KEY), F.lower("name"))).where("is_ref or __key is not null or explicit is not null")
+
+    # Of overlapping names the one that begins first stays, of those the longest; an act key counts where no name begins.
+    per = joined.repartition("doc_id").groupBy("doc_id", "k").agg(
+        F.min("line_no").alias("line_no"),
+        F.array_sort(F.collect_list(F.when(F.col("__key").isNotNull(), F.struct("at", (-F.col("to")).alias("back"), F.col("__key").alias("act"))))).alias("named"),
+        F.array_sort(F.collect_list(F.when(F.col("explicit").isNotNull(), F.struct("at", (-F.col("to")).alias("back"), F.col("explicit").alias("act"))))).alias("keys"),
+        F.array_sort(F.collect_list(F.when(F.col("is_ref"), F.struct("at", "name")))).alias("refs"),
+    )
+    free = lambda done, x: (F.size(done) == 0) | (x["at"] > -F.element_at(done, -1)["back"])
+    kept = lambda c: F.when(F.size(c) < 2, F.col(c)).otherwise(F.aggregate(c, F.slice(F.col(c), 1, 0), lambda done, x: F.when(free(done, x), F.concat(done, F.array(x))).otherwise(done)))
+    per = per.withColumns({"named": kept("named"), "keys": kept("keys")})
+    keys = F.filter("keys", lambda k: ~F.exists("named", lambda n: n["at"] == k["at"]))
+    per = per.withColumn("mentions", F.transform(F.array_sort(F.concat("named", keys)), lambda m: F.struct(m["at"].alias("at"), m["act"].alias("act"))))
+    heading = F.when((F.size("mentions") == 1) & (F.size("refs") == 0), F.element_at("mentions", 1)["act"])
+    before_it = F.lag(F.struct(F.col("k").alias("k"), heading.alias("act"))).over(Window.partitionBy("doc_id").orderBy("k"))
+    heads = per.withColumn("last", before_it).withColumn("carried", F.when(F.col("last.k") == F.col("k") - 1, F.col("last.act"))).where(F.size("refs") > 0)
+    acts = F.array_distinct(F.transform("mentions", lambda m: m["act"]))
+
+    def owner(r: Column) -> Column:
+        before = F.filter("mentions", lambda m: m["at"] < r["at"])
+        return F.coalesce(F.get(before, F.size(before) - 1)["act"], F.when(F.size(acts) == 1, F.get(acts, F.lit(0))), F.col("carried"))
+
+    found = heads.select("doc_id", "line_no", F.posexplode(F.transform("refs", lambda r: F.struct(owner(r).alias("act"), r["name"].alias("name")))).alias("ref_no", "r"))
+    token = refs.section_token(F.regexp_replace("r.name", r"^§\s*", ""))
+    return found.where("r.act is not null").select("doc_id", "line_no", "ref_no", F.col("r.act").alias("act"), token.alias("token"))
 
 
 def resolve_candidates(candidates: DataFrame, acts: DataFrame, index: DataFrame) -> DataFrame:

@@ -23,11 +23,16 @@ def abbreviation_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exam_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """References in three-line answers: after a name on the line, under a heading line, and without an act."""
+    """References in answers of several lines: after names and keys on the line, inside a link, after a hyphen, under a heading line,
+    after words that name no act, and without an act."""
     o = read(spark, sf_dir, "orders")
-    other = F.concat(F.lit("lov/2000-01-01-"), (F.col("o_orderkey") % 50).cast("string"))
-    content = F.concat(F.lit("Etter strl. § "), (F.col("o_orderkey") % 9 + 1).cast("string"), F.lit(" og "), other, F.lit(" § 2-3\n"), F.when(F.col("o_orderkey") % 2 == 0, "Om avtaleloven:\n\n§ 36 gjelder").otherwise("Fritt.\n\n§ 36 gjelder"))
-    known = spark.createDataFrame([("strl", "lov/2005-05-20-28"), ("avtaleloven", "lov/1918-05-31-4")], "token string, key string")
+    n = lambda m: (F.col("o_orderkey") % m).cast("string")
+    content = F.concat(
+        F.lit("Etter strl. § "), (F.col("o_orderkey") % 9 + 1).cast("string"), F.lit(" og lov/2000-01-01-"), n(50), F.lit(" § 2-3\r\n"),
+        F.when(F.col("o_orderkey") % 2 == 0, "Om avtaleloven:\n\n§ 36 gjelder").otherwise("Fritt.\n\n§ 36 gjelder"),
+        F.lit("\nSe [denne](/objects/forskrift/2006-02-17-"), n(7), F.lit(") § 4 bokstav a, jf. § 5.\nJan Mayen-STRL § "), n(11), F.lit("-1a, sktstrl § 8 og lov om avtaler § 9.\nAvtalen § 1 og loven § 2."),
+    )
+    known = spark.createDataFrame([("strl", "lov/2005-05-20-28"), ("avtaleloven", "lov/1918-05-31-4"), ("lov om avtaler", "lov/1918-05-31-4"), ("mayen-x", "lov/1-x")], "token string, key string")
     return evals.exam_refs(o.select(F.col("o_orderkey").alias("doc_id"), content.alias("content")), known)
 
 
@@ -115,10 +120,15 @@ ORACLE_SQL = {
       t as (select key, trim(lower(trim(regexp_replace(x, '\s+', ' ', 'g'))), ' .') as token, 2 as rank from (select key, unnest([st, name, b]) as x from laws)
         union all select key, trim(lower(trim(regexp_replace(x, '\s+', ' ', 'g'))), ' .'), 1 from (select key, unnest(regexp_split_to_array(st, '[–—()\[\],-]')) as x from laws
           union all select key, unnest(regexp_split_to_array(name, '[–—()\[\],-]')) from laws) where trim(x) <> '')
-      select token, key from t where length(token) >= 3 and token not in ('lov', 'loven', 'forskrift', 'forskriften', 'm.v', 'mfl', 'm.fl', 'for', 'den', 'det', 'som', 'til', 'med', 'innledning', 'formål', 'virkeområde')
+      select token, key from t where length(token) >= 3 and token not in (select unnest(string_split('lov loven lova lovene avtale avtalen avtalene forskrift forskriften forskrifta konvensjon konvensjonen direktiv direktivet paragraf paragrafen kapittel kapittelet ledd stk nr mv m.v mfl m.fl jf se og om i av for den det de som til med på er innledning formål virkeområde', ' ')))
       qualify row_number() over (partition by token order by rank desc, key) = 1""",
-    "exam_refs": """with o as (select o_orderkey as k, (o_orderkey % 9 + 1)::varchar as s, 'lov/2000-01-01-' || (o_orderkey % 50) as a from orders)
-      select k as doc_id, 0 as line_no, 2 as ref_no, 'lov/2005-05-20-28' as act, s as token from o union all select k, 0, 5, a, '2-3' from o union all select k, 3, 0, 'lov/1918-05-31-4', '36' from o where k % 2 = 0""",
+    "exam_refs": """with o as (select o_orderkey as k from orders), r as (
+      select k, unnest([
+        {'l': 0, 'r': 0, 'a': 'lov/2005-05-20-28', 't': (k % 9 + 1)::varchar}, {'l': 0, 'r': 1, 'a': 'lov/2000-01-01-' || k % 50, 't': '2-3'},
+        {'l': 3, 'r': 0, 'a': case when k % 2 = 0 then 'lov/1918-05-31-4' end, 't': '36'},
+        {'l': 4, 'r': 0, 'a': 'forskrift/2006-02-17-' || k % 7, 't': '4'}, {'l': 4, 'r': 1, 'a': 'forskrift/2006-02-17-' || k % 7, 't': '5'},
+        {'l': 5, 'r': 0, 'a': 'lov/2005-05-20-28', 't': k % 11 || '-1a'}, {'l': 5, 'r': 1, 'a': 'lov/2005-05-20-28', 't': '8'}, {'l': 5, 'r': 2, 'a': 'lov/2005-05-20-28', 't': '9'}]) as x from o)
+      select k as doc_id, x.l as line_no, x.r as ref_no, x.a as act, x.t as token from r where x.a is not null""",
     "candidate_reasons": f"""with {corpus.SQL}, c as (select key, ord, t from acts, (values (1), (7), (9)) v(t)),
       j as (select case when c.ord % 10 = 0 then 'unknown act' when p.law_ref_id is null then 'unknown section' else 'resolved' end as reason from c left join (select distinct law_ref_id, position from paragraphs) p on p.law_ref_id = c.key and p.position = c.t)
       select reason, count(*) as n from j group by 1""",

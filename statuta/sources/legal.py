@@ -6,15 +6,16 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statuta.functions import dates, eu, text
 from statuta.operators.build import DOCUMENT
 
-from . import pages
+from . import acts, pages
 
-REF = re.compile(r"^(lov|forskrift)/\d{4}-\d{2}-\d{2}")
+# Fixed value: how keys of acts, regulations and resolutions begin.
+REF = re.compile(r"^(?:lov|forskrift|res)/\d{4}-\d{2}-\d{2}")
 # Terms of the head list and the columns that they fill.
 TERMS = {
     "refid": "ref_id", "dokid": "doc_id", "legacyID": "legacy_id", "title": "title", "titleShort": "short_title", "dateInForce": "date_in_force", "lastChangeInForce": "last_change_in_force",
@@ -23,7 +24,7 @@ TERMS = {
 _TEXTS = [*dict.fromkeys(TERMS.values()), "language", "ministry", "legal_area", "last_changed_by", "content", "source_text"]
 _LISTS = ["legal_areas", "legal_sub_areas", "amends", "see_also", "references", "works", "work_texts"]
 PARAGRAPHS = "array<struct<section_id string, chapter_id string, paragraph_num string, title string, content string, position int>>"
-RAW = "doc_type string, ord long, " + ", ".join(f"{c} string" for c in _TEXTS) + ", " + ", ".join(f"{c} array<string>" for c in _LISTS) + f", unavailable boolean, paragraphs {PARAGRAPHS}"
+RAW = "doc_type string, ord long, " + ", ".join(f"{c} string" for c in _TEXTS) + ", " + ", ".join(f"{c} array<string>" for c in _LISTS) + f", unavailable boolean, paragraphs {PARAGRAPHS}, eu_links array<struct<code string, left string, ref string, right string>>"
 
 
 def _target(href: str) -> str:
@@ -66,12 +67,13 @@ def _read(html: str) -> dict | None:
             out["works"].append(slug[1])
             out["work_texts"].append(a.text())
     main = next((n for n in root.walk() if n.tag == "main" and n.attributes.get("id") == "dokument"), None)
-    out["unavailable"] = pages.is_unavailable(root)
-    out["paragraphs"] = []
+    out["unavailable"] = acts.is_unavailable(root)
+    out["paragraphs"], out["eu_links"] = [], []
     if main:
         found = {_target(n.attributes.get("href", "")) for n in main.walk() if n.tag == "a"}
         out["references"] = sorted(r for r in found if REF.match(r) and r != out["ref_id"])
-        out["content"], out["source_text"], out["paragraphs"] = pages.markdown(main), main.text(), pages.sections(main)
+        out["content"], out["paragraphs"] = acts.body(main)
+        out["source_text"], out["eu_links"] = main.text(), acts.eu_links(main)
     return out
 
 
@@ -81,12 +83,18 @@ def documents(rows: DataFrame) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = [{"doc_type": r.doc_type, "ord": r.ord} | d for r in f.itertuples(index=False) if (d := _read(r.html or ""))]
-            yield pd.DataFrame(out, columns=["doc_type", "ord", *_TEXTS, *_LISTS, "unavailable", "paragraphs"])
+            yield pd.DataFrame(out, columns=["doc_type", "ord", *_TEXTS, *_LISTS, "unavailable", "paragraphs", "eu_links"])
 
     raw = rows.select("doc_type", F.col("ord").cast("long"), "html").mapInPandas(run, RAW)
-    header, body = F.coalesce("eea_references", F.lit("")), F.coalesce("content", F.lit(""))
+    header = F.coalesce("eea_references", F.lit(""))
+
+    def meta(link: Column) -> Column:
+        clause = eu.clause_between(link["left"], link["ref"], link["right"])
+        found = F.struct(clause.alias("context"), eu.reference_type(clause)["keyword"].alias("keyword"), eu.articles(clause).alias("articles"))
+        return F.struct(link["code"], F.when(link["ref"] != "", found).otherwise(F.struct(F.lit("").alias("context"), F.lit("").alias("keyword"), F.array().cast("array<string>").alias("articles"))))
+
     made = raw.withColumns({
-        "celex": F.array_sort(eu.celex_ids(header)), "eea_meta": eu.reference_meta(header), "eu_body": F.array_sort(eu.celex_ids(body)), "eu_body_meta": eu.reference_meta(body),
+        "celex": F.array_sort(eu.celex_ids(header)), "eea_meta": eu.reference_meta(header), "eu_body": F.transform("eu_links", lambda x: x["code"]), "eu_body_meta": F.map_from_entries(F.transform("eu_links", meta)),
         "work_names": F.map_from_arrays("works", "work_texts"), "content_unavailable": F.col("unavailable"),
     })
     return made.select(*(c.split()[0] for c in _columns(DOCUMENT)), "source_text")

@@ -16,8 +16,6 @@ BLOCKS = set("address article aside blockquote body dd div dl dt figcaption figu
 SKIP_TAGS = {"script", "style", "nav", "footer"}
 SKIP_CLASSES = {"ad", "changesToParent", "footnotes", "shareArticle"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
-ROMAN = re.compile(r"^(?=.)[IVXLCDM]+\.?$")
-UNAVAILABLE = "dokumentet er ikke tilgjengelig"
 
 
 class Node:
@@ -103,47 +101,6 @@ def links(root: Node, base: str) -> list[tuple[str, str]]:
     return [(urljoin(base, n.attributes["href"].strip()), n.text()) for n in root.walk() if n.tag == "a" and n.attributes.get("href")]
 
 
-def is_unavailable(root: Node) -> bool:
-    return any("unavailable" in n.classes() for n in root.walk()) or UNAVAILABLE in root.text().lower()
-
-
-def _heading(node: Node) -> str:
-    """Heading text; a lone Roman numeral is none, "Kapittel" and "Del" stay as they are."""
-    t = node.text()
-    return "" if ROMAN.match(t) else t
-
-
-def sections(root: Node) -> list[dict]:
-    """Paragraph rows of a sectioned document: section_id, chapter_id, paragraph_num, title, content, position.
-
-    An article of class legalArticle or a legalP outside one is a paragraph; the chapter is the innermost open section with an
-    id, also after a nested one has ended; position counts every such element, with or without content.
-    """
-    rows: list[dict] = []
-    position = 0
-
-    def visit(node: Node, chapter: str) -> None:
-        nonlocal position
-        if node.tag == "section" and node.attributes.get("id"):
-            chapter = node.attributes["id"]
-        classes = node.classes()
-        if node.tag == "article" and "legalArticle" in classes or "legalP" in classes:
-            position += 1
-            head = next((n for n in node.walk() if "legalArticleHeader" in n.classes()), None)
-            value = next((n.text() for n in node.walk() if "legalArticleValue" in n.classes()), "")
-            title = next((n.text() for n in node.walk() if "legalArticleTitle" in n.classes()), "")
-            body = " ".join(c.text() if isinstance(c, Node) else " ".join(c.split()) for c in node.children if c is not head).strip()
-            if body and node.attributes.get("id"):
-                rows.append({"section_id": node.attributes["id"], "chapter_id": chapter, "paragraph_num": value, "title": title, "content": " ".join(body.split()), "position": position})
-            return
-        for c in node.children:
-            if isinstance(c, Node):
-                visit(c, chapter)
-
-    visit(root, "")
-    return rows
-
-
 def markdown(root: Node) -> str:
     """Headings, paragraphs, list items, quotes and table rows as Markdown blocks."""
     out: list[str] = []
@@ -152,7 +109,7 @@ def markdown(root: Node) -> str:
         if node.tag in SKIP_TAGS or node.classes() & SKIP_CLASSES or node.tag in ("head", "title"):
             return
         if re.fullmatch("h[1-6]", node.tag):
-            if t := _heading(node):
+            if t := node.text():
                 out.append("#" * int(node.tag[1]) + " " + t)
         elif node.tag == "tr":
             out.append("| " + " | ".join(c.text() for c in node.children if isinstance(c, Node) and c.tag in ("td", "th")) + " |")
@@ -196,13 +153,15 @@ SECTION_SCHEMA = "doc_id long, ref_id string, language string, title string, sec
 def pages(rows: DataFrame) -> DataFrame:
     """page_id, url, lang, title, text, markdown, links, unavailable of pages (page_id, url, html)."""
 
+    from . import acts
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
             for r in f.itertuples(index=False):
                 root = parse(r.html)
                 top, title = root.find("html"), root.find("title")
-                out.append((r.page_id, r.url, top.attributes.get("lang", "") if top else "", title.text() if title else "", root.text(skip=True), markdown(root), [{"href": a, "text": t} for a, t in links(root, r.url or "")], is_unavailable(root)))
+                out.append((r.page_id, r.url, top.attributes.get("lang", "") if top else "", title.text() if title else "", root.text(skip=True), markdown(root), [{"href": a, "text": t} for a, t in links(root, r.url or "")], acts.is_unavailable(root)))
             yield pd.DataFrame(out, columns=["page_id", "url", "lang", "title", "text", "markdown", "links", "unavailable"])
 
     return rows.select("page_id", "url", "html").mapInPandas(run, PAGE_SCHEMA)
@@ -211,6 +170,8 @@ def pages(rows: DataFrame) -> DataFrame:
 def paragraphs(rows: DataFrame) -> DataFrame:
     """One row for each paragraph of sectioned documents (doc_id, html); documents without a reference id have none."""
 
+    from . import acts
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
@@ -218,7 +179,7 @@ def paragraphs(rows: DataFrame) -> DataFrame:
                 root = parse(r.html)
                 meta, top = metadata(root), root.find("html")
                 if meta.get("refid"):
-                    for s in sections(root.find("main") or root):
+                    for s in acts.body(root.find("main") or root)[1]:
                         out.append((r.doc_id, meta["refid"], top.attributes.get("lang", "") if top else "", meta.get("title", ""), s["section_id"], s["chapter_id"], s["paragraph_num"], s["title"], s["content"], s["position"]))
             yield pd.DataFrame(out, columns=["doc_id", "ref_id", "language", "title", "section_id", "chapter_id", "paragraph_num", "section_title", "content", "position"])
 
