@@ -37,7 +37,7 @@ from . import common as C
 BITS = 15
 PASSAGE, STEP = 64, 8
 WIDE, LATENT, RESIDUAL = 96, 24, 72
-COSINE = 0.3
+COSINE = 0.35
 COPY, PARAPHRASE, ANSWER, SHORT = 0.8, 0.6, 0.8, 8
 ITEMS = 4096
 MERGED, SLICE = 16, 1 << 11
@@ -235,9 +235,10 @@ def _search(column: pa.Array, items: _Items, directions: np.ndarray) -> Iterator
 
         for n, (which, vectors) in items.by.items():
             if len(grid) >= n:
+                step = max(256, (1 << 21) // len(which))  # windows at once: the more items, the fewer
                 whole = np.flatnonzero(owner[: len(grid) - n + 1] == owner[n - 1 :])
-                for lo in range(0, len(whole), 1 << 14):
-                    part = whole[lo : lo + (1 << 14)]
+                for lo in range(0, len(whole), step):
+                    part = whole[lo : lo + step]
                     look(total[part + n] - total[part], part, part + n, which, vectors)
             short = np.flatnonzero((np.diff(to) < n) & (np.diff(to) > 0))
             if len(short):
