@@ -134,5 +134,10 @@ def is_noise(c: Column) -> Column:
 
 
 def natural_key(c: Column) -> Column:
-    """A string whose order is that of c with runs of digits compared as numbers."""
-    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1)), lambda x: F.when(is_digits(x), F.concat(F.lit("0"), F.lpad(x, 9, "0"))).otherwise(F.concat(F.lit("1"), x))), "")
+    """A string whose order is that of c with runs of digits, however long, compared as numbers: by their length, then by digit."""
+
+    def part(x: Column) -> Column:
+        digits = F.regexp_replace(x, "^0+(?=.)", "")
+        return F.when(is_digits(x), F.concat(F.lit("0"), F.lpad(F.char_length(digits).cast("string"), 10, "0"), digits)).otherwise(F.concat(F.lit("1"), x))
+
+    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1)), part), "")

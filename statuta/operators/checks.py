@@ -19,9 +19,9 @@ def v1_duplicate_keys(objects: DataFrame) -> DataFrame:
 
 def v2_dangling(edges: DataFrame, objects: DataFrame) -> DataFrame:
     """One row for each end of an edge that is no object."""
-    keys = objects.select(F.col("key").alias("__k")).distinct()
-    ends = [_rows(edges.join(keys, edges[c] == F.col("__k"), "left_anti"), "V2", F.col(c), F.concat(F.col("type"), F.lit(f" {side}"))) for c, side in (("src_key", "source"), ("dst_key", "target"))]
-    return ends[0].union(ends[1])
+    ends = edges.select("type", F.explode(F.array(*(F.struct(F.col(c).alias("end"), F.lit(f" {side}").alias("side")) for c, side in (("src_key", "source"), ("dst_key", "target"))))).alias("e"))
+    missing = ends.select("type", "e.*").join(objects.select(F.col("key").alias("__k")), F.col("end") == F.col("__k"), "left_anti")
+    return _rows(missing, "V2", F.col("end"), F.concat("type", "side"))
 
 
 def v3_self_loops(edges: DataFrame) -> DataFrame:

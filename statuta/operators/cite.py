@@ -64,24 +64,37 @@ def verify_quotes(quotes: DataFrame, provisions: DataFrame) -> DataFrame:
 def find_texts(quotes: DataFrame, documents: DataFrame, words: int = 5) -> DataFrame:
     """quote_id, doc_id of every document that holds a quote, white space aside.
 
-    Quotes of five words or more meet documents by their first five words, an equi-join that scales with matches; shorter ones
-    are few and compared with each document. The containment itself is checked on the joined pairs.
+    A quote may begin and end inside a word of the document; the words between are whole. Quotes with five or more such words
+    meet documents by hashes of the first five, others by their longest whole word, in equi-joins of 64-bit numbers that scale with
+    matches; the containment itself is checked on the joined pairs. Quotes of one or two words have no whole word for sure: where there
+    are any, they are compared with each document.
     """
     q = quotes.withColumn("__q", text.squeeze(F.col("quote"))).withColumn("__w", F.split("__q", " "))
     d = documents.withColumn("__d", text.squeeze(F.col("content")))
-    # Quotes may begin inside a word of the document, so their second to sixth word are the key: these are whole.
-    long = q.where(F.size("__w") > words + 1).withColumn("__k", F.array_join(F.slice("__w", 2, words), " "))
-    runs = d.select("doc_id", F.explode(F.array_distinct(_runs(F.split("__d", " "), words))).alias("__k"))
-    pairs = long.select("quote_id", "__k").join(runs, "__k").select("quote_id", "doc_id").distinct()
-    checked = pairs.join(q.select("quote_id", "__q"), "quote_id").join(d.select("doc_id", "__d"), "doc_id").where(F.contains("__d", F.col("__q")))
-    short = q.where(F.size("__w") <= words + 1).join(d, F.contains("__d", F.col("__q")))
-    return checked.select("quote_id", "doc_id").union(short.select("quote_id", "doc_id"))
-
-
-def _runs(words: Column, n: int) -> Column:
-    out = words
+    inner = F.slice("__w", F.lit(2), F.greatest(F.size("__w") - 2, F.lit(0)))
+    longest = F.element_at(F.array_sort(F.transform(inner, lambda w: F.struct((-F.char_length(w)).alias("n"), w.alias("w")))), 1)["w"]
+    long, middle = F.size(inner) >= words, (F.size(inner) > 0) & (F.size(inner) < words)
+    few = dict(q.groupBy(F.when(long, "long").when(middle, "middle").otherwise("short").alias("kind")).count().collect())
+    pairs = None
+    for kind, rows, key in (("long", q.where(long), _run_hashes(F.slice(inner, F.lit(1), F.lit(words)), words)[0]), ("middle", q.where(middle), F.xxhash64(longest))):
+        if few.get(kind):
+            own = F.split("__d", " ")
+            held = F.explode(F.array_distinct(_run_hashes(own, words) if kind == "long" else F.transform(own, lambda w: F.xxhash64(w))))
+            met = rows.select("quote_id", key.alias("__k")).join(d.select("doc_id", held.alias("__k")), "__k").select("quote_id", "doc_id").distinct()
+            pairs = met if pairs is None else pairs.union(met)
+    found = q.where("false").select("quote_id").join(d.select("doc_id").where("false")) if pairs is None else pairs
+    if pairs is not None:
+        found = pairs.join(q.select("quote_id", "__q"), "quote_id").join(d.select("doc_id", "__d"), "doc_id").where(F.contains("__d", F.col("__q"))).select("quote_id", "doc_id")
+    if few.get("short"):
+        found = found.union(q.where(~long & ~middle).join(d, F.contains("__d", F.col("__q"))).select("quote_id", "doc_id"))
+    return found
+
+
+def _run_hashes(words: Column, n: int) -> Column:
+    """Hashes of every run of n words."""
+    out = single = F.transform(words, lambda w: F.xxhash64(w))
     for k in range(1, n):
-        out = F.zip_with(out, F.slice(words, F.lit(k + 1), F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
+        out = F.zip_with(out, F.slice(single, F.lit(k + 1), F.greatest(F.size(words), F.lit(1))), lambda a, b: F.when(a.isNotNull() & b.isNotNull(), F.xxhash64(a, b)))
     return F.filter(out, lambda x: x.isNotNull())
 
 

@@ -51,13 +51,16 @@ def two_hop(edges: DataFrame, first: str, second: str) -> DataFrame:
 def reach(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
     """node, depth of all nodes within so many steps, each at its smallest depth. edges: a, b.
 
-    Each round joins the frontier only and drops nodes seen; depth rounds make one plan, so no state is kept on the driver.
+    Each round joins the frontier only and drops nodes seen. Where the session names a checkpoint folder a frontier is written there,
+    so that no round computes the earlier ones again; nothing but plans is kept on the driver.
     """
+    written = start.sparkSession.conf.get("spark.checkpoint.dir", None) is not None
     frontier = start.select("node").distinct().withColumn("depth", F.lit(0))
-    seen = frontier
+    seen = frontier = frontier.checkpoint() if written else frontier
     for k in range(1, depth + 1):
         step = edges.join(frontier.select("node"), edges["a"] == F.col("node"), "left_semi").select(F.col("b").alias("node")).distinct()
         frontier = step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(k))
+        frontier = frontier.checkpoint() if written else frontier
         seen = seen.union(frontier)
     return seen
 

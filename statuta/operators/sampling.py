@@ -19,16 +19,20 @@ def even_spread(rows: DataFrame, order: list[str], n: int) -> DataFrame:
 
 
 def with_place(rows: DataFrame, order: list[str]) -> DataFrame:
-    """rows with place, their number in the order from 0 on. Ranges of the first order column's hash-free sort hold equal values
-    together; rows equal in all order columns have neighbouring places."""
+    """rows with place, their number in the order from 0 on. Rows equal in all order columns have neighbouring places.
+
+    Each task sorts one range of the order and numbers its rows; the counts of the ranges, one row each, give where a range begins.
+    """
     from pyspark.sql import Window
 
-    head = order[0]
-    counts = rows.groupBy(head).agg(F.count("*").alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.orderBy(F.col(head).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = counts.select(F.col(head).alias("__head"), before.alias("__start"))
-    inside = F.row_number().over(Window.partitionBy(head).orderBy(*order)) - 1
-    return rows.withColumn("__in", inside).join(starts, F.col(head).eqNullSafe(F.col("__head"))).withColumn("place", (F.col("__start") + F.col("__in")).cast("long")).drop("__head", "__start", "__in")
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = F.monotonically_increasing_id()  # the partition above 33 bits, the place in it below
+    ranged = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("__id", number)
+    ranged = ranged.withColumns({"__range": F.shiftright("__id", 33), "__in": F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))})
+    counts = ranged.groupBy("__range").agg(F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = F.broadcast(counts.select("__range", before.alias("__start")))  # one row a range
+    return ranged.join(starts, "__range").withColumn("place", (F.col("__start") + F.col("__in")).cast("long")).drop("__id", "__range", "__in", "__start")
 
 
 def worst(rows: DataFrame, score: str, tie: str, n: int) -> DataFrame:

@@ -32,21 +32,14 @@ def citation_unresolved_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resolve_section(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order's act at its paragraphs 1 to 3, as the provisions found."""
-    a = corpus.acts(spark, sf_dir).where("ord % 50 = 0")
-    wanted = a.select(F.explode(F.array(F.concat("key", F.lit("#§ 1")), F.concat("key", F.lit("#§2")), F.concat("key", F.lit("#paragraf-3")))).alias("ref"))
-    return cite.targets(wanted, corpus.paragraphs(spark, sf_dir))
-
-
-def resolve_section_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every act, without exception, at its paragraphs 1 to 3, as the provisions found."""
+    """Every act at its paragraphs 1 to 3, as the provisions found."""
     wanted = corpus.acts(spark, sf_dir).select(F.explode(F.array(F.concat("key", F.lit("#§ 1")), F.concat("key", F.lit("#§2")), F.concat("key", F.lit("#paragraf-3")))).alias("ref"))
     return cite.targets(wanted, corpus.paragraphs(spark, sf_dir))
 
 
 def resolve_whole_act(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All provisions of each act in force."""
-    wanted = corpus.acts(spark, sf_dir).where("status = 'P'").select(F.col("key").alias("ref"))
+    """All provisions of each act."""
+    wanted = corpus.acts(spark, sf_dir).select(F.col("key").alias("ref"))
     return cite.targets(wanted, corpus.paragraphs(spark, sf_dir))
 
 
@@ -104,7 +97,7 @@ resolved as (
   select f.act, f.token, i.paragraph from found f left join idx i on f.act = i.act and f.token = i.token)
 """
 
-QUERIES = {f.__name__: f for f in (citation_audit, citation_unresolved_sample, resolve_section, resolve_section_all, resolve_whole_act, attribute_cross_act, explicit_act_refs, verify_quote, quote_excerpt, closest_document)}
+QUERIES = {f.__name__: f for f in (citation_audit, citation_unresolved_sample, resolve_section, resolve_whole_act, attribute_cross_act, explicit_act_refs, verify_quote, quote_excerpt, closest_document)}
 
 ORACLE_SQL = {
     "citation_audit": f"with {corpus.SQL}, {_TOKENS} select count(*) as found, count(paragraph) as resolved, round(count(paragraph) / count(*), 9) as rate from resolved",
@@ -112,12 +105,9 @@ ORACLE_SQL = {
       o as (select ref, row_number() over (order by ref) - 1 as place, count(*) over () as total from (select distinct act || '#§' || token as ref from resolved where paragraph is null))
       select ref, place::bigint as place from o where total <= 20 or place in (select (i * total // 20) from range(20) r(i), (select max(total) as total from o))""",
     "resolve_section": f"""with {corpus.SQL}
-      select a.key || x.suffix as ref, p.key as paragraph from acts a, (values ('#§ 1', 1), ('#§2', 2), ('#paragraf-3', 3)) x(suffix, n)
-      join (select distinct key, law_ref_id, position from paragraphs) p on p.position = x.n where a.ord % 50 = 0 and p.law_ref_id = a.key""",
-    "resolve_section_all": f"""with {corpus.SQL}
       select a.key || x.suffix as ref, p.key as paragraph from acts a, (values ('#§ 1', 1), ('#§2', 2), ('#paragraf-3', 3)) x(suffix, n)
       join (select distinct key, law_ref_id, position from paragraphs) p on p.position = x.n where p.law_ref_id = a.key""",
-    "resolve_whole_act": f"with {corpus.SQL} select distinct a.key as ref, p.key as paragraph from acts a join paragraphs p on p.law_ref_id = a.key where a.status = 'P'",
+    "resolve_whole_act": f"with {corpus.SQL} select distinct a.key as ref, p.key as paragraph from acts a join paragraphs p on p.law_ref_id = a.key",
     "attribute_cross_act": f"""with {corpus.SQL}
       select 'eier-' || ord as key, 0 as ref_no, case when (ord % 7) * 20 + 2 <= 80 then substr(key, 1, 14) || '-' || (ord % 9973) else 'eier-' || ord end as act, '4-3' as token from acts
       union all select 'eier-' || ord, 1, 'eier-' || ord, '5' from acts""",

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statuta.functions import eu, prep, text
-from statuta.operators import graph
+from statuta.operators import graph, sampling
 from statuta.sources import corpus
 from statuta.sources.corpus import read
 
@@ -138,26 +138,17 @@ def collapse_cartesian_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def natural_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part names in digit-aware order: the five last."""
+    """Every part name with its rank in digit-aware order, from 1."""
     p = read(spark, sf_dir, "part").select(F.concat(F.lit("art-"), (F.col("p_partkey") % 1201).cast("string"), F.lit("."), F.col("p_size").cast("string")).alias("name")).distinct()
-    return p.orderBy(text.natural_key(F.col("name")).desc()).limit(5)
-
-
-def natural_order_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every part name with its rank in digit-aware order, from 1; ranks come from counts by leading number, so no task sorts all."""
-    p = read(spark, sf_dir, "part").select(F.concat(F.lit("art-"), (F.col("p_partkey") % 1201).cast("string"), F.lit("."), F.col("p_size").cast("string")).alias("name")).distinct()
-    keyed = p.select("name", text.natural_key(F.col("name")).alias("__key"), F.regexp_extract("name", r"^(\D*\d*)", 1).alias("__head"))
-    heads = keyed.groupBy("__head").agg(F.count("*").alias("__n"), F.min("__key").alias("__least"))
-    before = F.coalesce(F.sum("__n").over(Window.orderBy("__least").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranks = keyed.join(heads.select(F.col("__head"), before.alias("__before")), "__head")
-    return ranks.select("name", (F.col("__before") + F.row_number().over(Window.partitionBy("__head").orderBy("__key"))).cast("long").alias("place"))
+    keyed = p.select("name", text.natural_key(F.col("name")).alias("__key"))
+    return sampling.with_place(keyed, ["__key", "name"]).select("name", (F.col("place") + 1).alias("place"))
 
 
 QUERIES = {
     f.__name__: f
     for f in (
         celex_extract, celex_meta, eu_reference_type, eu_reference_context, eu_articles_sorted, amendment_notes, amendment_keys, prep_work_classify, prep_work_summary, kildedok_slugs,
-        derives_from_edges, humanize_section, collapse_cartesian_rows, natural_order, natural_order_all,
+        derives_from_edges, humanize_section, collapse_cartesian_rows, natural_order,
     )
 }
 
@@ -200,6 +191,5 @@ ORACLE_SQL = {
     "humanize_section": """select distinct case when l_linenumber % 3 = 0 then 'kapittel-' || l_linenumber || '-kapittel-' || l_linenumber || '-ledd-2' when l_linenumber % 3 = 1 then 'kapittel-' || l_linenumber || '-paragraf-4' else 'vedlegg-del-' || l_linenumber || '-nummer' end as section_id,
       case when l_linenumber % 3 = 0 then 'Kapittel ' || l_linenumber || ', ledd 2' when l_linenumber % 3 = 1 then 'Kapittel ' || l_linenumber || ', paragraf 4' else 'Vedlegg, del ' || l_linenumber || ', nr.' end as label from lineitem""",
     "collapse_cartesian_rows": """select l_orderkey, min(l_returnflag) as flag, string_agg(distinct l_linenumber::varchar, '; ' order by l_linenumber::varchar) as lines, string_agg(distinct l_linestatus, ',' order by l_linestatus) as statuses from lineitem group by 1""",
-    "natural_order": "select distinct 'art-' || (p_partkey % 1201) || '.' || p_size as name from part qualify dense_rank() over (order by p_partkey % 1201 desc, p_size desc) <= 5",
-    "natural_order_all": "select name, row_number() over (order by a, b)::bigint as place from (select distinct 'art-' || (p_partkey % 1201) || '.' || p_size as name, p_partkey % 1201 as a, p_size as b from part)",
+    "natural_order": "select name, row_number() over (order by a, b)::bigint as place from (select distinct 'art-' || (p_partkey % 1201) || '.' || p_size as name, p_partkey % 1201 as a, p_size as b from part)",
 }

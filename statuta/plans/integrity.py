@@ -100,8 +100,8 @@ def dedupe_edges_merge_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def endpoint_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    live = corpus.acts(spark, sf_dir).where("ord % 3 <> 0").select("key")
-    return graph.endpoint_filter(corpus.relationships(spark, sf_dir).where("type = 'AMENDED_BY'"), live).select("type", "src_key", "dst_key")
+    live = corpus.acts(spark, sf_dir).where("ord % 3 <> 0").select("key").union(corpus.paragraphs(spark, sf_dir).select("key"))
+    return graph.endpoint_filter(corpus.relationships(spark, sf_dir), live).select("type", "src_key", "dst_key")
 
 
 def stubs_for_missing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,10 +145,11 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many tokens of a conversation's first turn its second turn has."""
+    """How many tokens of each turn of a conversation the turn after it has."""
     c = read(spark, sf_dir, "conversations")
-    out = coverage.token_recall(c.where("turn = 0").select("conv_id", "text"), c.where("turn = 1").select("conv_id", "text"), "conv_id")
-    return out.select("conv_id", "total", "kept", F.round("coverage", 9).alias("coverage"))
+    key = lambda t: F.concat(F.col("conv_id").cast("string"), F.lit("-"), t.cast("string")).alias("turn_key")
+    out = coverage.token_recall(c.select(key(F.col("turn")), "text"), c.select(key(F.col("turn") - 1), "text"), "turn_key")
+    return out.select("turn_key", "total", "kept", F.round("coverage", 9).alias("coverage"))
 
 
 def _covered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,8 +220,8 @@ ORACLE_SQL = {
     "dedupe_edges_merge_props": """with p as (select user_id, event_type, event_id, 'k' as prop, json_extract_string(props, '$.k') as val from events
         union all select user_id, event_type, event_id, 'value', floor(value * 100)::bigint::varchar from events)
       select user_id, event_type, prop, val from p where val is not null qualify row_number() over (partition by user_id, event_type, prop order by event_id) = 1""",
-    "endpoint_filter": f"""with {corpus.SQL}, live as (select key from acts where ord % 3 <> 0)
-      select type, src_key, dst_key from relationships where type = 'AMENDED_BY' and src_key <> dst_key and src_key in (select key from live) and dst_key in (select key from live)""",
+    "endpoint_filter": f"""with {corpus.SQL}, live as (select key from acts where ord % 3 <> 0 union select key from paragraphs)
+      select type, src_key, dst_key from relationships where src_key <> dst_key and src_key in (select key from live) and dst_key in (select key from live)""",
     "stubs_for_missing_targets": "select distinct l_partkey from lineitem where l_partkey not in (select p_partkey from part where p_size <= 25)",
     "language_variant_pairs": "select md5(a.text) as variant, a.doc_id as source, b.doc_id as target from documents a join documents b on a.text = b.text and a.doc_id < b.doc_id",
     "traverse_two_hop": f"""with {corpus.SQL} select b.dst_key as "end", count(*) as paths, count(distinct a.src_key) as starts from relationships a join relationships b on a.dst_key = b.src_key
@@ -230,10 +231,10 @@ ORACLE_SQL = {
       walk as (select 'c1' as node, 0 as depth union select e.b, depth + 1 from walk join e on e.a = node where depth < 3) select node, min(depth)::int as depth from walk group by node""",
     "primary_area": f"with {corpus.SQL} select src_key, min(dst_key) as area from relationships where type = 'IN_LEGAL_AREA' group by 1",
     "token_counts": f"select lang, sum(len({_TOK.format('text')}))::bigint as tokens, count(*) as documents from documents group by 1",
-    "token_coverage": f"""with a as (select conv_id, t, count(*) as n from (select conv_id, unnest({_TOK.format("text")}) as t from conversations where turn = 0) group by all),
-      b as (select conv_id, t, count(*) as n from (select conv_id, unnest({_TOK.format("text")}) as t from conversations where turn = 1) group by all),
-      per as (select a.conv_id, sum(a.n)::bigint as total, sum(least(a.n, coalesce(b.n, 0)))::bigint as kept from a left join b on a.conv_id = b.conv_id and a.t = b.t group by 1)
-      select c.conv_id, coalesce(total, 0) as total, coalesce(kept, 0) as kept, round(coalesce(kept / total, 1.0), 9) as coverage from (select distinct conv_id from conversations where turn = 0) c left join per using (conv_id)""",
+    "token_coverage": f"""with a as (select conv_id || '-' || turn as k, t, count(*) as n from (select conv_id, turn, unnest({_TOK.format("text")}) as t from conversations) group by all),
+      b as (select conv_id || '-' || (turn - 1) as k, t, count(*) as n from (select conv_id, turn, unnest({_TOK.format("text")}) as t from conversations) group by all),
+      per as (select a.k, sum(a.n)::bigint as total, sum(least(a.n, coalesce(b.n, 0)))::bigint as kept from a left join b on a.k = b.k and a.t = b.t group by 1)
+      select c.k as turn_key, coalesce(total, 0) as total, coalesce(kept, 0) as kept, round(coalesce(kept / total, 1.0), 9) as coverage from (select distinct conv_id || '-' || turn as k from conversations) c left join per using (k)""",
     "coverage_summary": f"with {_RECALL} select count(*) as documents, round(avg(coverage), 6) as mean, round(min(coverage), 6) as least, count_if(coverage < 0.99)::bigint as below_99, count_if(coverage < 0.95)::bigint as below_95 from cov",
     "worst_coverage": f"with {_RECALL} select doc_id, round(coverage, 9) as coverage from cov order by cov.coverage, doc_id limit 10",
     "seeded_sample": "select doc_id, source from documents order by md5('seed-7' || doc_id), doc_id limit 25",

@@ -34,7 +34,7 @@ def gap_fill_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gap_fill_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges between acts that the store has, which it lacks."""
-    edges = corpus.relationships(spark, sf_dir).where("type = 'AMENDED_BY'")
+    edges = corpus.relationships(spark, sf_dir)
     live = corpus.acts(spark, sf_dir).where("ord % 5 <> 0").select("key", F.md5("key").alias("id"))
     stored = edges.where("length(src_key) % 2 = 0").select("type", F.md5("src_key").alias("src_id"), F.md5("dst_key").alias("dst_id"))
     return recon.missing_edges(edges, live, stored)
@@ -100,7 +100,7 @@ ORACLE_SQL = {
     "manifest_diff_counts": f"with {_DIFF} select status, count(*) as n, min(ref_id) as first_ref from diff group by 1",
     "gap_fill_objects": f"with {corpus.SQL} select key, area from acts where ord % 4 = 0",
     "gap_fill_edges": f"""with {corpus.SQL}, live as (select key from acts where ord % 5 <> 0)
-      select type, src_key, dst_key from relationships where type = 'AMENDED_BY' and src_key <> dst_key and length(src_key) % 2 <> 0 and src_key in (select key from live) and dst_key in (select key from live)""",
+      select type, src_key, dst_key from relationships where src_key <> dst_key and length(src_key) % 2 <> 0 and src_key in (select key from live) and dst_key in (select key from live)""",
     "property_sync_delta": f"""with {_CUST}
       select s.key, 'name' as prop, 'set' as action, s.name as value from seed s join live l on s.key = l.key where s.name <> l.name
       union all select s.key, 'segment', 'delete', null from seed s join live l on s.key = l.key where s.segment is null and l.segment is not null""",
