@@ -433,7 +433,7 @@ def _mixed(own: DataFrame, rows: int) -> DataFrame:
 
 def _regroup(own: DataFrame, labels: DataFrame) -> DataFrame:
     new = labels.withColumnRenamed("label", "new")
-    return own.join(new, "node", "left").withColumn("group", F.coalesce("new", "group")).select("token", "node", "n", "group")
+    return own.join(new, "node", "left").withColumn("group", F.coalesce("new", "group")).select("token", "node", "n", "central", "group")
 
 
 def _apart(own: DataFrame, sets: _Sets) -> DataFrame:
@@ -457,12 +457,16 @@ def _labels(documents: DataFrame, sizes: DataFrame, level: np.ndarray) -> DataFr
     sets = _Sets(documents, C.table(sizes.join(first, ["node", "doc_id"]).select("node", "doc_id", "n", "sign"), "signs"), level)
     links = sets.by_leader(_one_leader(shared.where("leader is not null")), "first", n)
     labels = components(links)
-    own = shared.select("token", "node", F.shiftright("sized", 32).cast("long").alias("n"), F.col("node").alias("group"))
+    count = shared.groupBy("node").agg(F.count("*").alias("shares"))
+    size = F.shiftright("sized", 32).cast("long")
+    own = shared.join(count, "node").select("token", "node", size.alias("n"), (F.col("shares") / (size - F.ceil(size * PERCENT / 100) + 1)).alias("central"), F.col("node").alias("group"))
     own = _mixed(C.table(_regroup(own, labels), "own"), n)
     C.drop(shared, links)
     for k in range(ROUNDS):
         n = own.count()
-        first = own.groupBy("token").agg(F.min_by(F.struct(F.col("node").alias("leader"), F.col("group").alias("of"), F.col("n").alias("m")), F.xxhash64(F.lit(k), "node")).alias("l")).select("token", "l.*")
+        # First the node with most shared shingles leads, as it is nearest to the others; then any.
+        rank = F.struct(-F.col("central") if k == 0 else F.lit(0.0), F.xxhash64(F.lit(k), "node"))
+        first = own.groupBy("token").agg(F.min_by(F.struct(F.col("node").alias("leader"), F.col("group").alias("of"), F.col("n").alias("m")), rank).alias("l")).select("token", "l.*")
         near = own.join(first, "token").where((F.col("group") != F.col("of")) & (F.col("n") * 100 >= F.col("m") * PERCENT) & (F.col("m") * 100 >= F.col("n") * PERCENT))
         links = sets.by_leader(_one_leader(near), f"round{k}", n)
         if not links.limit(1).count():
