@@ -95,6 +95,29 @@ def eli_url(id_: Column) -> Column:
     return F.concat(F.lit("https://eur-lex.europa.eu/eli/"), word, F.lit("/"), celex_year(id_).cast("string"), F.lit("/"), number_of(id_), F.lit("/oj"))
 
 
+def concept_suffix(uri: Column) -> Column:
+    """The last segment of a concept's address."""
+    return F.substring_index(F.regexp_replace(uri, "/+$", ""), "/", -1)
+
+
+def journal_date(iso: Column) -> Column:
+    """2003-02-14 as 14.2.2003; anything else as it is."""
+    p = F.split(iso, "-")
+    bare = lambda k: F.regexp_replace(F.get(p, F.lit(k)), "^0+", "")
+    return F.when(F.size(p) == 3, F.concat_ws(".", bare(2), bare(1), F.get(p, F.lit(0)))).otherwise(iso)
+
+
+def journal_reference(document: Column, date: Column) -> Column:
+    """A journal document's id, as oj:JOL_2003_041_R_0026_01, and its date as "OJ L 41, 14.2.2003, p. 26"; without a date the year
+    stands there, without an issue the year as well; empty for other ids."""
+    p = F.split(F.regexp_replace(document, "^oj:", ""), "_")
+    part = lambda k: F.get(p, F.lit(k))
+    bare = lambda k: F.regexp_replace(part(k), "^0+", "")
+    day = F.when(F.coalesce(date, F.lit("")) != "", journal_date(date)).otherwise(part(1))
+    made = F.concat(F.lit("OJ "), F.substring(part(0), F.lit(3), F.char_length(part(0))), F.lit(" "), F.when(bare(2) != "", bare(2)).otherwise(part(1)), F.lit(", "), day, F.lit(", p. "), bare(4))
+    return F.when((F.size(p) >= 5) & part(0).startswith("JO"), made).otherwise("")
+
+
 def reference_type(clause: Column) -> Column:
     """(type, keyword) of a clause: the first term of the table that begins at a word; ("references", "") if none does."""
     low = F.lower(clause)
