@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import citations, domain, evaluation, integrity, reconcile, records, web
+from . import assembly, citations, domain, evaluation, integrity, reconcile, records, web
 
-_PARTS = (citations, integrity, records, reconcile, domain, evaluation, web)
+_PARTS = (citations, integrity, records, reconcile, domain, evaluation, web, assembly)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: f for part in _PARTS for k, f in part.QUERIES.items()}
 ORACLE_SQL: dict[str, str] = {k: sql for part in _PARTS for k, sql in part.ORACLE_SQL.items()}
