@@ -395,7 +395,7 @@ class _Sets:
 
 def _dealt(stored: DataFrame, probes: DataFrame, block: int) -> DataFrame:
     """unit, block, probe, node, group: what is stored by unit in blocks of about so many, and each probe in all blocks of its unit."""
-    blocks = stored.groupBy("unit").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    blocks = C.table(stored.groupBy("unit").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "blocks")  # apart, so that joins can split hot units
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
     rows = stored.join(blocks, "unit").select("unit", mine, F.lit(False).alias("probe"), "node", "group")
     return rows.union(probes.join(blocks, "unit").select("unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("probe"), "node", "group"))
@@ -441,7 +441,7 @@ def _apart(own: DataFrame, sets: _Sets) -> DataFrame:
     hashes = [F.sum(F.xxhash64(F.lit(k), "node").cast("decimal(20,0)")).alias(f"sum{k}") for k in range(2)]
     units = own.groupBy("token").agg(*hashes).select("token", F.xxhash64("sum0", "sum1").alias("unit"))  # equal for shingles of the same nodes
     rows = C.table(own.join(units, "token").select("unit", "node", "group").distinct(), "units")
-    largest = rows.groupBy("unit", "group").agg(F.count("*").alias("size")).groupBy("unit").agg(F.max_by("group", F.struct("size", "group")).alias("most"))
+    largest = C.table(rows.groupBy("unit", "group").agg(F.count("*").alias("size")).groupBy("unit").agg(F.max_by("group", F.struct("size", "group")).alias("most")), "largest")
     others = rows.join(largest, "unit").where("group <> most").select("unit", "node", "group")
     found = C.table(sets.near(rows, others).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "apart")
     C.drop(rows)
