@@ -21,8 +21,11 @@ MANIFEST = "counts struct<objects bigint, relationships bigint, by_type map<stri
 CASE = "case_name string, source string, sammendrag string, full_text string, doc_id string, date string, url string, sentences array<struct<text string, hm_score double, rouge1_f double, rouge2_f double>>"
 
 
-def archive_members(spark: SparkSession, path: str, suffix: str = ".xml") -> DataFrame:
-    """path, member, ord, content of every such member of compressed archives; one task an archive, one member in memory at a time."""
+def archive_members(spark: SparkSession, path: str, suffix: str = ".xml", limit: int = 0) -> DataFrame:
+    """path, member, ord, content of every such member of compressed archives; limit: the first so many of each archive.
+
+    One task an archive, which it holds packed (2 GB at most, the size of a binary value); unpacked there is one member at a time.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -30,6 +33,8 @@ def archive_members(spark: SparkSession, path: str, suffix: str = ".xml") -> Dat
                 with tarfile.open(fileobj=io.BytesIO(r.content), mode="r:*") as t:
                     k = 0
                     for m in t:
+                        if limit and k >= limit:
+                            break
                         if m.isfile() and m.name.endswith(suffix):
                             yield pd.DataFrame([(r.path, m.name, k, t.extractfile(m).read().decode("utf-8", "replace"))], columns=["path", "member", "ord", "content"])
                             k += 1
