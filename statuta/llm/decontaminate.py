@@ -36,7 +36,7 @@ from . import common as C
 
 BITS = 15
 PASSAGE, STEP = 64, 8
-WIDE, LATENT, RESIDUAL = 96, 24, 72
+WIDE, LATENT, RESIDUAL = 48, 24, 72
 COSINE = 0.35
 COPY, PARAPHRASE, ANSWER, SHORT = 0.8, 0.6, 0.8, 8
 ITEMS = 4096
@@ -95,8 +95,8 @@ def _frequencies(documents: DataFrame) -> tuple[np.ndarray, int]:
 
 def _add_products(total: np.ndarray, grid: np.ndarray, y: np.ndarray) -> None:
     """Adds to each feature's row of total the rows of y whose passages hold it, as often as they do."""
-    for lo in range(0, len(grid), 512):
-        flat = grid[lo : lo + 512].astype(np.uint16).ravel()
+    for lo in range(0, len(grid), 1024):
+        flat = grid[lo : lo + 1024].astype(np.uint16).ravel()
         order = np.argsort(flat, kind="stable")
         flat = flat[order]
         starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
