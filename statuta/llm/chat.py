@@ -7,10 +7,13 @@ result and follows the results that its arguments name (``{"$ref": id}``), and g
 keys sorted at every depth, no blanks, absent values left out.
 
 Order: a message stands at its turn, but not before what it depends on: a result not before its call, a call not before the results
-that its arguments name, wherever their turns are. Kahn's rounds carry this place and the ``level``, the steps of dependencies,
-from message to message; of messages at one place those of lower level come first. ``position`` counts the messages of the
-conversation that come before, equal for messages equal in place and level. It comes from counts by place, so no conversation's
-messages need to meet in one task. A message on or behind a cycle of references stands at its turn, at level 0.
+that its arguments name, wherever their turns are. Of messages at one place the ``level``, the steps of dependencies among them,
+says which come first. ``position`` counts the messages of the conversation that come before, equal for messages equal in place
+and level; it comes from counts by place, so no conversation's messages need to meet in one task. Conversations in which every
+name points back to results that are there already keep their turns. In the others place and level run along the references: a
+message that names one message is a function of it, and such functions are joined by doubling, so a chain of any length takes
+rounds in proportion to its logarithm; messages that name several follow in Kahn's order. A message on or behind a cycle of
+references stands at its turn, at level 0.
 
 Status of a call: ``ok``, ``no result``, ``invalid arguments``, ``unknown tool``, ``duplicate id`` (all but the first of an id)
 or ``cycle``; of a result: ``ok`` or ``no call``; null for plain messages. Defined results: null conversation, turn, role and
@@ -70,37 +73,76 @@ def references(arguments: Column) -> Column:
     return F.from_json(F.concat(F.lit("["), F.array_join(F.array_distinct(quoted), ","), F.lit("]")), "array<string>")
 
 
-def _placed(calls: DataFrame, owners: DataFrame, results: DataFrame) -> DataFrame:
-    """conv_id, __n, __level, __at of call messages that refer or are referred to, null on or behind a cycle.
+# How place and level of a call follow from those (p, l) of a call that it names: (p, l + s) if p is c or later, else (c, k).
+# c is its own turn or the turn of the result, if that is later; such functions, one after the other, are of the same kind.
 
-    Kahn's algorithm: what a round resolves is taken off what waits, and only that is met with the edges in the next round.
-    """
+
+def _after(first: str, then: str) -> dict[str, Column]:
+    """c, k, s of a function (columns that begin with first) followed by another (then)."""
+    c1, k1, s1, c2, k2, s2 = (F.col(f"{x}{name}") for x in (first, then) for name in ("c", "k", "s"))
+    return {"c": F.greatest(c1, c2), "k": F.when(c1 >= c2, k1 + s2).otherwise(k2), "s": s1 + s2}
+
+
+def _applied() -> dict[str, Column]:
+    """place, level from c, k, s and __p, __l of what is named."""
+    stays = F.col("__p") >= F.col("c")
+    return {"__at": F.when(stays, F.col("__p")).otherwise(F.col("c")), "__level": F.when(stays, F.col("__l") + F.col("s")).otherwise(F.col("k"))}
+
+
+def _doubled(single: DataFrame) -> DataFrame:
+    """conv_id, __n, __ref, c, k, s of messages that name one message, as functions of the first on their way that names none or several;
+    those that lead into a cycle still name one of their kind after as many rounds as the longest way takes."""
+    longest = single.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    for _ in range(longest.bit_length()):
+        on = single.select("conv_id", F.col("__n").alias("__ref"), F.col("__ref").alias("__next"), *(F.col(x).alias(f"n_{x}") for x in "cks"))
+        both = single.join(on, ["conv_id", "__ref"], "left").withColumnsRenamed({x: f"o_{x}" for x in "cks"})
+        goes = F.col("__next").isNotNull()
+        new = both.select("conv_id", "__n", F.coalesce("__next", "__ref").alias("__ref"), *(F.when(goes, f).otherwise(F.col(f"o_{x}")).alias(x) for x, f in _after("n_", "o_").items()))
+        new = table(new, "ways")
+        drop(single)
+        single = new
+    return single
+
+
+def _placed(calls: DataFrame, owners: DataFrame, results: DataFrame) -> DataFrame:
+    """conv_id, __n, __level, __at of call messages that refer or are referred to where a reference points to what isn't there yet; null on
+    or behind a cycle."""
     edges = calls.select("conv_id", "__n", "turn", F.explode(references(F.col("arguments"))).alias("id"))
     edges = edges.join(owners.select("conv_id", "id", F.col("__first.turn").alias("__ref_turn"), F.col("__first.__n").alias("__ref")), ["conv_id", "id"]).join(results, ["conv_id", "id"], "left")
-    edges = edges.groupBy("conv_id", "__n", "__ref").agg(F.min("turn").alias("turn"), F.min("__ref_turn").alias("__ref_turn"), F.max("__answered").alias("__answered"))
-    edges = table(edges, "refs")
-    waiting = table(edges.groupBy("conv_id", "__n").agg(F.min("turn").alias("__at"), F.count("*").alias("__open"), F.lit(0).alias("__level")), "waiting")
-    names = ["conv_id", "__n", "__level", "__at"]
-    start = edges.select("conv_id", F.col("__ref").alias("__n"), F.col("__ref_turn").alias("__at")).distinct().join(waiting, ["conv_id", "__n"], "left_anti")
-    front = table(start.withColumn("__level", F.lit(0)).select(*names), "placed")
-    done = [front]
-    while front.limit(1).count():
-        of = front.select("conv_id", F.col("__n").alias("__ref"), F.col("__level").alias("__below"), F.col("__at").alias("__from"))
-        met = edges.join(of, ["conv_id", "__ref"]).groupBy("conv_id", "__n").agg(
-            F.count("*").alias("__met"), (F.max("__below") + 1).alias("__up"), F.max(F.greatest("__from", "__answered")).alias("__after")
-        )
-        new = waiting.join(met, ["conv_id", "__n"], "left").select(
-            "conv_id", "__n", F.greatest("__at", "__after").alias("__at"), (F.col("__open") - F.coalesce("__met", F.lit(0))).alias("__open"), F.greatest("__level", "__up").alias("__level")
-        )
-        new = table(new, "waiting")
-        drop(waiting)
-        front = table(new.where("__open = 0").select(*names), "placed")
-        done.append(front)
-        waiting = new.where("__open > 0")
-        waiting._statuta_path = new._statuta_path
-    out = waiting.select("conv_id", "__n", F.lit(None).cast("int").alias("__level"), F.lit(None).cast(edges.schema["turn"].dataType).alias("__at"))
-    for part in done:
-        out = out.union(part)
+    edges = table(edges.groupBy("conv_id", "__n", "__ref").agg(F.min("turn").alias("turn"), F.min("__ref_turn").alias("__ref_turn"), F.max("__answered").alias("__answered")), "refs")
+    late = edges.where(F.greatest("__ref_turn", "__answered") >= F.col("turn")).select("conv_id").distinct()
+    answered, turn = F.col("__answered"), F.col("turn")
+    function = [F.greatest(turn, answered).alias("c"), F.coalesce(answered >= turn, F.lit(False)).cast("int").alias("k"), F.when(answered.isNull(), 1).otherwise(2).alias("s")]
+    degree = edges.groupBy("conv_id", "__n").agg(F.count("*").alias("__names"))
+    own = table(edges.join(late, "conv_id", "left_semi").join(degree, ["conv_id", "__n"]).select("conv_id", "__n", "__ref", "__ref_turn", "__names", *function), "late")
+    drop(edges)
+    nodes = own.select("conv_id", F.col("__n").alias("__ref")).distinct()
+    roots = own.select("conv_id", "__ref", "__ref_turn").distinct().join(nodes, ["conv_id", "__ref"], "left_anti")
+    done = table(roots.select("conv_id", F.col("__ref").alias("__n"), F.col("__ref_turn").alias("__at"), F.lit(0).alias("__level")), "placed")
+    ways = _doubled(table(own.where("__names = 1").select("conv_id", "__n", "__ref", "c", "k", "s"), "ways"))
+
+    # Messages that name several: each name leads to a root or to another such message.
+    on = ways.select("conv_id", F.col("__n").alias("__ref"), F.col("__ref").alias("__next"), *(F.col(x).alias(f"n_{x}") for x in "cks"))
+    several = own.where("__names > 1").withColumnsRenamed({x: f"o_{x}" for x in "cks"}).join(on, ["conv_id", "__ref"], "left")
+    goes = F.col("__next").isNotNull()
+    several = table(several.select("conv_id", "__n", "__names", F.coalesce("__next", "__ref").alias("__to"), *(F.when(goes, f).otherwise(F.col(f"o_{x}")).alias(x) for x, f in _after("n_", "o_").items())), "several")
+    best = F.struct("__at", "__level")
+    front, all_done, met = done, [done], None
+    while several.limit(1).count() and front.limit(1).count():
+        value = front.select("conv_id", F.col("__n").alias("__to"), F.col("__at").alias("__p"), F.col("__level").alias("__l"))
+        new = several.join(value, ["conv_id", "__to"]).withColumns(_applied()).groupBy("conv_id", "__n", "__names").agg(F.count("*").alias("__met"), F.max(best).alias("__best"))
+        if met is not None:
+            new = met.union(new).groupBy("conv_id", "__n", "__names").agg(F.sum("__met").alias("__met"), F.max("__best").alias("__best"))
+        new = table(new, "met")
+        front = table(new.where("__met = __names").select("conv_id", "__n", "__best.__at", "__best.__level"), "placed")
+        all_done.append(front)
+        met = new.where("__met < __names")
+    for part in all_done[1:]:
+        done = done.union(part)
+    value = done.select("conv_id", F.col("__n").alias("__ref"), F.col("__at").alias("__p"), F.col("__level").alias("__l"))
+    alone = ways.join(value, ["conv_id", "__ref"], "left").withColumns(_applied()).select("conv_id", "__n", *(F.when(F.col("__p").isNotNull(), F.col(c)).alias(c) for c in ("__at", "__level")))
+    open_ = several.select("conv_id", "__n").distinct().join(done.select("conv_id", "__n"), ["conv_id", "__n"], "left_anti")
+    out = done.select("conv_id", "__n", "__at", "__level").union(alone).union(open_.select("conv_id", "__n", F.lit(None).cast(done.schema["__at"].dataType), F.lit(None).cast("int")))
     return table(out, "order")
 
 
@@ -126,17 +168,20 @@ def link(parsed: DataFrame, tools: DataFrame) -> DataFrame:
         F.coalesce(worst, F.lit("ok")).alias("__call_status"), F.min_by("id", "__k").alias("__call"), F.min("__answered").alias("__answer"),
         F.coalesce(F.max("__level"), F.lit(0)).alias("__call_level"), F.max("__at").alias("__call_at"),
     )
-    asked = owners.select("conv_id", "id", F.col("__first.turn").alias("__asked"), F.col("__first.__n").alias("__n")).join(order, ["conv_id", "__n"], "left")
-    asked = asked.select(F.col("conv_id").alias("__ac"), F.col("id").alias("__ai"), "__asked", F.coalesce("__level", F.lit(0)).alias("__asked_level"), F.col("__at").alias("__asked_at"))
+    asked = owners.select("conv_id", "id", "__first", F.col("__first.turn").alias("__asked"), F.col("__first.__n").alias("__n")).join(order, ["conv_id", "__n"], "left")
+    asked = asked.select(F.col("conv_id").alias("__ac"), F.col("id").alias("__ai"), "__asked", F.coalesce("__level", F.lit(0)).alias("__asked_level"), F.greatest("__first.turn", "__at").alias("__asked_at"))
     same = F.col("conv_id").eqNullSafe(F.col("__cc")) & F.col("turn").eqNullSafe(F.col("__ct")) & (F.col("__n") == F.col("__cn"))
     out = rows.join(per, same, "left").join(asked, (F.col("conv_id") == F.col("__ac")) & (F.col("result_of") == F.col("__ai")), "left")
     out = out.withColumns({
         "call_id": F.coalesce("result_of", "__call"),
         "linked_turn": F.coalesce("__asked", "__answer"),
         "status": F.coalesce("__call_status", F.when(F.col("result_of").isNotNull(), F.when(F.col("__ai").isNull(), "no call").otherwise("ok"))),
-        "level": F.coalesce(F.col("__call_level") * 2, F.col("__asked_level") * 2 + 1, F.lit(0)).cast("long"),
-        "__place": F.greatest("turn", "__asked", "__asked_at", "__call_at"),
+        "__place": F.greatest("turn", "__asked_at", "__call_at"),
     })
+    # A result one level after its call if both stand at one place; a call's level counts where it still stands at the place it was found for.
+    stands = F.when(F.col("__call_at").isNull() | (F.col("__place") == F.col("__call_at")), F.col("__call_level")).otherwise(0)
+    follows = F.when(F.col("__place") > F.col("__asked_at"), 0).otherwise(F.col("__asked_level") + 1)
+    out = out.withColumn("level", F.coalesce(F.when(F.col("__call_level").isNotNull(), stands), F.when(F.col("__asked_at").isNotNull(), follows), F.lit(0)).cast("long"))
     key = ["conv_id", "__place", "level"]
     counts = out.groupBy(*key).agg(F.count("*").alias("__same"))
     before = F.coalesce(F.sum("__same").over(Window.partitionBy("conv_id").orderBy("__place", "level").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -213,13 +258,14 @@ paths as (
   select conv_id, turn, 0 as level, turn as place from owners o
   where (conv_id, turn) not in (select conv_id, turn from edges) and (conv_id, turn) not in (select conv_id, turn from looped)
   union
-  select e.conv_id, e.turn, p.level + 1, greatest(e.turn, p.place, e.answered)
-  from paths p join edges e on p.conv_id = e.conv_id and p.turn = e.ref where (e.conv_id, e.turn) not in (select conv_id, turn from looped)),
+  select conv_id, turn, case when turn > there then 0 when answered is null then level + 1 when answered > place then 1 else level + 2 end, greatest(turn, there)
+  from (select e.conv_id, e.turn, p.level, p.place, e.answered, greatest(p.place, e.answered) as there
+    from paths p join edges e on p.conv_id = e.conv_id and p.turn = e.ref where (e.conv_id, e.turn) not in (select conv_id, turn from looped))),
 placed as (
-  select conv_id, turn, max(level) as level, max(place) as place from paths group by 1, 2),
+  select conv_id, turn, max({'p': place, 'l': level}).l as level, max(place) as place from paths group by 1, 2),
 j as (
   select m.*, o.turn as owner, n.answered, a.turn as asked,
-    case when m.calls then coalesce(p.level, 0) * 2 when a.turn is not null then coalesce(q.level, 0) * 2 + 1 else 0 end as level,
+    case when m.calls then coalesce(p.level, 0) when m.turn > greatest(a.turn, q.place) then 0 when a.turn is not null then coalesce(q.level, 0) + 1 else 0 end as level,
     greatest(m.turn, p.place, a.turn, q.place) as place, (m.conv_id, m.turn) in (select conv_id, turn from looped) as cyclic
   from m left join owners o on m.calls and m.conv_id = o.conv_id and m.own = o.own
   left join answered n on m.calls and m.conv_id = n.conv_id and m.own = n.own
@@ -240,7 +286,8 @@ select conv_id, turn, role, case when calls then own when answers then before en
         when kind = 6 and turn - 4 >= first_turn then '{"both":[' || ref || (turn - 2) || '"},' || ref || (turn - 4) || '"}]}'
         when kind <> 4 and turn - 2 >= first_turn then ref || back || '"}' end,
       case when kind <> 4 or told then '"text":' || to_json(text)::varchar end,
-      case when told then '"words":' || len(regexp_extract_all(text, '[^ 	-]+')) end)
+      case when told then '"words":' || len(regexp_extract_all(text, '[^ 	-
+]+')) end)
       || '},"id":"cé\\' || substr(own, 4) || '","name":"' || case when kind = 4 and told then 'shout' when told then 'tell' else 'ask' end || '"}]}'
     when answers then '{"content":' || to_json(text)::varchar || ',"role":"assistant","tool_call_id":"cé\\' || substr(before, 4) || '"}'
     else '{"content":' || to_json(text)::varchar || ',"role":' || to_json(role)::varchar || '}' end as json
