@@ -368,16 +368,18 @@ class _Sets:
 
         return self.documents.select(mark.alias("m"), "text").mapInArrow(run, "node long, text string")
 
-    def near(self, stored: DataFrame, probes: DataFrame) -> DataFrame:
-        """a, b: probes and what is stored in the same unit and another group (unit, node, group), if signs don't exclude a link."""
-        rows = _dealt(stored, probes, SIGNS).join(self.signs.drop("doc_id"), "node").select("unit", "block", "probe", "node", "group", "n", "sign")
+    def near(self, stored: DataFrame, probes: DataFrame, units: int) -> DataFrame:
+        """a, b: probes and what is stored in the same unit and another group (unit, node, group), if signs don't exclude a link; units: at
+        most so many."""
+        rows = _dealt(stored, probes, SIGNS, units).join(self.signs.drop("doc_id"), "node").select("unit", "block", "probe", "node", "group", "n", "sign")
         return _met(rows).mapInArrow(_compare, "a long, b long")
 
     def links(self, near: DataFrame, name: str) -> DataFrame:
         """The links among pairs (a, b), as a table of such."""
         near = C.table(near, f"{name}-near")
         pair = [F.col(c).alias("node") for c in "ab"]
-        rows = _dealt(*(x.withColumn("group", F.col("node")) for x in (near.select(F.col("a").alias("unit"), pair[1]), near.select(F.col("a").alias("unit"), pair[0]).distinct())), BLOCK)
+        sides = near.select(F.col("a").alias("unit"), pair[1]), near.select(F.col("a").alias("unit"), pair[0]).distinct()
+        rows = _dealt(*(x.withColumn("group", F.col("node")) for x in sides), BLOCK, near.count())
         texts = self.texts(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         rows = rows.join(texts, "node").select("unit", "block", "probe", "node", "text")
         found = C.table(_met(rows).mapInArrow(_verify(self.level), "a long, b long"), f"{name}-links")
@@ -388,14 +390,14 @@ class _Sets:
         """The links among at most so many pairs (leader, node): a leader walks its candidates."""
         pairs = C.table(pairs, f"{name}-pairs", rows)
         sides = [pairs.select(F.col("leader").alias("unit"), F.col(c).alias("node"), F.col(c).alias("group")) for c in ("node", "leader")]
-        links = self.links(self.near(sides[0], sides[1].distinct()), name)
+        links = self.links(self.near(sides[0], sides[1].distinct(), rows), name)
         C.drop(pairs)
         return links
 
 
-def _dealt(stored: DataFrame, probes: DataFrame, block: int) -> DataFrame:
+def _dealt(stored: DataFrame, probes: DataFrame, block: int, units: int) -> DataFrame:
     """unit, block, probe, node, group: what is stored by unit in blocks of about so many, and each probe in all blocks of its unit."""
-    blocks = C.table(stored.groupBy("unit").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "blocks")  # apart, so that joins can split hot units
+    blocks = C.table(stored.groupBy("unit").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "blocks", units)  # apart, so that joins can split hot units
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
     rows = stored.join(blocks, "unit").select("unit", mine, F.lit(False).alias("probe"), "node", "group")
     return rows.union(probes.join(blocks, "unit").select("unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("probe"), "node", "group"))
@@ -436,15 +438,16 @@ def _regroup(own: DataFrame, labels: DataFrame) -> DataFrame:
     return own.join(new, "node", "left").withColumn("group", F.coalesce("new", "group")).select("token", "node", "n", "central", "group")
 
 
-def _apart(own: DataFrame, sets: _Sets) -> DataFrame:
-    """a, b: all pairs of nodes in different groups that share a prefix shingle and that their signs don't exclude."""
+def _apart(own: DataFrame, sets: _Sets, rows: int) -> DataFrame:
+    """a, b: all pairs of nodes in different groups that share a prefix shingle and that their signs don't exclude. own: of at most so many
+    rows."""
     hashes = [F.sum(F.xxhash64(F.lit(k), "node").cast("decimal(20,0)")).alias(f"sum{k}") for k in range(2)]
     units = own.groupBy("token").agg(*hashes).select("token", F.xxhash64("sum0", "sum1").alias("unit"))  # equal for shingles of the same nodes
-    rows = C.table(own.join(units, "token").select("unit", "node", "group").distinct(), "units")
-    largest = C.table(rows.groupBy("unit", "group").agg(F.count("*").alias("size")).groupBy("unit").agg(F.max_by("group", F.struct("size", "group")).alias("most")), "largest")
-    others = rows.join(largest, "unit").where("group <> most").select("unit", "node", "group")
-    found = C.table(sets.near(rows, others).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "apart")
-    C.drop(rows)
+    met = C.table(own.join(units, "token").select("unit", "node", "group").distinct(), "units", rows)
+    largest = C.table(met.groupBy("unit", "group").agg(F.count("*").alias("size")).groupBy("unit").agg(F.max_by("group", F.struct("size", "group")).alias("most")), "largest", rows)
+    others = met.join(largest, "unit").where("group <> most").select("unit", "node", "group")
+    found = C.table(sets.near(met, others, rows).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "apart")
+    C.drop(met, largest)
     return found
 
 
@@ -460,7 +463,7 @@ def _labels(documents: DataFrame, sizes: DataFrame, level: np.ndarray) -> DataFr
     count = shared.groupBy("node").agg(F.count("*").alias("shares"))
     size = F.shiftright("sized", 32).cast("long")
     own = shared.join(count, "node").select("token", "node", size.alias("n"), (F.col("shares") / (size - F.ceil(size * PERCENT / 100) + 1)).alias("central"), F.col("node").alias("group"))
-    own = _mixed(C.table(_regroup(own, labels), "own"), n)
+    own = _mixed(C.table(_regroup(own, labels), "own", n), n)
     C.drop(shared, links)
     for k in range(ROUNDS):
         n = own.count()
@@ -476,7 +479,7 @@ def _labels(documents: DataFrame, sizes: DataFrame, level: np.ndarray) -> DataFr
         new = _mixed(_regroup(own, labels), n)
         C.drop(own, links)
         own = new
-    near = _apart(own, sets)
+    near = _apart(own, sets, own.count())
     more = sets.links(near, "last")
     if more.limit(1).count():
         labels = _merge(labels, more)
@@ -488,10 +491,10 @@ def join(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     documents = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     sizes, level = _count(documents)
-    labels = _labels(documents, sizes, level)
+    labels, rows = _labels(documents, sizes, level), sizes.count()
     first = sizes.where("doc_id is not null and node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
-    first = C.table(first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "first")
-    least = C.table(first.groupBy("label").agg(F.min("first").alias("least")), "least")
+    first = C.table(first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "first", rows)
+    least = C.table(first.groupBy("label").agg(F.min("first").alias("least")), "least", rows)
     found = first.join(least, "label").select(F.col("node").alias("of"), "least")
     out = sizes.join(found, F.col("node") == F.col("of"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"))
