@@ -235,7 +235,7 @@ def _search(column: pa.Array, items: _Items, directions: np.ndarray) -> Iterator
 
         for n, (which, vectors) in items.by.items():
             if len(grid) >= n:
-                step = max(256, (1 << 21) // len(which))  # windows at once: the more items, the fewer
+                step = min(1 << 13, max(256, (1 << 21) // len(which)))  # windows at once: the more items, the fewer
                 whole = np.flatnonzero(owner[: len(grid) - n + 1] == owner[n - 1 :])
                 for lo in range(0, len(whole), step):
                     part = whole[lo : lo + step]
