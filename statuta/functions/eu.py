@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: how prose names an EU act.
 REFERENCE = r"(?iu)(direktiv|forordning|beslutning)\s*(?:\([A-ZØÆÅ]{1,4}\)\s*)?(nr\.?\s*)?(\d{1,4})/(\d{1,4})"
 CONTEXT = 240
 

@@ -9,10 +9,11 @@ from statuta.functions import text
 
 from . import evals
 
-# Courses by legal area.
+# Courses and their legal areas.
 AREAS = {
-    "privatrett": "JUS1111 JUS1211 JUR1000 JUR2000 JUR3000 JUR4000", "statsforfatningsrett": "JUS2111", "forvaltningsrett": "JUS2211", "formuerett": "JUS3111 JUS3112 JUS3213",
-    "strafferett": "JUS3211 JUS3212 JUS4211 JUS4213", "rettshistorie": "JUS3220", "metode": "JUS4111", "rettsteori": "JUS4121 JUS4122 JUS4123",
+    "JUS1111": "privatrett", "JUS1211": "privatrett", "JUS2111": "statsforfatningsrett", "JUS2211": "forvaltningsrett", "JUS3111": "formuerett", "JUS3112": "formuerett",
+    "JUS3211": "strafferett", "JUS3212": "strafferett", "JUS3213": "formuerett", "JUS3220": "rettshistorie", "JUS4111": "metode", "JUS4121": "rettsteori", "JUS4122": "rettsteori",
+    "JUS4123": "rettsteori", "JUS4211": "strafferett", "JUS4213": "strafferett", "JUR1000": "privatrett", "JUR2000": "privatrett", "JUR3000": "privatrett", "JUR4000": "privatrett",
 }
 # What an item holds before anything is known of it.
 DEFAULTS = {"legal_area": "", "difficulty": "", "needs_curation": True, "answerable": False}
@@ -20,7 +21,7 @@ DEFAULTS = {"legal_area": "", "difficulty": "", "needs_curation": True, "answera
 
 def legal_area(course: Column) -> Column:
     """The area of a course; empty for one that isn't in the table."""
-    known = F.create_map(*(F.lit(x) for area, courses in AREAS.items() for c in courses.split() for x in (c, area)))
+    known = F.create_map(*(F.lit(x) for pair in AREAS.items() for x in pair))
     return F.coalesce(F.element_at(known, F.coalesce(course, F.lit(""))), F.lit(""))
 
 
