@@ -8,20 +8,23 @@ from pyspark.sql import functions as F
 from statuta.functions import urls
 
 MAX_PAGES = 500
+BROADCAST_PAGES = 10_000  # a crawl of so many pages at most goes to the links; of more, both are sorted
 LAW_COURSE = "/emner/jus/jus/"
 
 
 def visited(links: DataFrame, seeds: list[str], domain: str, marks: list[str], max_pages: int = MAX_PAGES) -> DataFrame:
     """url, place of the pages that a crawl visits, in its order: by depth, then by the place of the page that leads there and of the link
-    on it. links: page, position, href, text. The cap is the crawl's own, so what is ranked is never more than it and its links."""
+    on it. links: page, position, href, text. The cap is the crawl's own, so what is ranked is never more than it and its links. Links
+    never go to the driver, however small their files are."""
     spark = links.sparkSession
-    follow = links.where(urls.is_followable(F.col("href"), domain, marks))
+    follow = F.when(F.col("place") >= 0, urls.is_followable(F.col("href"), domain, marks))  # by place, so that no round tests the links of other pages
     new = spark.createDataFrame([(u, k) for k, u in enumerate(dict.fromkeys(seeds))], "url string, place int").limit(max_pages)
     seen, n = new, min(len(dict.fromkeys(seeds)), max_pages)
     written = spark.conf.get("spark.checkpoint.dir", None) is not None
+    how = "broadcast" if max_pages <= BROADCAST_PAGES else "merge"
     while n < max_pages:
-        step = follow.join(new.withColumnRenamed("url", "page"), "page").groupBy(F.col("href").alias("url")).agg(F.min(F.struct("place", "position")).alias("first"))
-        step = step.join(seen.select("url"), "url", "left_anti")
+        step = links.join(new.withColumnRenamed("url", "page").hint(how), "page").where(follow).groupBy(F.col("href").alias("url")).agg(F.min(F.struct("place", "position")).alias("first"))
+        step = step.join(seen.select("url").hint(how), "url", "left_anti")
         rank = F.row_number().over(Window.orderBy("first", "url")) + F.lit(n - 1)
         new = step.select("url", rank.alias("place")).where(F.col("place") < max_pages)
         new = new.checkpoint() if written else new

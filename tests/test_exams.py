@@ -55,3 +55,19 @@ def test_crawl(spark):
     docs = {r.url: tuple(r)[1:] for r in crawl.documents(links, every).collect()}
     assert docs == {f"{base}JUS2111/sensorveiledning-h20.pdf": ("JUS2111", "h20", "veiledning", "nb", page("JUS2111")), f"{base}JUS1111/eksamensoppgave-v21-nynorsk.pdf": ("JUS1111", "v21", "oppgave", "nn", page("JUS1111"))}
     assert [r.kind for r in crawl.documents(links, every, 1).collect()] == ["veiledning"]
+
+
+def test_crawl_broadcasts_no_links(spark, monkeypatch):
+    """Links by the hundred thousand come from small files; what goes to the driver are the pages of the crawl."""
+    frame = type(spark.range(0))
+    plans, checkpoint = [], frame.checkpoint
+    monkeypatch.setattr(frame, "checkpoint", lambda self, *a: (plans.append(self._jdf.queryExecution().sparkPlan().toString()), checkpoint(self, *a))[1])
+    base = "https://www.uio.no/emner/jus/"
+    links = spark.range(40_000).select(F.concat(F.lit(base), F.col("id").cast("string")).alias("page"), F.lit(0).alias("position"), F.concat(F.lit(base), (F.col("id") + 1).cast("string")).alias("href"), F.lit("").alias("text"))
+    monkeypatch.setattr(crawl, "BROADCAST_PAGES", 3, raising=False)
+    for most in (3, 4):
+        got = crawl.visited(links, [f"{base}39996"], "uio.no", ["/emner/jus/"], most).orderBy("place").collect()
+        assert [r.url for r in got] == [f"{base}{k}" for k in range(39_996, 40_001)][:most]
+    joins = [x for p in plans for x in p.splitlines() if "Join" in x]
+    assert any("BroadcastHashJoin" in x for x in joins) and any("SortMergeJoin" in x for x in joins)
+    assert not any("BuildLeft" in x for x in joins)  # the links stand on the left
