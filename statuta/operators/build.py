@@ -56,22 +56,40 @@ def paragraph_rows(docs: DataFrame) -> DataFrame:
     return p.select("*", F.concat("ref_id", F.lit("#"), "section_id").alias("key"), label.alias("label"), name.alias("name"), F.struct("doc_ord", "n").alias("place"))
 
 
+_AMENDMENT = ["target", "by", "date", "kind", "provision", "section", "summary", "source", "ord"]
+
+
+def _in_corpus(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.join(docs.select(F.col("ref_id").alias("target")).distinct(), "target", "left_semi").select(*_AMENDMENT)
+
+
+def _noted(p: DataFrame) -> DataFrame:
+    """Amendments noted in texts p (ref_id, content, provision, section, o) that name an act or a date."""
+    noted = p.withColumn("x", prep.note(F.col("content"))).where("x is not null").select("ref_id", "x.act", "x.date", "x.kind", "provision", "section", prep.note_text(F.col("content")), F.lit("body_note"), "o")
+    return noted.toDF(*_AMENDMENT).where("not (by = '' and date = '')")
+
+
+def _sections(docs: DataFrame) -> DataFrame:
+    return paragraph_rows(docs).select("ref_id", "content", F.col("label").alias("provision"), F.col("section_id").alias("section"), (F.col("doc_ord") * _STEP + _STEP // 2 + 1 + F.col("n")).alias("o"))
+
+
 def amendments(docs: DataFrame) -> DataFrame:
     """target, by, date, kind, provision, section, summary, source of every amendment kept: named by metadata, or noted in text.
 
     The act amended must be in the corpus, and a note must name an act or a date.
     """
-    columns = ["target", "by", "date", "kind", "provision", "section", "summary", "source", "ord"]
     empty = F.lit("")
     changed = docs.where("last_changed_by <> ''").select(F.col("ref_id"), F.col("last_changed_by"), F.coalesce(dates.canonical(F.col("last_change_in_force")), empty), F.lit("unknown"), empty, empty, empty, F.lit("metadata"), F.col("ord") * _STEP)
     amends = docs.select("ref_id", "ord", F.posexplode("amends").alias("n", "to")).select("to", "ref_id", empty, F.lit("unknown"), empty, empty, empty, F.lit("metadata"), F.col("ord") * _STEP + 1 + F.col("n"))
-    p = paragraph_rows(docs)
-    bodies = docs.select("ref_id", "content", empty.alias("provision"), empty.alias("section"), (F.col("ord") * _STEP + _STEP // 2).alias("o")).union(
-        p.select("ref_id", "content", "label", "section_id", (F.col("doc_ord") * _STEP + _STEP // 2 + 1 + F.col("n")).alias("o"))
-    )
-    noted = bodies.withColumn("x", prep.note(F.col("content"))).where("x is not null").select("ref_id", "x.act", "x.date", "x.kind", "provision", "section", prep.note_text(F.col("content")), F.lit("body_note"), "o")
-    rows = changed.toDF(*columns).union(amends.toDF(*columns)).union(noted.toDF(*columns)).where("not (source = 'body_note' and by = '' and date = '')")
-    return rows.join(docs.select(F.col("ref_id").alias("target")).distinct(), "target", "left_semi").select(*columns)
+    bodies = docs.select("ref_id", "content", empty.alias("provision"), empty.alias("section"), (F.col("ord") * _STEP + _STEP // 2).alias("o"))
+    return _in_corpus(changed.toDF(*_AMENDMENT).union(amends.toDF(*_AMENDMENT)).union(_noted(bodies.union(_sections(docs)))), docs)
+
+
+def versions(docs: DataFrame) -> DataFrame:
+    """The amendments with a section, which are those noted in paragraphs. They are not filtered from all amendments: there a section of
+    the rows of ``amends`` is a constant, and Spark's optimizer empties the input of that generator and loses its columns (an error at run time
+    unless the join happens to be broadcast)."""
+    return _in_corpus(_noted(_sections(docs)), docs)
 
 
 def works(docs: DataFrame) -> DataFrame:
@@ -81,6 +99,28 @@ def works(docs: DataFrame) -> DataFrame:
     return first.withColumn("c", prep.classify(F.col("slug"))).select("slug", F.coalesce(text.blank_null(F.col("name")), F.col("slug")).alias("name"), "c.*", "o")
 
 
+def _eu_records(docs: DataFrame, acts: DataFrame, concepts: DataFrame, retrieved_at: str) -> list[DataFrame]:
+    one = F.lit(0).cast("long")
+    act = acts.withColumn("ord", one)
+    directive = _properties(
+        name=F.coalesce(text.blank_null(F.col("short_title")), F.col("celex")), celex_id=F.col("celex"), full_title=F.col("full_title"), form=F.col("form"), date_of_document=dates.canonical(F.col("date_of_document")),
+        date_of_effect=dates.canonical(F.col("date_of_effect")), author=_list("author"), subject_matter=_list("subject_matter"), legal_basis=_list("legal_basis"), community=eu.community(F.col("celex")),
+        url_eur_lex=eu.eli_url(F.col("celex")), in_force=F.col("in_force"), content=F.col("content"), retrieved_at=F.lit(retrieved_at),
+    )
+    needed = acts.select(F.explode(F.concat(F.coalesce("cited", F.array().cast("array<string>")), F.coalesce("modified_by", F.array().cast("array<string>")))).alias("celex")).union(docs.select(F.explode("eu_body")))
+    stub = graph.stubs(needed.select(F.upper("celex").alias("celex")), acts, "celex").withColumn("ord", one)
+    stubs = _properties(name=F.col("celex"), celex_id=F.col("celex"), community=eu.community(F.col("celex")), url_eur_lex=eu.eli_url(F.col("celex")))
+    return [
+        _record(act, "EUDirective", F.concat(F.lit("eu_"), "celex"), 7, directive), _record(stub, "EUDirective", F.concat(F.lit("eu_"), "celex"), 8, stubs),
+        _record(concepts.withColumn("ord", one), "EuroVocConcept", F.concat(F.lit("eurovoc_"), "id"), 9, _properties(name=F.col("label"), eurovoc_id=F.col("id"), label_en=F.col("label"))),
+    ]
+
+
+def eu_objects(docs: DataFrame, acts: DataFrame, concepts: DataFrame, retrieved_at: str) -> DataFrame:
+    """The objects of EU acts, of those that are only named, and of concepts, whose keys no other object has; nothing else is built for them."""
+    return graph.dedupe_first(reduce(DataFrame.unionByName, _eu_records(docs, acts, concepts, retrieved_at)), ["key"], ["ord"])
+
+
 def objects(docs: DataFrame, acts: DataFrame, concepts: DataFrame, retrieved_at: str) -> DataFrame:
     """type, key, ord, properties of every object. docs as DOCUMENT, acts as EU_ACT, concepts: id, label."""
     one = F.lit(0).cast("long")
@@ -108,17 +148,8 @@ def objects(docs: DataFrame, acts: DataFrame, concepts: DataFrame, retrieved_at:
         name=label, keep_amended_by_ref_id=F.col("by"), amendment_date=F.col("date"), amendment_type=F.col("kind"), target_provision_ref=F.col("provision"), target_law_ref_id=F.col("target"),
         change_summary=F.col("summary"), source=F.col("source"),
     )
-    v = a.where("section <> ''")
+    v = versions(docs)
     version = _properties(name=F.concat("provision", F.lit(" – "), "target"), paragraph_ref=F.concat("target", F.lit("#"), "section"), paragraph_section_id=F.col("section"), valid_from=F.col("date"), status=F.lit("current"), parent_law_ref_id=F.col("target"))
-    act = acts.withColumn("ord", one)
-    directive = _properties(
-        name=F.coalesce(text.blank_null(F.col("short_title")), F.col("celex")), celex_id=F.col("celex"), full_title=F.col("full_title"), form=F.col("form"), date_of_document=dates.canonical(F.col("date_of_document")),
-        date_of_effect=dates.canonical(F.col("date_of_effect")), author=_list("author"), subject_matter=_list("subject_matter"), legal_basis=_list("legal_basis"), community=eu.community(F.col("celex")),
-        url_eur_lex=eu.eli_url(F.col("celex")), in_force=F.col("in_force"), content=F.col("content"), retrieved_at=F.lit(retrieved_at),
-    )
-    needed = acts.select(F.explode(F.concat(F.coalesce("cited", F.array().cast("array<string>")), F.coalesce("modified_by", F.array().cast("array<string>")))).alias("celex")).union(docs.select(F.explode("eu_body")))
-    stub = graph.stubs(needed.select(F.upper("celex").alias("celex")), acts, "celex").withColumn("ord", one)
-    stubs = _properties(name=F.col("celex"), celex_id=F.col("celex"), community=eu.community(F.col("celex")), url_eur_lex=eu.eli_url(F.col("celex")))
     w = works(docs).withColumn("ord", one)
     work = _properties(name=F.col("name"), ref_id=F.col("slug"), prep_type=F.col("type"), session=F.col("session"), document_number=F.col("number"), year=F.col("year"), source=F.lit("lovdata-ref"), source_url=F.concat(F.lit(WORK_URL), "slug"), content_available=F.lit(False))
     parts = [
@@ -126,8 +157,7 @@ def objects(docs: DataFrame, acts: DataFrame, concepts: DataFrame, retrieved_at:
         _record(docs, F.initcap("doc_type"), F.col("ref_id"), 3, laws), _record(p, "LegalParagraph", F.col("key"), 4, paragraph),
         _record(a, "Amendment", graph.amendment_key(F.col("target"), F.col("by"), F.col("provision"), F.col("source")), 5, amendment),
         _record(v, "ProvisionVersion", F.concat(F.lit("ver_"), text.key_part(F.col("target")), F.lit("_"), text.key_part(F.col("section"))), 6, version),
-        _record(act, "EUDirective", F.concat(F.lit("eu_"), "celex"), 7, directive), _record(stub, "EUDirective", F.concat(F.lit("eu_"), "celex"), 8, stubs),
-        _record(concepts.withColumn("ord", one), "EuroVocConcept", F.concat(F.lit("eurovoc_"), "id"), 9, _properties(name=F.col("label"), eurovoc_id=F.col("id"), label_en=F.col("label"))),
+        *_eu_records(docs, acts, concepts, retrieved_at),
         _record(w, "PreparatoryWork", F.concat(F.lit("forarbeid/"), "slug"), 10, work),
     ]
     return graph.dedupe_first(reduce(DataFrame.unionByName, parts), ["key"], ["ord"])
@@ -161,7 +191,7 @@ def relationships(docs: DataFrame, acts: DataFrame, keys: DataFrame) -> DataFram
         _edge(exploded("eu_body"), "CITES_EU_LAW", ref, prefixed("eu_"), cited("eu_body_meta", cites)),
         _edge(docs.where("last_changed_by <> ''"), "AMENDED_BY", ref, F.col("last_changed_by"), _properties(effective_date=F.col("last_change_in_force"))),
         _edge(a, "HAS_AMENDMENT", F.col("target"), graph.amendment_key(F.col("target"), F.col("by"), F.col("provision"), F.col("source"))),
-        _edge(a.where("section <> ''"), "HAS_VERSION", F.col("target"), F.concat(F.lit("ver_"), text.key_part(F.col("target")), F.lit("_"), text.key_part(F.col("section")))),
+        _edge(versions(docs), "HAS_VERSION", F.col("target"), F.concat(F.lit("ver_"), text.key_part(F.col("target")), F.lit("_"), text.key_part(F.col("section")))),
         _edge(pairs, "HAS_LANGUAGE_VARIANT", ref, F.col("ref2"), _properties(source_language=F.col("language"), target_language=F.col("language2"))),
         chain("EU_CITES", "cited", "eu_"), chain("EU_MODIFIED_BY", "modified_by", "eu_"), chain("HAS_EUROVOC_DESCRIPTOR", "eurovoc", "eurovoc_"),
     ]

@@ -61,7 +61,7 @@ def built_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def built_eu_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """EU acts, stubs of those that are only named, and concepts, one by one."""
-    objects, _ = _records(spark, sf_dir)
+    objects = build.eu_objects(_documents(spark, sf_dir), *_eu(spark, sf_dir), "2024-07-08")
     p = F.col("properties")
     return objects.where("key like 'eu%'").select("type", "key", p["name"].alias("name"), p["community"].alias("community"), p["in_force"].alias("in_force"))
 

@@ -66,3 +66,15 @@ def test_manifest_and_derivation(spark, corpus):
     assert [tuple(r) for r in build.derived_from(works).collect()] == [("a", "b")]
     rows = build.current(spark.createDataFrame([("k", 1), ("k", 2)], "k string, v int"), "k", "v")
     assert [(r.v, r.is_current) for r in rows.orderBy(F.col("v")).collect()] == [(1, False), (2, True)]
+
+
+def test_no_plan_lacks_columns(spark):
+    """A generator of a column that all documents lack loses no columns of its input, which fails where tables are too large to broadcast."""
+    from statuta.plans import records
+
+    sf = "/root/testdata/sf0.001"
+    docs, (acts, concepts) = records._documents(spark, sf), records._eu(spark, sf)
+    eu = build.objects(docs, acts, concepts, "2024-07-08").where("key like 'eu%'")
+    versions = build.relationships(docs, acts, docs.select(F.col("ref_id").alias("key"))).where("type = 'HAS_VERSION'")
+    for d in (eu, versions, records.built_eu_objects(spark, sf)):
+        assert not any(x.lstrip(" :+-").startswith("!") for x in d._jdf.queryExecution().optimizedPlan().toString().splitlines())
