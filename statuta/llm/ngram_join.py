@@ -17,7 +17,9 @@ A node is a distinct set, named by a 64-bit hash of it, as shingles are by 60 bi
    give each of them another leader, which joins what one leader's set was too far from.
 5. What is still apart is checked in full: of the nodes of each such shingle, those outside its largest component are held
    against all that lie in another component, sign by sign, in blocks of ``SIGNS`` and inside a task, so that only pairs that a
-   sign doesn't exclude exist as rows; these walk trees as before. Shingles that the same nodes share stand for one.
+   sign doesn't exclude exist as rows; these walk trees as before. Shingles that the same nodes share stand for one. Where signs
+   exclude so few that a block's pairs outnumber its rows, the block is crowded: its texts are fetched, once for each row, and all its
+   probes walk the tree of all that it stores. Of links only those that join two groups of a block leave a task.
 
 So no link between different components is lost, exact and near copies of one text cost a few checks each rather than one
 each pair, and there is no cap on partners or candidates. Of a node's documents only the one of smallest doc_id is fetched.
@@ -45,6 +47,7 @@ TOKEN_BITS, LEVELS = 60, 8
 SKETCH = 22
 SKETCH_BLOCK = 1 << 16
 BLOCK, SIGNS = 64, 512
+CROWDED = 512
 BITS = 4
 ROUNDS = 2
 MARKS = 24
@@ -278,22 +281,34 @@ class PrefixTree:
 
 
 def _verify(level: np.ndarray):
-    """Links (probe, stored) among rows sorted by unit, block and kind: a block's stored texts fill a tree, then its probes walk it."""
+    """Links (probe, stored) among rows sorted by unit, block and kind: a block's stored texts fill a tree, then its probes walk it.
+
+    Only links that join groups which the block's links before have not: fewer than it has groups, with the same components.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, nodes, sets, tree, hits = None, [], [], None, []
+        key, nodes, sets, tree, hits, up = None, [], [], None, [], {}
+
+        def root(x: int) -> int:
+            while (y := up.get(x, x)) != x:
+                up[x] = x = up.get(y, y)
+            return x
+
         for b in batches:
-            units, blocks, probe, node = (b.column(k).to_pylist() for k in range(4))
-            for k, s in shingle_sets(b.column(4)):
+            units, blocks, probe, node, group = (b.column(k).to_pylist() for k in range(5))
+            for k, s in shingle_sets(b.column(5)):
                 s = ordered(s, level)
                 if (here := (units[k], blocks[k])) != key:
-                    key, nodes, sets, tree = here, [], [], None
+                    key, nodes, sets, tree, up = here, [], [], None, {}
                 if not probe[k]:
-                    nodes.append(node[k])
+                    nodes.append((node[k], group[k]))
                     sets.append(s)
                 elif sets:
                     tree = tree or PrefixTree(sets)
-                    hits += [(node[k], x) for x in sorted({nodes[j] for j in tree.walk(s)} - {node[k]})]
+                    for other, of in sorted({nodes[j] for j in tree.walk(s)}):
+                        if (x := root(of)) != (y := root(group[k])):
+                            up[x] = y
+                            hits.append((node[k], other))
                     if len(hits) >= 50_000:
                         yield _pairs(hits)
         yield _pairs(hits)
@@ -308,9 +323,18 @@ def _pairs(hits: list[tuple[int, int]]) -> pa.RecordBatch:
     return made
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (probe, stored) of different groups whose signs don't exclude a link, among rows sorted by unit, block and kind."""
-    key, stored, by, hits = None, [], {}, []
+def _compare(batches: Iterator[pa.RecordBatch], most: int = CROWDED) -> Iterator[pa.RecordBatch]:
+    """Pairs (probe, stored) of different groups whose signs don't exclude a link, among rows sorted by unit, block and kind.
+
+    A block with more than ``most`` pairs and more pairs than rows is given as (unit, block), for a look at all its texts, and no more pairs.
+    """
+    key, stored, by, hits, crowded, rows, made = None, [], {}, [], [], 0, 0
+
+    def out() -> pa.RecordBatch:
+        pairs = [(*h, None, None) for h in hits] + [(None, None, *c) for c in crowded]
+        hits.clear()
+        crowded.clear()
+        return pa.record_batch([pa.array([p[k] for p in pairs], pa.int32() if k == 3 else pa.int64()) for k in range(4)], names=["a", "b", "unit", "block"])
 
     def look(node: int, group: int, n: int, sign: np.ndarray) -> None:
         for words, (nodes, groups, sizes, signs) in by.items():
@@ -323,7 +347,10 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, raw in enumerate(b.column(6)):
             sign = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
             if (here := (units[k], blocks[k])) != key:
-                key, stored, by = here, [], {}
+                key, stored, by, rows, made = here, [], {}, 0, 0
+            rows += 1
+            if made is None:  # crowded
+                continue
             if not probe[k]:
                 stored.append((len(sign), node[k], group[k], n[k], sign))
                 continue
@@ -332,10 +359,15 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     mine = [x for x in stored if x[0] == words]
                     by[words] = (*(np.array([x[c] for x in mine]) for c in (1, 2, 3)), np.stack([x[4] for x in mine]))
                 stored = []
+            before = len(hits)
             look(node[k], group[k], n[k], sign)
+            made += len(hits) - before
+            if made > max(rows, most):
+                crowded.append(key)
+                made = None
             if len(hits) >= 50_000:
-                yield _pairs(hits)
-    yield _pairs(hits)
+                yield out()
+    yield out()
     C.trim()
 
 
@@ -368,29 +400,44 @@ class _Sets:
 
         return self.documents.select(mark.alias("m"), "text").mapInArrow(run, "node long, text string")
 
-    def near(self, stored: DataFrame, probes: DataFrame, units: int) -> DataFrame:
-        """a, b: probes and what is stored in the same unit and another group (unit, node, group), if signs don't exclude a link; units: at
-        most so many."""
-        rows = _dealt(stored, probes, SIGNS, units).join(self.signs.drop("doc_id"), "node").select("unit", "block", "probe", "node", "group", "n", "sign")
-        return _met(rows).mapInArrow(_compare, "a long, b long")
-
-    def links(self, near: DataFrame, name: str) -> DataFrame:
-        """The links among pairs (a, b), as a table of such."""
+    def near(self, stored: DataFrame, probes: DataFrame, units: int, name: str) -> tuple[DataFrame, DataFrame | None]:
+        """a, b: probes and what is stored in the same unit and another group (unit, node, group), if signs don't exclude a link, and the
+        links of blocks that are too crowded for pairs; units: at most so many."""
+        dealt = _dealt(stored, probes, SIGNS, units)
+        rows = dealt.join(self.signs.drop("doc_id"), "node").select("unit", "block", "probe", "node", "group", "n", "sign")
+        most = CROWDED
+        found = C.table(_met(rows).mapInArrow(lambda batches: _compare(batches, most), "a long, b long, unit long, block int"), f"{name}-compared")
+        crowded, links = found.where("unit is not null").select("unit", "block").distinct(), None
+        if crowded.limit(1).count():
+            here = C.table(dealt.join(crowded, ["unit", "block"], "left_semi"), f"{name}-crowded")
+            links = self._walked(here, f"{name}-crowded-links")
+            C.drop(here)
+        return found.where("unit is null").select("a", "b"), links
+
+    def _walked(self, rows: DataFrame, name: str) -> DataFrame:
+        """The links of rows (unit, block, probe, node, group), as a table."""
+        texts = self.texts(rows.select("node").distinct())
+        rows = rows.join(texts, "node").select("unit", "block", "probe", "node", "group", "text")
+        return C.table(_met(rows).mapInArrow(_verify(self.level), "a long, b long"), name)
+
+    def links(self, near: DataFrame, more: DataFrame | None, name: str) -> DataFrame:
+        """The links among pairs (a, b), as a table of such, and more links."""
         near = C.table(near, f"{name}-near")
         pair = [F.col(c).alias("node") for c in "ab"]
         sides = near.select(F.col("a").alias("unit"), pair[1]), near.select(F.col("a").alias("unit"), pair[0]).distinct()
-        rows = _dealt(*(x.withColumn("group", F.col("node")) for x in sides), BLOCK, near.count())
-        texts = self.texts(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        rows = rows.join(texts, "node").select("unit", "block", "probe", "node", "text")
-        found = C.table(_met(rows).mapInArrow(_verify(self.level), "a long, b long"), f"{name}-links")
+        found = self._walked(_dealt(*(x.withColumn("group", F.col("node")) for x in sides), BLOCK, near.count()), f"{name}-links")
         C.drop(near)
-        return found
+        if more is None:
+            return found
+        both = C.table(found.union(more), f"{name}-all-links")
+        C.drop(found, more)
+        return both
 
     def by_leader(self, pairs: DataFrame, name: str, rows: int) -> DataFrame:
         """The links among at most so many pairs (leader, node): a leader walks its candidates."""
         pairs = C.table(pairs, f"{name}-pairs", rows)
         sides = [pairs.select(F.col("leader").alias("unit"), F.col(c).alias("node"), F.col(c).alias("group")) for c in ("node", "leader")]
-        links = self.links(self.near(sides[0], sides[1].distinct(), rows), name)
+        links = self.links(*self.near(sides[0], sides[1].distinct(), rows, name), name)
         C.drop(pairs)
         return links
 
@@ -438,17 +485,18 @@ def _regroup(own: DataFrame, labels: DataFrame) -> DataFrame:
     return own.join(new, "node", "left").withColumn("group", F.coalesce("new", "group")).select("token", "node", "n", "central", "group")
 
 
-def _apart(own: DataFrame, sets: _Sets, rows: int) -> DataFrame:
-    """a, b: all pairs of nodes in different groups that share a prefix shingle and that their signs don't exclude. own: of at most so many
-    rows."""
+def _apart(own: DataFrame, sets: _Sets, rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """a, b: all pairs of nodes in different groups that share a prefix shingle and that their signs don't exclude, and the links of crowded
+    blocks. own: of at most so many rows."""
     hashes = [F.sum(F.xxhash64(F.lit(k), "node").cast("decimal(20,0)")).alias(f"sum{k}") for k in range(2)]
     units = own.groupBy("token").agg(*hashes).select("token", F.xxhash64("sum0", "sum1").alias("unit"))  # equal for shingles of the same nodes
     met = C.table(own.join(units, "token").select("unit", "node", "group").distinct(), "units", rows)
     largest = C.table(met.groupBy("unit", "group").agg(F.count("*").alias("size")).groupBy("unit").agg(F.max_by("group", F.struct("size", "group")).alias("most")), "largest", rows)
     others = met.join(largest, "unit").where("group <> most").select("unit", "node", "group")
-    found = C.table(sets.near(met, others, rows).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "apart")
+    near, links = sets.near(met, others, rows, "apart")
+    found = C.table(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "apart")
     C.drop(met, largest)
-    return found
+    return found, links
 
 
 def _labels(documents: DataFrame, sizes: DataFrame, level: np.ndarray) -> DataFrame:
@@ -479,8 +527,8 @@ def _labels(documents: DataFrame, sizes: DataFrame, level: np.ndarray) -> DataFr
         new = _mixed(_regroup(own, labels), n)
         C.drop(own, links)
         own = new
-    near = _apart(own, sets, own.count())
-    more = sets.links(near, "last")
+    near, crowded = _apart(own, sets, own.count())
+    more = sets.links(near, crowded, "last")
     if more.limit(1).count():
         labels = _merge(labels, more)
     C.drop(own, near, more, sets.signs)

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from statuta.llm import ngram_join as J
@@ -126,3 +127,27 @@ def test_keep_first_and_empty(spark):
     want = brute(made)
     assert sorted(r.doc_id for r in J.keep_first(docs).collect()) == sorted(i for i, (_, c) in want.items() if i == c)
     assert J.join(docs.where("false")).count() == 0 and J.keep_first(docs.where("false")).columns == docs.columns
+
+
+def test_crowded_blocks(spark, monkeypatch):
+    """Many texts around the bound: pairs that signs don't exclude don't grow with the square, and no link is lost."""
+    monkeypatch.setattr(J, "CROWDED", 0)
+    monkeypatch.setattr(J, "ROUNDS", 0)
+    rng, made = random.Random(9), []
+    base = text(rng, 14).split()
+    for k in range(110):
+        w = list(base)
+        for at in rng.sample(range(len(w)), 1 + k % 3):
+            w[at] = f"w{rng.randrange(10**9)}"
+        made.append((k, " ".join(w)))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in J.join(documents(spark, made)).collect()} == brute(made)
+
+
+def test_pairs_of_a_block_do_not_grow_with_the_square():
+    signs = [J.sign_of(np.arange(50, dtype=np.uint64))] * 400
+    rows = pa.record_batch(
+        [pa.array([7] * 800, pa.int64()), pa.array([0] * 800, pa.int32()), pa.array([False] * 400 + [True] * 400), pa.array([*range(400)] * 2, pa.int64()), pa.array([*range(400)] * 2, pa.int64()), pa.array([50] * 800, pa.int64()), pa.array(signs * 2, pa.binary())],
+        names=["unit", "block", "probe", "node", "group", "n", "sign"],
+    )
+    out = [r for b in J._compare(iter([rows])) for r in b.to_pylist()]
+    assert len(out) < 2000 and [(r["unit"], r["block"]) for r in out if r["unit"] is not None] == [(7, 0)]
