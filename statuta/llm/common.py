@@ -186,23 +186,23 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)), at
 
 
-def hashed(column: pa.Array, head: int = 0, split: bool = False) -> Iterator[tuple]:
+def hashed(column: pa.Array, head: int = 0, split: bool = False, piece: int = PIECE) -> Iterator[tuple]:
     """(first row, row after the last, word hashes, offsets of the rows in them), in pieces of some 0.5 MB of text.
 
-    head, split: as in hash_words; hashes of heads come last.
+    head, split: as in hash_words; hashes of heads come last. piece: so many bytes of text instead.
     """
     raw, at = text_buffer(column)
     row, rows = 0, len(at) - 1
     while row < rows:
-        to = max(row + 1, int(np.searchsorted(at, at[row] + PIECE, side="right")) - 1)
+        to = max(row + 1, int(np.searchsorted(at, at[row] + piece, side="right")) - 1)
         lo, hi = int(at[row]), int(at[to])
-        if hi - lo <= PIECE:
+        if hi - lo <= piece:
             h, starts, *heads = hash_words(raw[lo:hi], at[row:to] - lo, head, split)
             yield row, to, h, np.searchsorted(starts, at[row : to + 1] - lo), *heads
         else:  # one long text, cut where white space is
             found, cut = [], lo
             while cut < hi:
-                end = min(hi, cut + PIECE)
+                end = min(hi, cut + piece)
                 while end < hi:
                     gap = np.flatnonzero(_SPACE[raw[end : end + 4096]])
                     if len(gap):

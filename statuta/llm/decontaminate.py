@@ -8,12 +8,13 @@
    the last, so that what a whole language shares doesn't decide; and ``RESIDUAL`` coordinates G' (I - V V') a with Gaussian G,
    for the words that no leading direction holds, by which paraphrases of rare words are told apart. (Latent coordinates alone
    found 97 % of planted paraphrases with 40 times the candidates; both together find all, see tests/llm.) Coordinates are sums
-   over a text's words, so those of any window follow from sums of steps.
+   over a text's words, so those of any window follow from sums of steps; windows of equal words have equal sums wherever they stand.
 3. Candidates: for each benchmark item, every window of documents, ``STEP`` words apart and just long enough for the item
    at any place, whose cosine with the item is ``COSINE`` or more.
 4. A candidate is a leak if the longest common subsequence of words has ``COPY`` of the item's words; or ``PARAPHRASE`` of them
    and ``ANSWER`` of its answer's, the words of its last sentence (of its last third if it has one sentence). An item of
-   fewer than ``SHORT`` words must occur word by word.
+   fewer than ``SHORT`` words must occur word by word. Before, a count of the item's words in the window, never below what they
+   share, leaves out the candidates that can't be leaks, many at a time.
 
 Items are searched in blocks of ``ITEMS``, so a benchmark of any size has bounded memory; documents are never shuffled.
 
@@ -41,6 +42,7 @@ COSINE = 0.35
 COPY, PARAPHRASE, ANSWER, SHORT = 0.8, 0.6, 0.8, 8
 ITEMS = 4096
 MERGED, SLICE = 16, 1 << 11
+PIECE, RUN, CHUNK, COLUMNS = 1 << 17, 32, 512, 1 << 12
 SEED = 11
 
 
@@ -73,13 +75,27 @@ def _gather(vectors: np.ndarray, grid: np.ndarray) -> np.ndarray:
     return out
 
 
+def _run_sums(vectors: np.ndarray, which: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of vectors[which[start : start + count]] of each run; all runs of so many or more take their k-th row at once."""
+    order = np.argsort(-counts, kind="stable")
+    starts, counts = starts[order], counts[order]
+    out = vectors.take(which[starts], axis=0)
+    more = np.empty_like(out)
+    for k in range(1, int(counts[0]) if len(counts) else 0):
+        n = int(np.searchsorted(-counts, -k, side="left"))
+        out[:n] += vectors.take(which[starts[:n] + k], axis=0, out=more[:n], mode="clip")
+    back = more  # its rows aren't needed any more
+    back[order] = out
+    return back
+
+
 def _frequencies(documents: DataFrame) -> tuple[np.ndarray, int]:
     """In how many passages each feature occurs, and the number of passages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << (BITS + 1), dtype=np.int64)  # the first cell of the second half counts passages
         for b in batches:
-            for _, _, h, at in C.hashed(b.column(0)):
+            for _, _, h, at in C.hashed(b.column(0), piece=PIECE):
                 begins, to = _cuts(at, PASSAGE)
                 owner = np.repeat(np.arange(to[-1]), np.diff(np.append(begins, len(h))))
                 keys = np.sort((owner << BITS) | _features(h))
@@ -99,8 +115,9 @@ def _add_products(total: np.ndarray, grid: np.ndarray, y: np.ndarray) -> None:
         flat = grid[lo : lo + 1024].astype(np.uint16).ravel()
         order = np.argsort(flat, kind="stable")
         flat = flat[order]
-        starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-        total[flat[starts]] += np.add.reduceat(y[lo + order // grid.shape[1]], starts, axis=0)
+        begins, to = _cuts(np.append(np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])), len(flat)), RUN)
+        sums = _run_sums(y, lo + order // grid.shape[1], begins, np.diff(np.append(begins, len(flat))))
+        total[flat[begins[to[:-1]]]] += _run_sums(sums, np.arange(len(sums)), to[:-1], np.diff(to))
 
 
 def svd_of_sketch(gram: np.ndarray, product: np.ndarray, rank: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +148,7 @@ def _directions(documents: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram, product = np.zeros((WIDE, WIDE)), np.zeros(((1 << BITS) + 1, WIDE), dtype=np.float32)
         for b in batches:
-            for _, _, h, at in C.hashed(b.column(0)):
+            for _, _, h, at in C.hashed(b.column(0), piece=PIECE):
                 grid, _ = _grid(_features(h), at, PASSAGE)
                 if len(grid):
                     length = (np.sqrt(squared[grid].sum(axis=1)) + np.float32(1e-6))[:, None]
@@ -175,6 +192,11 @@ def _lcs(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
+def _columns(h: np.ndarray) -> np.ndarray:
+    """Where words are counted: words that share a column only make a count of shared words larger."""
+    return _features(h) & (COLUMNS - 1)
+
+
 def _answer(text: str, words: int) -> int:
     """How many of an item's words are its answer."""
     last = [s for s in re.split(r"(?<=[.!?])\s+", text.strip()) if s.split()][-1:]
@@ -197,12 +219,20 @@ class _Items:
                     self.words.append(h.tolist())
                     self.counts.append(Counter(self.words[-1]))
                     self.answers.append(_answer(text, len(h)))
+        self.needs = np.array([self._need(len(a)) for a in self.words])
+        self.weights = np.zeros((len(self.ids), COLUMNS), dtype=np.min_scalar_type(max((len(a) for a in self.words), default=0)))
+        for k, c in enumerate(self.counts):
+            np.add.at(self.weights[k], _columns(np.array(list(c), dtype=np.uint64)), np.array(list(c.values()), dtype=self.weights.dtype))
         self.by = {n: (np.array([k for k, _ in x]), np.array([v / (np.linalg.norm(v) + 1e-12) for _, v in x], dtype=np.float32)) for n, x in by.items()}
 
+    @staticmethod
+    def _need(words: int) -> float:
+        return words if words < SHORT else PARAPHRASE * words
+
     def leak(self, k: int, window: list[int]) -> tuple[int, float] | None:
         """LCS and share of the answer if the window holds item k."""
         a, counts = self.words[k], self.counts[k]
-        need = len(a) if len(a) < SHORT else PARAPHRASE * len(a)
+        need = self._need(len(a))
         if sum(map(counts.__getitem__, counts.keys() & set(window))) < need or (n := _lcs(a, window)) < need:
             return None
         if len(a) < SHORT and not any(window[i : i + len(a)] == a for i in range(len(window))):
@@ -212,37 +242,95 @@ class _Items:
         return (n, share) if n >= COPY * len(a) or share >= ANSWER else None
 
 
+def _window_sums(steps: np.ndarray, widths: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """(n, sums of n steps from each step on) for each of the widths, from sums of 1, 2, 4, ... steps: equal steps, equal sums."""
+    doubled = [steps]
+    for n in widths:
+        if n > len(steps):
+            continue
+        while 2 << (len(doubled) - 1) <= n:
+            last, k = doubled[-1], 1 << (len(doubled) - 1)
+            doubled.append(last[:-k] + last[k:])
+        k = n.bit_length() - 1
+        out, done = doubled[k][: len(steps) - n + 1], 1 << k
+        for k in range(k - 1, -1, -1):
+            if n >> k & 1:
+                out = out + doubled[k][done : done + len(steps) - n + 1]
+                done += 1 << k
+        yield n, out
+
+
+def _where(values: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Flat places of the values that are at least those of their rows; few are, so eight at a time are passed over."""
+    hits = np.zeros(-(-values.size // 8) * 8, dtype=bool)
+    np.greater_equal(values, least[:, None], out=hits[: values.size].reshape(values.shape))
+    eights = np.flatnonzero(hits.view(np.uint64) != 0)
+    k, bit = np.nonzero(hits.reshape(-1, 8)[eights])
+    return eights[k] * 8 + bit
+
+
 def _search(column: pa.Array, items: _Items, directions: np.ndarray) -> Iterator[tuple[int, int, float, int, float]]:
     """(row, item, cosine, LCS, share of the answer) of the best window of each row and item that leak."""
-    for row, _, h, at in C.hashed(column):
+    widths = sorted(items.by)
+    for row, _, h, at in C.hashed(column, piece=PIECE):
         grid, to = _grid(_features(h), at, STEP)
-        if not len(grid):
+        if not len(grid) or not widths:
             continue
         owner = np.repeat(np.arange(len(to) - 1), np.diff(to))
-        total = np.zeros((len(grid) + 1, directions.shape[1]), dtype=np.float32)
-        np.cumsum(_gather(directions, grid), axis=0, out=total[1:])
+        columns = _columns(h)
+        order = np.argsort(columns.astype(np.uint16), kind="stable")
+        before = np.full(len(h), -1)  # the last word of the same column
+        before[order[1:]] = np.where(columns[order[1:]] == columns[order[:-1]], order[:-1], -1)
         best: dict[tuple[int, int], tuple] = {}
-
-        def look(v: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: np.ndarray, vectors: np.ndarray) -> None:
-            near = (v / (np.sqrt(np.einsum("ij,ij->i", v, v)) + 1e-12)[:, None]) @ vectors.T
-            for w, k in zip(*(x.tolist() for x in np.nonzero(near >= COSINE)), strict=True):
-                r = int(owner[starts[w]])
-                first = int(at[r] + (starts[w] - to[r]) * STEP)
-                window = h[first : min(int(at[r + 1]), first + int(ends[w] - starts[w]) * STEP)].tolist()
-                if found := items.leak(which[k], window):
-                    value = (found[0], float(near[w, k]), found[1])
-                    best[r, int(which[k])] = max(best.get((r, int(which[k])), value), value)
-
-        for n, (which, vectors) in items.by.items():
-            if len(grid) >= n:
-                step = min(1 << 13, max(256, (1 << 21) // len(which)))  # windows at once: the more items, the fewer
-                whole = np.flatnonzero(owner[: len(grid) - n + 1] == owner[n - 1 :])
-                for lo in range(0, len(whole), step):
-                    part = whole[lo : lo + step]
-                    look(total[part + n] - total[part], part, part + n, which, vectors)
-            short = np.flatnonzero((np.diff(to) < n) & (np.diff(to) > 0))
-            if len(short):
-                look(total[to[short + 1]] - total[to[short]], to[short], to[short + 1], which, vectors)
+        near: dict[int, list[tuple]] = defaultdict(list)
+
+        def check(n: int) -> None:
+            """Compares the words of windows of n steps and of items that are near; first by a count of what they may share."""
+            if not (parts := near.pop(n, [])):
+                return
+            r, first, k, cosine = (np.concatenate(x) for x in zip(*parts, strict=True))
+            last = np.minimum(at[r + 1], first + n * STEP)
+            many = max(1, (1 << 16) // (n * STEP))
+            for lo in range(0, len(r), many):
+                begin, end, which = first[lo : lo + many, None], last[lo : lo + many, None], k[lo : lo + many]
+                places = begin + np.arange(n * STEP)
+                new = places < end
+                np.minimum(places, len(h) - 1, out=places)
+                new &= before[places] < begin
+                shared = (items.weights[which[:, None], columns[places]] * new).sum(axis=1)
+                for i in (lo + np.flatnonzero(shared >= items.needs[which])).tolist():
+                    if found := items.leak(k[i], h[first[i] : last[i]].tolist()):
+                        value, key = (found[0], float(cosine[i]), found[1]), (int(r[i]), int(k[i]))
+                        best[key] = max(best.get(key, value), value)
+
+        def look(n: int, v: np.ndarray, r: np.ndarray, first: np.ndarray, held: np.ndarray | None = None) -> None:
+            which, vectors = items.by[n]
+            for lo in range(0, len(v), step := max(64, (1 << 21) // len(which))):  # windows at once: the more items, the fewer
+                part = v[lo : lo + step]
+                product, length = part @ vectors.T, np.sqrt(np.einsum("ij,ij->i", part, part)) + np.float32(1e-12)
+                least = np.float32(COSINE) * length
+                if held is not None:
+                    least[~held[lo : lo + step]] = np.inf
+                if len(found := _where(product, least)):
+                    w, k = np.divmod(found, len(which))
+                    near[n].append((r[lo + w], first[lo + w], which[k], product[w, k] / length[w]))
+                    if sum(len(x[0]) for x in near[n]) >= 1 << 14:
+                        check(n)
+
+        chunk = max(CHUNK, 4 * widths[-1])
+        for lo in range(0, len(grid), chunk):
+            r = owner[lo : lo + chunk]
+            first = at[r] + (np.arange(lo, lo + len(r)) - to[r]) * STEP
+            for n, v in _window_sums(_gather(directions, grid[lo : lo + chunk + widths[-1] - 1]), widths):
+                m = min(len(r), len(v))
+                look(n, v[:m], r[:m], first[:m], r[:m] == owner[lo + n - 1 : lo + n - 1 + m])
+        short = np.flatnonzero((np.diff(to) < widths[-1]) & (np.diff(to) > 0))  # in no window of some width
+        whole = _run_sums(directions, _features(h), at[short], np.diff(at)[short])
+        for n in widths:
+            if len(rows := np.flatnonzero(np.diff(to)[short] < n)):
+                look(n, whole[rows], short[rows], at[short[rows]])
+        for n in widths:
+            check(n)
         for (r, k), (n, cosine, share) in sorted(best.items()):
             yield row + r, k, cosine, n, share
 

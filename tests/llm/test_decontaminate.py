@@ -127,3 +127,63 @@ def test_empty_tables(planted):
     docs, items, _ = planted
     assert D.leaks(docs.where("false"), items).count() == 0 and D.leaks(docs, items.where("false")).count() == 0
     assert D.clean(docs, items.where("false")).count() == docs.count()
+
+
+def test_run_sums():
+    rng = np.random.default_rng(3)
+    vectors, which = rng.integers(0, 9, (50, 4)).astype(np.float32), rng.integers(0, 50, 400)
+    counts = np.array([1, 7, 1, 90, 33, 2])
+    starts = np.array([5, 0, 399, 300, 40, 11])
+    got = D._run_sums(vectors, which, starts, counts)
+    assert np.array_equal(got, [vectors[which[s : s + n]].sum(axis=0) for s, n in zip(starts, counts)])
+    assert D._run_sums(vectors, which, starts[:0], counts[:0]).shape == (0, 4)
+
+
+def test_products_equal_dense_ones():
+    rng = np.random.default_rng(4)
+    grid, y = np.minimum(rng.geometric(0.02, (1500, D.PASSAGE)), 1 << D.BITS), rng.integers(-4, 5, (1500, 3)).astype(np.float32)
+    got, true = np.zeros(((1 << D.BITS) + 1, 3), np.float32), np.zeros(((1 << D.BITS) + 1, 3), np.float32)
+    D._add_products(got, grid, y)
+    np.add.at(true, grid.ravel(), np.repeat(y, D.PASSAGE, axis=0))
+    assert np.array_equal(got, true)
+
+
+def test_window_sums():
+    steps = np.random.default_rng(5).integers(0, 9, (40, 3)).astype(np.float32)
+    got = dict(D._window_sums(steps, [1, 4, 7, 13, 40, 41]))
+    assert list(got) == [1, 4, 7, 13, 40]
+    for n, v in got.items():
+        assert np.array_equal(v, [steps[k : k + n].sum(axis=0) for k in range(41 - n)])
+
+
+def test_copies_have_one_cosine_wherever_they_stand(spark):
+    rng = random.Random(8)
+    docs = [text(rng, 60) for _ in range(1200)]
+    item = " ".join(sentence(rng, 12) for _ in range(3))
+    copy = f"{text(rng, 20)} {item} {text(rng, 20)}"
+    directions = D._directions(documents(spark, [(k, t) for k, t in enumerate(docs[:200])]))
+    texts = [copy if k % 100 == 0 else t for k, t in enumerate(docs)]
+    found = list(D._search(pa.array(texts), D._Items([(0, item)], directions), directions))
+    assert [r for r, *_ in found] == list(range(0, 1200, 100))
+    assert max(c for _, _, c, *_ in found) - min(c for _, _, c, *_ in found) <= 1e-6
+
+
+def test_few_windows_are_compared_word_by_word(spark, monkeypatch):
+    """Those that may share enough words; with all near windows compared the rows are the same."""
+    docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
+    directions = D._directions(docs)
+    items = D._Items([(r.item_id, r.text) for r in bench.collect()], directions)
+    texts = pa.array([r.text for r in docs.collect()] + [r.text for r in bench.collect()])
+    calls, leak = [], D._Items.leak
+
+    def counted(self, k, window):
+        found = sum(n for w, n in self.counts[k].items() if w in set(window))
+        calls.append(found >= (len(self.words[k]) if len(self.words[k]) < D.SHORT else D.PARAPHRASE * len(self.words[k])))
+        return leak(self, k, window)
+
+    monkeypatch.setattr(D._Items, "leak", counted)
+    got = list(D._search(texts, items, directions))
+    assert len(got) >= len(items.ids) and sum(calls) >= 0.5 * len(calls)
+    few, calls[:] = len(calls), []
+    items.needs = np.zeros(len(items.ids))
+    assert list(D._search(texts, items, directions)) == got and len(calls) > few
